@@ -38,7 +38,8 @@ class EncoderSpec:
     """What must agree for two vectors to be comparable.
 
     ``max_tokens=None`` lifts the token limit so that whole texts count;
-    ``model_dir`` switches from hashing to a model kept in that directory.
+    ``model_dir`` switches from hashing to a model kept in that directory.  A text
+    the model fails on gets a zero vector, or fails the job when ``strict``.
     """
 
     name: str = "hashing-384"
@@ -47,6 +48,7 @@ class EncoderSpec:
     pooling: str = "mean"
     query_prefix: str | None = None
     model_dir: str | None = None
+    strict: bool = False
 
     def __post_init__(self):
         if self.dim < 1:
@@ -137,12 +139,14 @@ def hash_rows(tokens: pa.Array, dim: int) -> pa.Array:
     return as_float_lists(_hash_words(tokens, dim), valid)
 
 
-def _hashing_column(tokens: Column, dim: int) -> Column:
+def hashing_udf(dim: int):
+    """Arrow function from word lists to vectors."""
+
     @F.arrow_udf("array<float>")
     def hash_words(batch: pa.Array) -> pa.Array:
         return hash_rows(batch, dim)
 
-    return hash_words(tokens)
+    return hash_words
 
 
 def _hashing_batch_column(token_lists: Column, dim: int) -> Column:
@@ -160,10 +164,10 @@ def _hashing_batch_column(token_lists: Column, dim: int) -> Column:
 
 def _encode(text: Column, spec: EncoderSpec) -> Column:
     if spec.model_dir is not None:
-        from vecloom.functions.model_encoder import model_column
+        from vecloom.functions.model_encoder import model_udf
 
-        return model_column(text, spec)
-    return _hashing_column(words(text, spec.max_tokens), spec.dim)
+        return model_udf(spec)(text)
+    return hashing_udf(spec.dim)(words(text, spec.max_tokens))
 
 
 def embed_encode(text, spec: EncoderSpec = HASHING) -> Column:
