@@ -126,9 +126,11 @@ class TopK:
 
 def cell_runs(cells: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Row positions of each distinct cell in a batch."""
+    if len(cells) == 0:
+        return []
     order = np.argsort(cells, kind="stable")
     cuts = np.flatnonzero(np.diff(cells[order])) + 1
-    return [(int(cells[run[0]]), run) for run in np.split(order, cuts) if len(run)]
+    return [(int(cells[run[0]]), run) for run in np.split(order, cuts)]
 
 
 def count_ahead(

@@ -19,7 +19,8 @@ _DOT = _SUM.format(terms="zip_with(a, b, (x, y) -> double(x) * double(y))")
 _NORM_A = "sqrt(" + _SUM.format(terms="transform(a, x -> double(x) * double(x))") + ")"
 _NORM_B = "sqrt(" + _SUM.format(terms="transform(b, x -> double(x) * double(x))") + ")"
 _SQUARES = _SUM.format(terms="zip_with(a, b, (x, y) -> (double(x) - double(y)) * (double(x) - double(y)))")
-_COSINE = f"CASE WHEN {_NORM_A} * {_NORM_B} = 0 THEN 0D ELSE {_DOT} / nullif({_NORM_A} * {_NORM_B}, 0D) END"
+_NORMS = f"{_NORM_A} * {_NORM_B}"
+_COSINE = f"coalesce(try_divide({_DOT}, {_NORMS}), CASE WHEN {_NORMS} = 0 THEN 0D END)"
 
 
 def _guarded(value: str, sentinel: str) -> str:

@@ -35,6 +35,15 @@ def _norm(a: Column) -> Column:
     return F.sqrt(_total(F.transform(a, lambda x: x.cast("double") * x.cast("double"))))
 
 
+def _cosine(a: Column, b: Column, at_zero: float) -> Column:
+    """Cosine with its value where a norm is zero; NULL norms stay NULL.
+
+    Dividing first means the norms are only looked at again for a NULL result.
+    """
+    norms = _norm(a) * _norm(b)
+    return F.coalesce(F.try_divide(_dot(a, b), norms), F.when(norms == 0, F.lit(at_zero)))
+
+
 def _guarded(a: Column, b: Column, value: Column, sentinel: float, out: str) -> Column:
     incomparable = (F.size(a) != F.size(b)) | (F.size(a) == 0)
     return (
@@ -48,10 +57,7 @@ def _guarded(a: Column, b: Column, value: Column, sentinel: float, out: str) ->
 def cosine_similarity(a, b, out: str = "float") -> Column:
     """Cosine of the angle; 0 for a length mismatch, empty or zero vectors."""
     a, b = _col(a), _col(b)
-    norms = _norm(a) * _norm(b)
-    # A NULL norm (NULL element) must stay NULL, so only a true zero is caught.
-    value = F.when(norms == 0, F.lit(0.0)).otherwise(_dot(a, b) / F.nullif(norms, F.lit(0.0)))
-    return _guarded(a, b, value, 0.0, out)
+    return _guarded(a, b, _cosine(a, b, 0.0), 0.0, out)
 
 
 def cosine_distance(a, b, out: str = "float") -> Column:
@@ -81,24 +87,28 @@ def vector_distance(a, b) -> Column:
     vectors of different length, the rules of a fixed-dimension vector type.
     """
     a, b = _col(a), _col(b)
-    norms = _norm(a) * _norm(b)
     mismatch = F.raise_error(
         F.concat(F.lit("different vector dimensions "), F.size(a).cast("string"), F.lit(" and "), F.size(b).cast("string"))
     ).cast("double")
     return (
         F.when(a.isNull() | b.isNull(), F.lit(None).cast("double"))
         .when(F.size(a) != F.size(b), mismatch)
-        .when(norms == 0, F.lit(float("nan")))
-        .otherwise(F.lit(1.0) - _dot(a, b) / F.nullif(norms, F.lit(0.0)))
+        .otherwise(F.lit(1.0) - _cosine(a, b, float("nan")))
     )
 
 
 def l2_normalize(v) -> Column:
     """Scale to unit length.  A zero vector stays zero (never 0/0)."""
     v = _col(v)
-    n = _norm(v)
-    unit = F.transform(v, lambda x: (x.cast("double") / F.nullif(n, F.lit(0.0))).cast("float"))
-    return F.when(n == 0, v.cast("array<float>")).when(n.isNotNull(), unit)
+    squares = F.transform(v, lambda x: x.cast("double") * x.cast("double"))
+
+    def scaled(total: Column) -> Column:
+        # The finish step binds the total once; inside the element lambda the
+        # norm would be summed again for every element.
+        unit = F.transform(v, lambda x: F.coalesce(F.try_divide(x.cast("double"), F.sqrt(total)), F.lit(0.0)))
+        return F.when(total.isNotNull(), unit.cast("array<float>"))
+
+    return F.aggregate(squares, F.lit(0.0), lambda acc, x: acc + x, scaled)
 
 
 def has_null_element(v) -> Column:

@@ -26,7 +26,7 @@ _MAX_CENTROID_BYTES = 64 << 20
 
 
 def fit_centroids(docs: DataFrame, cells: int, *, vec_col: str = "embedding", sample_rows: int | None = None,
-                  seed: int = 42, max_iter: int = 20) -> np.ndarray:
+                  seed: int = 42, max_iter: int = 10) -> np.ndarray:
     """K-means centroids from a sample of about 256 rows per cell.
 
     The sample only places the centroids; every document is assigned later.

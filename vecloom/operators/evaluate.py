@@ -13,14 +13,10 @@ from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _ids, _que
 
 
 def _expected_scores(queries: DataFrame, docs: DataFrame) -> DataFrame:
-    """Keep queries whose expected document exists, with its score.
-
-    An equi-join on the expected id: queries are the small side, and only the
-    documents they name are compared.
-    """
+    """Keep queries whose expected document exists, with its score."""
     target = docs.select(F.col("id").alias("expect"), F.col("vec").alias("target"))
     score = F.round(cosine_similarity("vec", "target", out="double"), kernels.SCORE_DIGITS)
-    return queries.join(target, "expect").select("q", "expect", "vec", score.alias("expect_score"))
+    return target.join(queries, "expect").select("q", "expect", "vec", score.alias("expect_score"))
 
 
 def _count_block(table: pa.Table, batches):
@@ -59,19 +55,22 @@ def evaluate(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", expect
     q = queries.select(F.col(query_id).alias("q"), F.col(expect_col).alias("expect"), F.col(vec_col).alias("vec"))
     q = q.filter(F.col("vec").isNotNull())
     d = docs.select(F.col(doc_id).alias("id"), F.col(vec_col).alias("vec"))
-    asked = _expected_scores(q, d)
     schema = f"q {q.schema['q'].dataType.simpleString()}, ahead long, wrong double"
-    table = small_side(asked, "vec", limits)
+    table = small_side(q, "q", "vec", limits)
     if table is not None:
-        shared = docs.sparkSession.sparkContext.broadcast(table)
+        # The measured queries go to the documents, which stay where they are.
+        spark = docs.sparkSession
+        asked = _expected_scores(F.broadcast(spark.createDataFrame(table, q.schema)), d).toArrow().combine_chunks()
+        shared = spark.sparkContext.broadcast(asked)
 
         def count(batches):
             if shared.value.num_rows:
                 yield from _count_block(shared.value, batches).to_batches()
 
         partials = d.mapInArrow(count, schema)
-        named = asked.sparkSession.createDataFrame(table.select(["q", "expect", "expect_score"]))
+        named = spark.createDataFrame(asked.select(["q", "expect", "expect_score"]))
     else:
+        asked = _expected_scores(q, d)
         partials = _grid_counts(asked, d, schema, limits)
         named = asked.select("q", "expect", "expect_score")
     totals = partials.groupBy("q").agg(F.sum("ahead").alias("ahead"), F.max("wrong").alias("wrong"))

@@ -40,15 +40,21 @@ DEFAULT_LIMITS = KnnLimits()
 _NAMED_CELLS = 1_000
 
 
-def small_side(df: DataFrame, vec_col: str, limits: KnnLimits) -> pa.Table | None:
+def small_side(df: DataFrame, id_col: str, vec_col: str, limits: KnnLimits) -> pa.Table | None:
     """The rows as one Arrow table if they fit the budget, else ``None``.
 
-    Reads at most one row more than allowed, so checking a large table is cheap.
+    The budget in rows follows from the length of one vector (all must agree);
+    whether there are more is settled on ids alone, reading no further than that
+    many, so checking a large table is cheap.
     """
-    table = df.limit(limits.max_broadcast_rows + 1).toArrow()
-    if table.num_rows > limits.max_broadcast_rows or table.nbytes > limits.broadcast_bytes:
+    vec = F.col(vec_col)
+    probe = df.filter(vec.isNotNull()).select(F.size(vec)).take(1)
+    width = 4 * max(1, probe[0][0]) if probe else 4
+    rows = min(limits.max_broadcast_rows, limits.broadcast_bytes // width)
+    if len(df.select(id_col).take(rows + 1)) > rows:
         return None
-    return table.combine_chunks()
+    table = df.toArrow()
+    return table.combine_chunks() if table.nbytes <= 2 * limits.broadcast_bytes else None
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:
@@ -96,8 +102,8 @@ def _broadcast_topk(queries: pa.Table, docs: DataFrame, k: int, q_type: str, id_
     position = {q: i for i, q in enumerate(names)}
     at = np.array([position[q] for q in unique], dtype=np.int64)
     matrix, present = _query_matrix(queries, "vec")
-    cells = np.array(queries.column("cell").to_pylist(), dtype=np.int64)
-    by_cell = {c: np.flatnonzero((cells == c) & present) for c in set(cells.tolist())}
+    cells = _column(queries, "cell").to_numpy(zero_copy_only=False).astype(np.int64)
+    by_cell = {c: rows[present[rows]] for c, rows in kernels.cell_runs(cells)}
     q_ids = pa.array(names, queries.schema.field("q").type)
     shared = docs.sparkSession.sparkContext.broadcast((matrix, at, by_cell, q_ids))
     probed = sorted(c for c, rows in by_cell.items() if len(rows))
@@ -192,7 +198,7 @@ def cell_topk(queries: DataFrame, docs: DataFrame, k: int, limits: KnnLimits = D
     if k < 1:
         raise ValueError("k must be at least 1")
     q_type, id_type = queries.schema["q"].dataType.simpleString(), docs.schema["id"].dataType.simpleString()
-    table = small_side(queries, "vec", limits)
+    table = small_side(queries, "q", "vec", limits)
     if table is not None:
         # Within a task a document may fill up to `copies` places of a query.
         partials = _broadcast_topk(table, docs, k * copies, q_type, id_type)
@@ -253,7 +259,7 @@ def rank_all(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", doc_id
     spark = docs.sparkSession
     q = queries.select(F.col(query_id).alias("q"), F.col(vec_col).alias("vec"))
     d = docs.select(F.col(doc_id).alias("id"), F.col(vec_col).alias("vec"))
-    table = small_side(q, "vec", limits)
+    table = small_side(q, "q", "vec", limits)
     if table is None:
         raise ValueError("rank_all lists every pair; use knn_join for a query side of this size")
     if table.num_rows == 0:

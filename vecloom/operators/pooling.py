@@ -6,22 +6,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def mean_pool(df: DataFrame, group, vec_col: str, dim: int, mask=None, out_col: str = "embedding") -> DataFrame:
+def mean_pool(df: DataFrame, group, vec_col: str, mask=None, out_col: str = "embedding") -> DataFrame:
     """Masked mean vector per group: ``sum(mask*v) / max(sum(mask), 1e-9)``.
 
-    One sum per dimension in a single hash aggregate, so every task reduces its
-    rows before the shuffle and a group of any size crosses it as one row per
-    task.  Exploding the vectors would multiply the rows by ``dim`` first.
+    Sums per (group, position) are combined inside each task before the
+    shuffle, so a group of any size crosses it as one vector per task.  Putting
+    a vector together again collects at most one value per dimension.  A group
+    without any vector gets NULL.
     """
-    group = [group] if isinstance(group, (str, Column)) else list(group)
+    keys = [F.col(g) if isinstance(g, str) else g for g in ([group] if isinstance(group, (str, Column)) else group)]
     weight = F.lit(1.0) if mask is None else (mask if isinstance(mask, Column) else F.col(mask)).cast("double")
-    keys = [F.col(g) if isinstance(g, str) else g for g in group]
-    sums = [F.sum(F.get(F.col(vec_col), F.lit(i)).cast("double") * weight).alias(f"_d{i}") for i in range(dim)]
-    pooled = df.groupBy(*keys).agg(F.sum(F.when(F.col(vec_col).isNotNull(), weight)).alias("_w"), *sums)
-    kept = [c for c in pooled.columns if not c.startswith("_d") and c != "_w"]
-    divisor = F.greatest(F.col("_w"), F.lit(1e-9))
-    mean = F.array(*[(F.col(f"_d{i}") / divisor).cast("float") for i in range(dim)])
-    return pooled.select(*kept, F.when(F.col("_w").isNotNull(), mean).alias(out_col))
+    terms = df.select(*keys, weight.alias("_w"), F.posexplode_outer(vec_col).alias("_pos", "_x"))
+    names = [c for c in terms.columns if c not in ("_w", "_pos", "_x")]
+    sums = terms.groupBy(*names, "_pos").agg(
+        (F.sum(F.col("_x").cast("double") * F.col("_w")) / F.greatest(F.sum("_w"), F.lit(1e-9))).alias("_mean")
+    )
+    place = F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_mean"))
+    pooled = sums.groupBy(*names).agg(F.sort_array(F.collect_list(place)).alias("_all"))
+    vector = F.transform("_all", lambda p: p["_mean"].cast("float"))
+    return pooled.select(*names, F.when(F.size("_all") > 0, vector).alias(out_col))
 
 
 def cls_pool(df: DataFrame, group, vec_col: str, position, out_col: str = "embedding") -> DataFrame:

@@ -124,9 +124,7 @@ def search_distance(docs: DataFrame, query, k: int = 5, *, id_col: str = "id", v
         .limit(_check_limit(k))
     )
     similarity = F.round(F.lit(1.0) - F.col("_distance"), kernels.SCORE_DIGITS)
-    return near.select(*kept, similarity.alias(score_col)).orderBy(
-        F.desc_nulls_last(F.nanvl(score_col, F.lit(None).cast("double"))), F.asc(id_col)
-    )
+    return near.select(*kept, similarity.alias(score_col))
 
 
 def search_products(products: DataFrame, query: str, limit_count: int = 5, spec: EncoderSpec = HASHING) -> DataFrame:

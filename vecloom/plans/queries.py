@@ -132,7 +132,7 @@ def _heavy(vec: str = "embedding") -> Column:
 
 def mean_pool(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings").withColumn("mask", _heavy())
-    pooled = pooling.mean_pool(e, "label", "embedding", 64, mask="mask")
+    pooled = pooling.mean_pool(e, "label", "embedding", mask="mask")
     return pooled.select(F.col("label").cast("long").alias("label"), checksum("embedding", 4).alias("checksum"))
 
 
@@ -160,7 +160,7 @@ def encode_queries(spark, sf_dir):
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = load(spark, sf_dir, "part").select(
+    part = tables.spread(load(spark, sf_dir, "part"), "p_partkey").select(
         F.col("p_partkey").alias("id"),
         F.col("p_name").alias("name"),
         F.col("p_type").alias("description"),
@@ -175,9 +175,9 @@ def encode_composed_text(spark, sf_dir):
 
 
 def encode_batch(spark, sf_dir):
-    part = load(spark, sf_dir, "part")
-    texts = F.array("p_name", "p_type", F.lit(""), "p_brand")
-    vectors = part.select("p_partkey", V.embed_encode_batch(texts).alias("vectors"))
+    part = tables.spread(load(spark, sf_dir, "part"), "p_partkey")
+    fields = F.array("p_name", "p_type", F.lit(""), "p_brand")
+    vectors = part.select("p_partkey", V.embed_encode_batch(fields).alias("vectors"))
     return vectors.select(
         "p_partkey",
         F.size("vectors").cast("long").alias("n"),
@@ -186,7 +186,7 @@ def encode_batch(spark, sf_dir):
 
 
 def embed_text_literal(spark, sf_dir):
-    talk = load(spark, sf_dir, "conversations")
+    talk = tables.spread(load(spark, sf_dir, "conversations"), "conv_id", "turn")
     same = V.parse_vector(V.embed_text("text", V.HASHING_WHOLE), V.HASHING.dim)
     return fingerprint(talk.withColumn("embedding", same), "conv_id", "turn")
 

@@ -20,14 +20,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
     return reader.parquet(path)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give every core work where a table has fewer partitions than cores.
 
     A small file is one partition, which leaves a CPU-heavy encoder on one core.
     A table of at least as many partitions as cores comes back as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
 def append_rows(rows: DataFrame, path: str) -> None:
