@@ -202,12 +202,14 @@ def text_similarity(spark, sf_dir):
 def sql_functions(spark, sf_dir):
     register_functions(spark, V.HASHING_WHOLE)
     load(spark, sf_dir, "benchmark").createOrReplaceTempView("vecloom_texts")
+    # A session variable is encoded once and reaches the query as a literal.
+    spark.sql("DECLARE OR REPLACE VARIABLE vecloom_query ARRAY<FLOAT>")
+    spark.sql(f"SET VAR vecloom_query = (SELECT embed_query('{SEARCH_TEXT}'))")
     return spark.sql(
         """
-        WITH query AS (SELECT embed_query('the thorreou of inin and tion hethan') AS emb)
         SELECT item_id, embed_model() AS model, CAST(embed_dim() AS BIGINT) AS dim,
-               round(CAST(cosine_similarity(embed_encode(text), query.emb) AS DOUBLE), 4) AS score
-        FROM vecloom_texts, query
+               round(CAST(cosine_similarity(embed_encode(text), vecloom_query) AS DOUBLE), 4) AS score
+        FROM vecloom_texts
         """
     )
 
