@@ -1,0 +1,40 @@
+"""What the plans of the registered queries must and must not contain."""
+
+import importlib
+
+import pytest
+
+from vecloom.plans.queries import QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+STREAMS = {"stream_embed", "stream_upsert", "replace_table"}
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in STREAMS])
+def test_no_query_pairs_everything_with_everything(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_scans_read_only_needed_columns(spark):
+    assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in plan(QUERIES["knn_join"](spark, SF_DIR))
+    assert "ReadSchema: struct<doc_id:bigint,lang:string>" in plan(QUERIES["upsert_embeddings"](spark, SF_DIR))
+    text = plan(QUERIES["search_filtered"](spark, SF_DIR))
+    assert "EqualTo(label,2)" in text and "TakeOrderedAndProject" in text
+
+
+@pytest.mark.parametrize("name", ["encode_batch", "vector_literal", "add_vector_column", "embed_text_literal"])
+def test_encoding_and_formatting_never_exchange_on_keys(spark, name):
+    text = plan(QUERIES[name](spark, SF_DIR))
+    # Spreading a small file over the cores is the only exchange there may be.
+    assert text.count("Exchange") == text.count("REPARTITION_BY_NUM")
+
+
+def test_entry_points(spark):
+    entry = importlib.import_module("__spark_entry__")
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert entry.entry(spark).count() > 0

@@ -150,8 +150,15 @@ def compare_models(before: DataFrame, after: DataFrame) -> DataFrame:
 def compare_summaries(before: DataFrame, after: DataFrame) -> DataFrame:
     """Summary rows of two models, and the change of each measure."""
     measures = ["queries", "top1_hits", "top1_accuracy", "mrr", "mean_rank"]
-    a, b = before.select("model", *measures), after.select("model", *measures)
-    changed = [F.round(F.col(f"b.{m}") - F.col(f"a.{m}"), 4).alias(f"{m}_delta") for m in measures]
-    sides = [F.col("a.model").alias("model_a"), F.col("b.model").alias("model_b")]
-    # Each side is a single aggregate row, so a constant key joins them.
-    return a.withColumn("_one", F.lit(1)).alias("a").join(b.withColumn("_one", F.lit(1)).alias("b"), "_one").select(*sides, *changed)
+    rows = before.select(F.lit("a").alias("_side"), "model", *measures).unionByName(
+        after.select(F.lit("b").alias("_side"), "model", *measures)
+    )
+
+    def side(name: str, column: str):
+        return F.max(F.when(F.col("_side") == name, F.col(column)))
+
+    return rows.agg(
+        side("a", "model").alias("model_a"),
+        side("b", "model").alias("model_b"),
+        *[F.round(side("b", m) - side("a", m), 4).alias(f"{m}_delta") for m in measures],
+    )

@@ -16,10 +16,11 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark: SparkSession) -> str:
-    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
+    context = spark.sparkContext
+    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="vecloom-")
-        spark.conf.set(_SETTING, root)
+        context.setCheckpointDir(root)
     return root
 
 
