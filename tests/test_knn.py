@@ -177,3 +177,13 @@ def test_lsh_recall(spark, form):
 def test_too_many_centroids_are_refused():
     with pytest.raises(ValueError, match="too many centroids"):
         ann._check_size(np.broadcast_to(np.zeros(1), (10_000, 1_000)))
+
+
+def test_models_are_not_mixed(spark):
+    m = np.eye(3, dtype=np.float32)
+    a, b = frame(spark, m).withColumn("model", F.lit("a")), frame(spark, m).withColumn("model", F.lit("b"))
+    assert knn.knn_join(a, a, 1, query_id="id").count() == 3
+    with pytest.raises(Exception, match="vector of model a compared with one of b"):
+        knn.knn_join(a, b, 1, query_id="id").collect()
+    with pytest.raises(ValueError, match="several models"):
+        knn.knn_join(a.unionByName(b), b, 1, query_id="id")

@@ -54,10 +54,10 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def cosine_scores(vectors: pa.Array, query: np.ndarray) -> pa.Array:
-    """Cosine of every row with one query; NULL for NULL rows."""
+    """Rounded cosine of every row with one query; NULL for NULL rows."""
     matrix, present, _ = pack(vectors, len(query))
     scores = unit_rows(matrix) @ unit_rows(query.reshape(1, -1))[0]
-    return pa.array(scores, mask=~present)
+    return pa.array(np.round(scores, SCORE_DIGITS), mask=~present)
 
 
 def cosine_distances(vectors: pa.Array, query: np.ndarray) -> pa.Array:
@@ -66,7 +66,7 @@ def cosine_distances(vectors: pa.Array, query: np.ndarray) -> pa.Array:
     if not (sized | ~present).all():
         raise ValueError(f"different vector dimensions, expected {len(query)}")
     unit = unit_rows(query.reshape(1, -1))[0]
-    distances = 1.0 - unit_rows(matrix) @ unit
+    distances = np.round(1.0 - unit_rows(matrix) @ unit, SCORE_DIGITS)
     if not unit.any():
         distances[:] = np.nan
     distances[~matrix.any(axis=1)] = np.nan

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from vecloom.functions import kernels
 from vecloom.functions.vectors import l2_normalize
 from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, cell_topk
+from vecloom.operators.search import guarded_vector, query_model
 
 # Centroids travel to every task, so their size is bounded.
 _MAX_CENTROID_BYTES = 64 << 20
@@ -90,7 +91,8 @@ def ivf_search(queries: DataFrame, index: DataFrame, centroids: np.ndarray, k: i
     q = queries.select(
         F.col(query_id).alias("q"), F.explode(nearest_cells(vec_col, centroids, probes)).alias("cell"), F.col(vec_col).alias("vec")
     )
-    d = index.select("cell", F.col(doc_id).alias("id"), F.col(vec_col).alias("vec"))
+    vec = guarded_vector(index, vec_col, query_model(queries, index))
+    d = index.select("cell", F.col(doc_id).alias("id"), vec.alias("vec"))
     return cell_topk(q, d, k, limits)
 
 
@@ -109,7 +111,8 @@ def lsh_search(queries: DataFrame, docs: DataFrame, k: int, *, tables: int = 4,
             F.col(id_col).alias(name), F.col(vec_col).alias("vec"), array_to_vector(unit).alias("features")
         )
 
-    q, d = prepared(queries, query_id, "q"), prepared(docs, doc_id, "id")
+    own = guarded_vector(docs, vec_col, query_model(queries, docs))
+    q, d = prepared(queries, query_id, "q"), prepared(docs.withColumn(vec_col, own), doc_id, "id")
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
                                       numHashTables=tables, seed=seed)
     model = lsh.fit(d)

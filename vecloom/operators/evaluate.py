@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vecloom.functions import kernels
 from vecloom.functions.vectors import cosine_similarity
 from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _ids, _query_matrix, small_side
+from vecloom.operators.search import guarded_vector, query_model
 
 
 def _expected_scores(queries: DataFrame, docs: DataFrame) -> DataFrame:
@@ -54,7 +55,7 @@ def evaluate(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", expect
     """
     q = queries.select(F.col(query_id).alias("q"), F.col(expect_col).alias("expect"), F.col(vec_col).alias("vec"))
     q = q.filter(F.col("vec").isNotNull())
-    d = docs.select(F.col(doc_id).alias("id"), F.col(vec_col).alias("vec"))
+    d = docs.select(F.col(doc_id).alias("id"), guarded_vector(docs, vec_col, query_model(queries, docs)).alias("vec"))
     schema = f"q {q.schema['q'].dataType.simpleString()}, ahead long, wrong double"
     table = small_side(q, "q", "vec", limits)
     if table is not None:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecloom.functions import kernels
+from vecloom.operators.search import guarded_vector, query_model
 from vecloom.sources.scratch import scratch_path
 
 
@@ -217,7 +218,8 @@ def knn_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str = "q"
     one vector, and a document id one row.
     """
     q = queries.select(F.col(query_id).alias("q"), F.lit(0).alias("cell"), F.col(vec_col).alias("vec"))
-    d = docs.select(F.lit(0).alias("cell"), F.col(doc_id).alias("id"), F.col(vec_col).alias("vec"))
+    vec = guarded_vector(docs, vec_col, query_model(queries, docs))
+    d = docs.select(F.lit(0).alias("cell"), F.col(doc_id).alias("id"), vec.alias("vec"))
     return cell_topk(q, d, k, limits)
 
 
@@ -258,7 +260,7 @@ def rank_all(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", doc_id
     """
     spark = docs.sparkSession
     q = queries.select(F.col(query_id).alias("q"), F.col(vec_col).alias("vec"))
-    d = docs.select(F.col(doc_id).alias("id"), F.col(vec_col).alias("vec"))
+    d = docs.select(F.col(doc_id).alias("id"), guarded_vector(docs, vec_col, query_model(queries, docs)).alias("vec"))
     table = small_side(q, "q", "vec", limits)
     if table is None:
         raise ValueError("rank_all lists every pair; use knn_join for a query side of this size")

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from vecloom.functions.encoders import HASHING, EncoderSpec, compose_text, embed_encode
 from vecloom.operators.search import search_distance
 
+# Hits carry ids, a title and a score: a few MB at this many.
+_BROADCAST_HITS = 10_000
+
 
 def embed_chunks(chunks: DataFrame, spec: EncoderSpec = HASHING) -> DataFrame:
     """Add the vector of title and content, with the encoder that made it."""
@@ -28,8 +31,9 @@ def rag_search_with_context(chunks: DataFrame, query, context_window: int = 1, l
                             spec: EncoderSpec = HASHING) -> DataFrame:
     """The nearest chunks, each with its neighbours joined in order.
 
-    The hits are at most ``limit_count`` rows, so they go to the chunks and not
-    the other way: one broadcast, no shuffle of the chunk table.  A hit always
+    The hits are at most ``limit_count`` rows, so up to a bounded number they go
+    to the chunks and not the other way: one broadcast, no shuffle of the chunk
+    table; beyond it Spark joins on the parent as it sees fit.  A hit always
     meets itself, which keeps hits whose ``chunk_index`` is NULL.
     """
     if context_window < 0:
@@ -38,10 +42,12 @@ def rag_search_with_context(chunks: DataFrame, query, context_window: int = 1, l
                            columns=["id", "title", "source", "parent_id", "chunk_index"])
     hits = hits.select(F.col("id").alias("chunk_id"), "title", "source", F.col("parent_id").alias("hit_parent"),
                        F.col("chunk_index").alias("hit_index"), "similarity")
+    if limit_count <= _BROADCAST_HITS:
+        hits = F.broadcast(hits)
     context = chunks.select("id", "parent_id", "chunk_index", "content")
     near = F.col("chunk_index").between(F.col("hit_index") - context_window, F.col("hit_index") + context_window)
     own = F.col("id") == F.col("chunk_id")
-    joined = context.join(F.broadcast(hits), (F.col("parent_id") == F.col("hit_parent")) & (near | own))
+    joined = context.join(hits, (F.col("parent_id") == F.col("hit_parent")) & (near | own))
     pieces = joined.withColumn("piece", F.when(near, F.col("content")))
     return (
         pieces.groupBy("chunk_id", "title", "source", "similarity")

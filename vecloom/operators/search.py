@@ -33,14 +33,24 @@ def query_vector(spark: SparkSession, query, spec: EncoderSpec = HASHING, vec_co
     return np.asarray(query, dtype=np.float64)
 
 
-def guarded_vector(docs: DataFrame, vec_col: str, spec: EncoderSpec | None) -> Column:
-    """The vector column, refusing rows that another encoder wrote."""
+def guarded_vector(docs: DataFrame, vec_col: str, model: str | None) -> Column:
+    """The vector column, refusing rows that another encoder than ``model`` wrote."""
     vec = F.col(vec_col)
-    if spec is None or "model" not in docs.columns:
+    if model is None or "model" not in docs.columns:
         return vec
-    message = F.concat(F.lit(f"vector of model {spec.name} compared with one of "), F.coalesce(F.col("model"), F.lit("NULL")))
+    message = F.concat(F.lit(f"vector of model {model} compared with one of "), F.coalesce(F.col("model"), F.lit("NULL")))
     refused = F.raise_error(message).cast("array<float>")
-    return F.when(vec.isNull() | (F.col("model") == spec.name), vec).otherwise(refused)
+    return F.when(vec.isNull() | F.col("model").eqNullSafe(F.lit(model)), vec).otherwise(refused)
+
+
+def query_model(queries: DataFrame, docs: DataFrame) -> str | None:
+    """The one model of a query table, where both sides name theirs."""
+    if "model" not in queries.columns or "model" not in docs.columns:
+        return None
+    models = [r[0] for r in queries.select("model").distinct().limit(2).collect()]
+    if len(models) > 1:
+        raise ValueError("the queries were encoded with several models")
+    return models[0] if models else None
 
 
 def with_score(docs: DataFrame, query, vec_col: str = "embedding", score_col: str = "score",
@@ -58,7 +68,7 @@ def with_score(docs: DataFrame, query, vec_col: str = "embedding", score_col: st
 
     if pinned:
         cosine = cosine.asNondeterministic()
-    return docs.withColumn(score_col, F.round(cosine(guarded_vector(docs, vec_col, spec)), kernels.SCORE_DIGITS))
+    return docs.withColumn(score_col, cosine(guarded_vector(docs, vec_col, spec and spec.name)))
 
 
 def with_distance(docs: DataFrame, query, vec_col: str = "embedding", distance_col: str = "distance",
@@ -70,7 +80,7 @@ def with_distance(docs: DataFrame, query, vec_col: str = "embedding", distance_c
     def distance(batch: pa.Array) -> pa.Array:
         return kernels.cosine_distances(batch, q)
 
-    return docs.withColumn(distance_col, F.round(distance(guarded_vector(docs, vec_col, spec)), kernels.SCORE_DIGITS))
+    return docs.withColumn(distance_col, distance(guarded_vector(docs, vec_col, spec and spec.name)))
 
 
 def _columns(docs: DataFrame, columns: Sequence[str] | None, vec_col: str) -> list[str]:

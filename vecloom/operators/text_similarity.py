@@ -18,7 +18,7 @@ def _pair_column(dim: int):
         left, known_a, _ = kernels.pack(a, dim)
         right, known_b, _ = kernels.pack(b, dim)
         scores = np.einsum("ij,ij->i", kernels.unit_rows(left), kernels.unit_rows(right))
-        return pa.array(scores, mask=~(known_a & known_b))
+        return pa.array(np.round(scores, kernels.SCORE_DIGITS), mask=~(known_a & known_b))
 
     return pair_cosine
 
@@ -32,4 +32,4 @@ def text_similarity(df: DataFrame, first, second, spec: EncoderSpec = HASHING, o
     first = first if isinstance(first, Column) else F.col(first)
     second = second if isinstance(second, Column) else F.col(second)
     score = _pair_column(spec.dim)(embed_encode(first, spec), embed_encode(second, spec))
-    return df.withColumn(out_col, F.round(score, kernels.SCORE_DIGITS))
+    return df.withColumn(out_col, score)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.encoders import words
+from vecloom.sources.scratch import materialize
 
 _ANCHOR_WORDS = 6
 
@@ -49,6 +50,8 @@ def passage_documents(passages: DataFrame, documents: DataFrame, passage_id: str
     if not lengths:
         return p.select("p", F.lit(None).cast(documents.schema[doc_id].dataType).alias("d")).limit(0)
     pairs = reduce(DataFrame.unionByName, [f.join(a, "anchor").select("p", "d") for f, a in zip(found, anchors)]).distinct()
+    # Few pairs share an anchor; with their size known, the texts need not move.
+    pairs = materialize(pairs, "passage_pairs")
     whole_p = passages.select(F.col(passage_id).alias("p"), _normal(text_col).alias("p_text"))
     whole_d = documents.select(F.col(doc_id).alias("d"), _normal(text_col).alias("d_text"))
     verified = pairs.join(whole_p, "p").join(whole_d, "d").filter(F.contains("d_text", "p_text"))

@@ -17,7 +17,7 @@ from vecloom.operators import ann, chunking, evaluate, knn, pooling, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import maintenance, status, tables
-from vecloom.sources.scratch import scratch_path
+from vecloom.sources.scratch import materialize, scratch_path
 from vecloom.streaming import embed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,13 +61,6 @@ def fingerprint(df: DataFrame, *keys: str, vec: str = "embedding") -> DataFrame:
     return df.select(*keys, nonzero(vec).alias("nnz"), checksum(vec).alias("checksum"))
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """Write a derived table once where several steps read it."""
-    path = scratch_path(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # Vector maths ---------------------------------------------------------------
 
 
@@ -336,11 +329,11 @@ def ann_lsh(spark, sf_dir):
 def _evaluation(spark: SparkSession, sf_dir: str, specs: list[V.EncoderSpec]) -> list[DataFrame]:
     documents = texts(spark, sf_dir, "text")
     benchmark = load(spark, sf_dir, "benchmark")
-    expected = stored(expected_documents(benchmark, documents, "item_id", "doc_id"), "expected")
+    expected = materialize(expected_documents(benchmark, documents, "item_id", "doc_id"), "expected")
     asked = benchmark.join(expected, benchmark.item_id == expected.p).select("item_id", "expect", "text")
     results = []
     for spec in specs:
-        docs = stored(maintenance.encode_documents(documents, "text", spec).drop("text"), "eval_docs")
+        docs = materialize(maintenance.encode_documents(documents, "text", spec).drop("text"), "eval_docs")
         queries = maintenance.encode_queries(asked, "text", spec)
         results.append(evaluate.evaluate(queries, docs, query_id="item_id", doc_id="doc_id"))
     return results

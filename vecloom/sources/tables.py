@@ -11,9 +11,6 @@ from pyspark.sql import types as T
 
 from vecloom.functions.vectors import assert_dim
 
-EMBEDDING_TYPE = T.ArrayType(T.FloatType(), containsNull=True)
-
-
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Scan a Parquet table, with a declared schema where one is given."""
     reader = spark.read if schema is None else spark.read.schema(schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vecloom.functions.encoders import HASHING, EncoderSpec, embed_encode
+from vecloom.sources.maintenance import latest_changes
 
 
 def stream_embed(stream: DataFrame, text, spec: EncoderSpec = HASHING, vec_col: str = "embedding") -> DataFrame:
@@ -51,8 +52,7 @@ def stream_upsert(stream: DataFrame, path: str, checkpoint: str, *, key: str, te
     text = F.col(text) if isinstance(text, str) else text
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        last = F.max_by(F.struct(*[F.col(c) for c in batch.columns]), order_by).alias("_row")
-        changes = batch.groupBy(key).agg(last).select("_row.*")
+        changes = latest_changes(batch, key, order_by)
         vector = {vec_col: embed_encode(text, spec), "model": F.lit(spec.name), "dim": F.lit(spec.dim)}
         changes.withColumns(vector).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
