@@ -84,7 +84,11 @@ class TopK:
 
     def __init__(self, n_queries: int, k: int):
         self.k = k
+        # A score no answer of the query can be below, and the id that an equal
+        # score must undercut (unknown until k answers have been settled).
         self.bound = np.full(n_queries, -np.inf)
+        self.worst: np.ndarray | None = None
+        self.settled = np.zeros(n_queries, dtype=bool)
         self._pending: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         self._waiting = 0
         self._limit = max(self._BUFFER, 2 * n_queries * k)
@@ -99,12 +103,20 @@ class TopK:
         k, width = self.k, scores.shape[1]
         bound = self.bound[at]
         if width > k and np.isneginf(bound).any():
-            # No bound yet: anything below the k-th best of this block is out.
-            # Ties at the bound all stay, the id decides between them later.
-            bound = np.maximum(bound, np.partition(scores, width - k, axis=1)[:, width - k])
+            # The k-th best of one block bounds the k-th best of them all.
+            best = np.round(np.partition(scores, width - k, axis=1)[:, width - k], SCORE_DIGITS)
+            bound = np.maximum(bound, best)
+            np.maximum.at(self.bound, at, best)
         rows, cols = np.nonzero(scores >= (bound - 2e-9)[:, None])
-        self._pending.append((at[rows], np.round(scores[rows, cols], SCORE_DIGITS), ids[cols]))
-        self._waiting += len(rows)
+        score, query, found = np.round(scores[rows, cols], SCORE_DIGITS), at[rows], ids[cols]
+        # A score equal to a settled bound counts only with a lower id, which
+        # keeps a crowd of copies out once their first k are known.
+        keep = score >= self.bound[query]
+        if self.worst is not None:
+            tied = np.flatnonzero((score == self.bound[query]) & self.settled[query])
+            keep[tied] &= found[tied] < self.worst[query[tied]]
+        self._pending.append((query[keep], score[keep], found[keep]))
+        self._waiting += int(keep.sum())
         if self._waiting > self._limit:
             self.result()
 
@@ -117,7 +129,10 @@ class TopK:
         query, score, ids = query[order], score[order], ids[order]
         place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         last = place == self.k - 1
-        self.bound[query[last]] = score[last]
+        if self.worst is None:
+            self.worst = np.empty(len(self.bound), dtype=object if ids.dtype.kind == "U" else ids.dtype)
+        self.bound[query[last]], self.worst[query[last]] = score[last], ids[last]
+        self.settled[query[last]] = True
         kept = place < self.k
         self._pending = [(query[kept], score[kept], ids[kept])]
         self._waiting = int(kept.sum())
