@@ -13,12 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import SparkFiles
-from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vecloom.functions.encoders import EncoderSpec, as_float_lists
+from vecloom.functions.encoders import EncoderSpec, as_float_lists, relist
 
 _BATCH = 32
 
@@ -94,7 +93,7 @@ class _Model:
 def model_udf(spec: EncoderSpec):
     """Arrow function from texts to vectors; NULL gives NULL."""
 
-    @F.arrow_udf("array<float>")
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
     def run_model(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _Model(spec)
         for batch in batches:
@@ -103,17 +102,13 @@ def model_udf(spec: EncoderSpec):
     return run_model
 
 
-def model_batch_column(texts: Column, spec: EncoderSpec) -> Column:
-    """Vectors of an array-of-texts column, one per element."""
+def model_batch_udf(spec: EncoderSpec):
+    """Arrow function from lists of texts to lists of vectors."""
 
-    @F.arrow_udf("array<array<float>>")
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.FloatType())))
     def run_model(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _Model(spec)
         for batch in batches:
-            lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
-            offsets = pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32))
-            vectors = as_float_lists(model.encode(batch.flatten()))
-            mask = pa.array(~batch.is_valid().to_numpy(zero_copy_only=False))
-            yield pa.ListArray.from_arrays(offsets, vectors, mask=mask)
+            yield relist(batch, as_float_lists(model.encode(batch.flatten())))
 
-    return run_model(texts)
+    return run_model

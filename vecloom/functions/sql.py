@@ -7,11 +7,9 @@ Arrow function.  Spark does not resolve SQL-bodied functions directly inside
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import SparkSession
 
-from vecloom.functions.encoders import HASHING, WORD_PATTERN, EncoderSpec, hashing_udf
+from vecloom.functions.encoders import HASHING, EncoderSpec, batch_encoder_udf, encoder_udf
 from vecloom.functions.vectors import FLOAT_MAX, _vector_literal_udf
 
 _SUM = "aggregate({terms}, 0D, (s, x) -> s + x)"
@@ -46,41 +44,24 @@ def _define(spark: SparkSession, name: str, arguments: str, returns: str, body:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {returns} RETURN {body}")
 
 
-def _register_encoder(spark: SparkSession, spec: EncoderSpec) -> Callable[[str], str]:
-    """Register the Arrow function; return the SQL call for a text expression."""
-    if spec.model_dir is not None:
-        from vecloom.functions.model_encoder import model_udf
-
-        spark.udf.register("vecloom_encode", model_udf(spec))
-        return lambda text: f"vecloom_encode({text})"
-
-    spark.udf.register("vecloom_encode", hashing_udf(spec.dim))
-
-    def call(text: str) -> str:
-        found = f"regexp_extract_all(lower({text}), {_quote(WORD_PATTERN)}, 0)"
-        return f"vecloom_encode({found if spec.max_tokens is None else f'slice({found}, 1, {spec.max_tokens})'})"
-
-    return call
-
-
 def register_functions(spark: SparkSession, spec: EncoderSpec = HASHING) -> None:
     """Create the session functions, encoding with ``spec``."""
     for name, body in _PAIRWISE.items():
         _define(spark, name, "a ARRAY<FLOAT>, b ARRAY<FLOAT>", "FLOAT", body)
     spark.udf.register("vector_literal", _vector_literal_udf)
-    call = _register_encoder(spark, spec)
-    prefixed = "text"
+    spark.udf.register("embed_encode", encoder_udf(spec))
+    query = "text"
     if spec.is_asymmetric:
-        prefixed = f"CASE WHEN text = '' THEN text ELSE concat({_quote(spec.query_prefix)}, text) END"
+        query = f"CASE WHEN text = '' THEN text ELSE concat({_quote(spec.query_prefix)}, text) END"
     vector = "ARRAY<FLOAT>"
-    _define(spark, "embed_encode", "text STRING", vector, call("text"))
-    _define(spark, "embed_query", "text STRING", vector, call(prefixed))
-    _define(spark, "embed_text", "text STRING", "STRING", f"vector_literal({call('text')})")
-    _define(spark, "embed_query_text", "text STRING", "STRING", f"vector_literal({call(prefixed)})")
-    _define(spark, "to_embedding", "text STRING", vector, call("text"))
+    _define(spark, "embed_query", "text STRING", vector, f"embed_encode({query})")
+    _define(spark, "embed_text", "text STRING", "STRING", "vector_literal(embed_encode(text))")
+    _define(spark, "embed_query_text", "text STRING", "STRING", f"vector_literal(embed_encode({query}))")
+    _define(spark, "to_embedding", "text STRING", vector, "embed_encode(text)")
     pair = _PAIRWISE["cosine_similarity"]
-    inner = f"SELECT {pair} FROM (SELECT {call('text1')} AS a, {call('text2')} AS b)"
+    inner = f"SELECT {pair} FROM (SELECT embed_encode(text1) AS a, embed_encode(text2) AS b)"
     _define(spark, "text_similarity", "text1 STRING, text2 STRING", "FLOAT", f"({inner})")
+    spark.udf.register("embed_encode_batch", batch_encoder_udf(spec))
     _define(spark, "embed_model", "", "STRING", _quote(spec.name))
     _define(spark, "embed_dim", "", "INT", str(spec.dim))
     _define(spark, "embed_is_asymmetric", "", "BOOLEAN", str(spec.is_asymmetric).lower())

@@ -14,7 +14,7 @@ _ANCHOR_WORDS = 6
 
 
 def _normal(text: str) -> Column:
-    return F.concat(F.lit(" "), F.array_join(words(text, None), " "), F.lit(" "))
+    return F.concat(F.lit(" "), F.array_join(words(text), " "), F.lit(" "))
 
 
 def _hashes(tokens) -> Column:
@@ -27,8 +27,14 @@ def _window(hashes: Column, start: Column, n: int) -> Column:
 
 def _windows(hashes: Column, n: int) -> Column:
     """Hash of every run of ``n`` words; none where the text is shorter."""
-    starts = F.when(F.size(hashes) >= n, F.sequence(F.lit(0), F.size(hashes) - n))
-    return F.transform(starts, lambda i: _window(hashes, i, n))
+
+    def over(h: Column) -> Column:
+        starts = F.when(F.size(h) >= n, F.sequence(F.lit(0), F.size(h) - n))
+        return F.transform(starts, lambda i: _window(h, i, n))
+
+    # Binding the hashes as a lambda variable computes them once per text, not
+    # once per window.
+    return F.get(F.transform(F.array(hashes), over), F.lit(0))
 
 
 def passage_documents(passages: DataFrame, documents: DataFrame, passage_id: str, doc_id: str,
@@ -40,21 +46,25 @@ def passage_documents(passages: DataFrame, documents: DataFrame, passage_id: str
     word window of a document.  Only pairs that share an anchor are verified,
     on the whole texts.
     """
-    p = passages.select(F.col(passage_id).alias("p"), words(text_col, None).alias("w")).filter(F.size("w") > 0)
+    p = passages.select(F.col(passage_id).alias("p"), words(text_col).alias("w")).filter(F.size("w") > 0)
     p = p.withColumn("n", F.least(F.size("w"), F.lit(_ANCHOR_WORDS)))
     # At most one value per anchor length up to the constant above.
     lengths = sorted(r["n"] for r in p.select("n").distinct().collect())
     anchors = [p.filter(F.col("n") == n).select("p", _window(_hashes("w"), F.lit(0), n).alias("anchor")) for n in lengths]
-    d = documents.select(F.col(doc_id).alias("d"), _hashes(words(text_col, None)).alias("h"))
-    found = [d.select("d", F.explode(F.array_distinct(_windows(F.col("h"), n))).alias("anchor")) for n in lengths]
+    hashes = _hashes(words(text_col))
+    found = [
+        documents.select(F.col(doc_id).alias("d"), F.explode(F.array_distinct(_windows(hashes, n))).alias("anchor"))
+        for n in lengths
+    ]
     if not lengths:
         return p.select("p", F.lit(None).cast(documents.schema[doc_id].dataType).alias("d")).limit(0)
     pairs = reduce(DataFrame.unionByName, [f.join(a, "anchor").select("p", "d") for f, a in zip(found, anchors)]).distinct()
     # Few pairs share an anchor; with their size known, the texts need not move.
     pairs = materialize(pairs, "passage_pairs")
-    whole_p = passages.select(F.col(passage_id).alias("p"), _normal(text_col).alias("p_text"))
-    whole_d = documents.select(F.col(doc_id).alias("d"), _normal(text_col).alias("d_text"))
-    verified = pairs.join(whole_p, "p").join(whole_d, "d").filter(F.contains("d_text", "p_text"))
+    # Texts are normalised after the join, so only those of matching pairs are.
+    whole_p = passages.select(F.col(passage_id).alias("p"), F.col(text_col).alias("p_text"))
+    whole_d = documents.select(F.col(doc_id).alias("d"), F.col(text_col).alias("d_text"))
+    verified = pairs.join(whole_p, "p").join(whole_d, "d").filter(F.contains(_normal("d_text"), _normal("p_text")))
     return verified.select("p", "d")
 
 
