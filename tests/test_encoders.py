@@ -86,9 +86,9 @@ def test_compose_text(spark):
 
 
 def test_relevant_outranks_irrelevant(spark):
-    df = spark.createDataFrame([("how do I store embeddings in postgres",
-                                 "PostgreSQL can store vector embeddings in a table column.",
-                                 "Sourdough needs a starter and a long cold ferment.")], "q string, hit string, miss string")
+    df = spark.createDataFrame([("where does the night train to the coast stop",
+                                 "The night train stops twice before it reaches the coast.",
+                                 "Paint dries slowly when the weather is damp.")], "q string, hit string, miss string")
     scored = text_similarity(text_similarity(df, "q", "hit", out_col="good"), "q", "miss", out_col="bad").first()
     assert scored["good"] > scored["bad"]
 

@@ -8,18 +8,18 @@ GRID = knn.KnnLimits(max_broadcast_rows=3, query_block=8, doc_block=16)
 FORMS = {"broadcast": knn.DEFAULT_LIMITS, "grid": GRID}
 
 DOCS = [
-    (1, "rows live in heap files with tree indexes"),
-    (2, "similarity search compares dense vectors by cosine distance"),
-    (3, "a small world graph finds approximate nearest neighbours"),
-    (4, "write ahead logging recovers the database after a crash"),
-    (5, "bread needs a live starter and a long fermentation"),
-    (6, "bread needs a live starter and a long fermentation"),
+    (1, "the harbour master logs every ship that enters the bay"),
+    (2, "granite cools slowly and so grows large crystals"),
+    (3, "a violin string is tuned by turning its wooden peg"),
+    (4, "honey bees dance to tell the hive where nectar is"),
+    (5, "the lighthouse keeper trims the lamp at dusk"),
+    (6, "the lighthouse keeper trims the lamp at dusk"),
 ]
 QUERIES = [
-    ("how does approximate nearest neighbours search work", 3),
-    ("what is cosine distance", 2),
-    ("recover a database after a crash", 4),
-    ("bread with a live starter", 6),
+    ("how is a violin string tuned", 3),
+    ("why does granite have large crystals", 2),
+    ("how do bees tell where nectar is", 4),
+    ("who trims the lighthouse lamp", 6),
     ("not answered here", 77),
 ]
 
@@ -43,9 +43,9 @@ def test_text_example(spark, form):
     result = evaluate.evaluate(queries, docs, limits=FORMS[form])
     rows = {r["query"]: r for r in evaluate.report(result).collect()}
     assert "not answered here" not in rows and len(rows) == 4
-    assert rows["what is cosine distance"]["rank_of_expected"] == 1
+    assert rows["why does granite have large crystals"]["rank_of_expected"] == 1
     # An exact copy with a lower id comes first, and leaves no margin.
-    tied = rows["bread with a live starter"]
+    tied = rows["who trims the lighthouse lamp"]
     assert (tied["rank_of_expected"], tied["margin_over_best_wrong"]) == (2, 0.0)
     top = evaluate.summarize(result, "m").first()
     ranks = [r["rank_of_expected"] for r in rows.values()]

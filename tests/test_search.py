@@ -7,12 +7,12 @@ from vecloom.operators import search
 from vecloom.sources import maintenance
 
 PRODUCTS = [
-    (1, "Wireless Headphones", "noise cancelling headphones with long battery", 149.99, "Electronics"),
-    (2, "Green Tea", "matcha tea rich in antioxidants", 24.99, "Food"),
-    (3, "Office Chair", "adjustable lumbar support", 299.99, "Furniture"),
-    (4, "Water Bottle", "insulated, keeps drinks cold", 34.99, "Kitchen"),
-    (5, "Yoga Mat", None, 45.99, "Sports"),
-    (6, "Mechanical Keyboard", "backlit and programmable", 129.99, "Electronics"),
+    (1, "Studio Headphones", "headphones whose battery lasts a week", 149.99, "Electronics"),
+    (2, "Hill Tea", "loose tea leaves from a hill farm", 24.99, "Food"),
+    (3, "Desk Chair", "a chair on five castors", 299.99, "Furniture"),
+    (4, "Steel Bottle", "steel bottle for a bicycle", 34.99, "Kitchen"),
+    (5, "Climbing Rope", None, 45.99, "Sports"),
+    (6, "Compact Keyboard", "programmable keys, quiet switches", 129.99, "Electronics"),
 ]
 
 

@@ -139,6 +139,21 @@ class TopK:
         return self._pending[0]
 
 
+def nearest(rows: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndarray:
+    """Positions of the ``probes`` most similar centroids per row, best first."""
+    out = np.empty((len(rows), probes), dtype=np.int64)
+    step = max(1, _TILE // len(centroids))
+    for start in range(0, len(rows), step):
+        scores = rows[start : start + step] @ centroids.T
+        if probes == 1:
+            out[start : start + step, 0] = scores.argmax(axis=1)
+            continue
+        some = np.argpartition(-scores, probes - 1, axis=1)[:, :probes]
+        best = np.argsort(-np.take_along_axis(scores, some, axis=1), axis=1, kind="stable")
+        out[start : start + step] = np.take_along_axis(some, best, axis=1)
+    return out
+
+
 def cell_runs(cells: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """Row positions of each distinct cell in a batch."""
     if len(cells) == 0:

@@ -55,7 +55,7 @@ def nearest_cells(vec, centroids: np.ndarray, probes: int = 1) -> Column:
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest(batch: pa.Array) -> pa.Array:
         matrix, present, _ = kernels.pack(batch, unit.shape[1])
-        order = np.argsort(-(kernels.unit_rows(matrix) @ unit.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
+        order = kernels.nearest(kernels.unit_rows(matrix), unit, probes).astype(np.int32)
         rows = pa.ListArray.from_arrays(
             pa.array(np.arange(len(order) + 1, dtype=np.int32) * probes), pa.array(order.ravel())
         )

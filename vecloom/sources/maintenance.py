@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.functions.encoders import HASHING, EncoderSpec, embed_encode, embed_query
+from vecloom.sources.scratch import small_copy
 
 
 def _column(c) -> Column:
@@ -58,17 +59,22 @@ def append_ignore_conflicts(new: DataFrame, existing: DataFrame, keys: Sequence[
     """Rows of ``new`` whose key is neither in ``existing`` nor seen before.
 
     Of several new rows with one key the lowest by ``first_by`` stays (any one
-    where it is not given).  Only keys of the existing table are read, and they
-    are made distinct inside each task before they move, so a key that fills
-    the table crosses the shuffle once per task.
+    where it is not given).  Only keys of the existing table are read: those of
+    a few new rows are looked up in place, without a shuffle of the table; else
+    they are made distinct inside each task before they move, so a key that
+    fills the table crosses the shuffle once per task.
     """
     keys = list(keys)
+    known = existing.select(*keys)
+    few = small_copy(new.select(*keys).distinct())
+    if few is not None:
+        known = known.join(few, keys, "left_semi")
     if first_by is None:
         candidates = new.dropDuplicates(keys)
     else:
         first = F.min_by(F.struct(*[F.col(c) for c in new.columns]), first_by).alias("_row")
         candidates = new.groupBy(*keys).agg(first).select("_row.*")
-    return candidates.join(existing.select(*keys).distinct(), keys, "left_anti").select(*new.columns)
+    return candidates.join(known.distinct(), keys, "left_anti").select(*new.columns)
 
 
 def latest_changes(changes: DataFrame, key: str, order_by) -> DataFrame:
@@ -86,12 +92,14 @@ def upsert_embeddings(existing: DataFrame, changes: DataFrame, key: str, watched
     updated rows with the vector they have or bring.
 
     Both tables have one row per key (see :func:`latest_changes`).  The existing
-    table is only filtered by the changed keys, so a small set of changes is
-    broadcast by Spark and the table is not shuffled.
+    table is only filtered by the changed keys; where those are few they go to
+    the table, which is not shuffled.
     """
     if mode not in ("on_change", "if_null"):
         raise ValueError("mode must be 'on_change' or 'if_null'")
     keys = changes.select(key)
+    few = small_copy(keys)
+    keys = keys if few is None else few
     untouched = existing.join(keys, key, "left_anti").select(*existing.columns)
     carried = [vec_col, *[c for c in ("model", "dim") if c in existing.columns]]
     old_columns = list(dict.fromkeys([*watched, *carried]))

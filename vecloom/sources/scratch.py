@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -29,6 +30,24 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+# Bounds for rows that are sent to every task.
+_SMALL_ROWS, _SMALL_BYTES = 100_000, 32 << 20
+
+
+def small_copy(df: DataFrame) -> DataFrame | None:
+    """A local copy of narrow rows, marked for broadcast, if they are few.
+
+    ``None`` beyond the row or byte bound.  No more than the bounded number of
+    rows is read to find out.
+    """
+    if len(df.take(_SMALL_ROWS + 1)) > _SMALL_ROWS:
+        return None
+    rows = df.toArrow()
+    if rows.nbytes > _SMALL_BYTES:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write a derived table once and read it back.
 
