@@ -187,3 +187,27 @@ def test_models_are_not_mixed(spark):
         knn.knn_join(a, b, 1, query_id="id").collect()
     with pytest.raises(ValueError, match="several models"):
         knn.knn_join(a.unionByName(b), b, 1, query_id="id")
+
+
+def test_near_ties_beyond_single_precision_are_ordered():
+    # Documents a few billionths apart: single precision cannot tell them apart.
+    rng = np.random.default_rng(12)
+    base, step = unit(rng.normal(size=(1, 32)))[0], unit(rng.normal(size=(1, 32)))[0]
+    d = unit(base + np.linspace(0, 4e-6, 2000)[:, None] * step)
+    rng.shuffle(d)
+    q = unit(np.vstack([base, step, rng.normal(size=32)]))
+    state = kernels.TopK(3, 25)
+    for start in range(0, 2000, 170):
+        state.add(q, np.arange(3), d[start : start + 170], np.arange(2000)[start : start + 170])
+    query, score, ids = state.result()
+    exact = np.round(np.einsum("qd,nd->qn", q, d), 9)
+    for i in range(3):
+        assert list(ids[query == i]) == list(np.lexsort((np.arange(2000), -exact[i]))[:25])
+
+
+def test_nearest_centroids_match_a_full_sort():
+    rng = np.random.default_rng(13)
+    rows, centroids = unit(rng.normal(size=(500, 8))), unit(rng.normal(size=(40, 8)))
+    for probes in (1, 3, 40):
+        want = np.argsort(-(rows @ centroids.T), axis=1, kind="stable")[:, :probes]
+        assert (kernels.nearest(rows, centroids, probes) == want).all()

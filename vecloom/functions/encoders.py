@@ -166,7 +166,9 @@ def hashing_batch_udf(spec: EncoderSpec):
 
     @F.arrow_udf(T.ArrayType(T.ArrayType(T.FloatType())))
     def hash_lists(batch: pa.Array) -> pa.Array:
-        return relist(batch, as_float_lists(_hash_texts(batch.flatten(), dim, limit)))
+        texts = batch.flatten()
+        known = texts.is_valid().to_numpy(zero_copy_only=False)
+        return relist(batch, as_float_lists(_hash_texts(texts, dim, limit), known))
 
     return hash_lists
 
@@ -231,7 +233,7 @@ def embed_query_text(text, spec: EncoderSpec = HASHING) -> Column:
 def embed_encode_batch(texts, spec: EncoderSpec = HASHING) -> Column:
     """One document-side vector per array element, in order.
 
-    Like the scalar form, an empty text gives zeros.  A NULL element also gives
-    zeros, so the result always has one vector per input.
+    Like the scalar form, an empty text gives zeros and a NULL element NULL, so
+    the result always has one entry per input.
     """
     return batch_encoder_udf(spec)(texts if isinstance(texts, Column) else F.col(texts))

@@ -109,6 +109,8 @@ def model_batch_udf(spec: EncoderSpec):
     def run_model(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = _Model(spec)
         for batch in batches:
-            yield relist(batch, as_float_lists(model.encode(batch.flatten())))
+            texts = batch.flatten()
+            known = texts.is_valid().to_numpy(zero_copy_only=False)
+            yield relist(batch, as_float_lists(model.encode(texts), known))
 
     return run_model

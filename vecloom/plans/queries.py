@@ -194,7 +194,7 @@ def text_similarity(spark, sf_dir):
 
 def sql_functions(spark, sf_dir):
     register_functions(spark, V.HASHING_WHOLE)
-    load(spark, sf_dir, "benchmark").createOrReplaceTempView("vecloom_texts")
+    tables.register_view(load(spark, sf_dir, "benchmark"), "vecloom_texts")
     # A session variable is encoded once and reaches the query as a literal.
     spark.sql("DECLARE OR REPLACE VARIABLE vecloom_query ARRAY<FLOAT>")
     spark.sql(f"SET VAR vecloom_query = (SELECT embed_query('{SEARCH_TEXT}'))")

@@ -27,6 +27,14 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
+def register_view(df: DataFrame, name: str, cached: bool = False) -> DataFrame:
+    """Name a DataFrame for SQL in this session; cache it where it is reused."""
+    if cached:
+        df.cache()
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def append_rows(rows: DataFrame, path: str) -> None:
     """Add rows to a Parquet table."""
     rows.write.mode("append").parquet(path)
