@@ -211,3 +211,10 @@ def test_nearest_centroids_match_a_full_sort():
     for probes in (1, 3, 40):
         want = np.argsort(-(rows @ centroids.T), axis=1, kind="stable")[:, :probes]
         assert (kernels.nearest(rows, centroids, probes) == want).all()
+
+
+def test_the_grid_neither_crosses_nor_gathers_a_cell(spark):
+    d = frame(spark, np.random.default_rng(14).normal(size=(60, 4)).astype(np.float32))
+    plan = knn.knn_join(d, d, 3, query_id="id", limits=GRID)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -15,6 +15,7 @@ documents whose cells a query names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions import kernels
 from vecloom.operators.search import guarded_vector, query_model
-from vecloom.sources.scratch import scratch_path
+from vecloom.sources.scratch import scratch_path, small_copy
 
 
 @dataclass(frozen=True)
@@ -135,6 +136,22 @@ def _blocks(df: DataFrame, rows_per_block: int, name: str) -> DataFrame:
     return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows_per_block).cast("int").alias(name))
 
 
+def _sizes(queries: DataFrame, docs: DataFrame, limits: KnnLimits) -> Callable[[DataFrame], DataFrame]:
+    """How to add the blocks per cell, counted on ids alone, to either side.
+
+    Joining them by key would move every row of a cell to one task, so they are
+    sent out wherever they are few, and are constants where there is one cell.
+    """
+    sizes = _blocks(docs, limits.doc_block, "d_blocks").join(_blocks(queries, limits.query_block, "q_blocks"), "cell")
+    few = small_copy(sizes)
+    rows = [] if few is None else few.take(2)
+    if len(rows) == 1:
+        only = rows[0]
+        blocks = {name: F.lit(only[name]) for name in ("d_blocks", "q_blocks")}
+        return lambda df: df.filter(F.col("cell") == only["cell"]).withColumns(blocks)
+    return lambda df: df.join(sizes if few is None else few, "cell")
+
+
 def _signature(vec: str):
     return F.concat_ws(":", F.hex(F.xxhash64(vec)), F.hex(F.xxhash64(F.reverse(F.col(vec)), F.size(vec))))
 
@@ -156,14 +173,14 @@ def _grid_topk(queries: DataFrame, docs: DataFrame, k: int, q_type: str, id_type
         .withColumn("copy", F.row_number().over(equal))
         .filter(F.col("copy") <= k)
     )
-    sizes = _blocks(lowest, limits.doc_block, "d_blocks").join(_blocks(distinct, limits.query_block, "q_blocks"), "cell")
+    with_sizes = _sizes(queries, docs, limits)
     left = (
-        distinct.join(sizes, "cell")
+        with_sizes(distinct)
         .withColumn("qb", F.pmod(F.xxhash64("sig"), F.col("q_blocks")).cast("int"))
         .select("cell", "qb", F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)).alias("db"), "sig", "vec")
     )
     right = (
-        lowest.join(sizes, "cell")
+        with_sizes(lowest)
         .withColumn("db", F.pmod(F.xxhash64("id"), F.col("d_blocks")).cast("int"))
         .select("cell", F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("qb"), "db", "id", "vec")
     )
