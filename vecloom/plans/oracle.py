@@ -131,6 +131,10 @@ def _sum_by_position(values: str) -> str:
     return f"list_sum(list_transform({values}, lambda x, i: x::DOUBLE * i))"
 
 
+PREFIXED = fingerprint(
+    f"SELECT item_id AS id, CASE WHEN text = '' THEN text ELSE {quote(RETRIEVAL_PREFIX)} || text END AS text FROM benchmark",
+    "id AS item_id", "SELECT item_id AS id FROM benchmark")
+
 ORACLE: dict[str, str] = {
     "cosine_similarity": f"SELECT vec_id, round(list_cosine_similarity(a, b), 6) AS value FROM ({PAIRS})",
     "cosine_distance": f"SELECT vec_id, round(1 - list_cosine_similarity(a, b), 6) AS value FROM ({PAIRS})",
@@ -155,9 +159,8 @@ ORACLE: dict[str, str] = {
         FROM embeddings GROUP BY label""",
     "encode_documents": fingerprint(DOCS, "id AS doc_id, 'hashing-384-whole' AS model", DOCS),
     "encode_documents_token_limit": fingerprint(DOCS, "id AS doc_id", DOCS, limit=512),
-    "encode_queries": fingerprint(
-        f"SELECT item_id AS id, CASE WHEN text = '' THEN text ELSE {quote(RETRIEVAL_PREFIX)} || text END AS text FROM benchmark",
-        "id AS item_id", "SELECT item_id AS id FROM benchmark"),
+    "encode_queries": PREFIXED,
+    "embed_query_text_literal": PREFIXED,
     "encode_composed_text": fingerprint(PRODUCTS, "id", PRODUCTS, limit=512),
     "encode_batch": "WITH " + ", ".join(
         hashed(f"h{i}", f"SELECT p_partkey AS id, {c} AS text FROM part") + f", {prints(f'h{i}')}"
@@ -228,6 +231,8 @@ ORACLE: dict[str, str] = {
         WHERE lang NOT IN ('en', 'fr')""",
     "column_defaults": """SELECT doc_id, CASE WHEN lang <> 'en' THEN source ELSE 'unknown' END AS source, '{}' AS metadata,
         0::BIGINT AS chunk_index, true AS dated FROM documents""",
+    "append_rows": "SELECT doc_id, lang, source FROM documents",
+    "latest_changes": "SELECT conv_id, max(turn) AS turn, arg_max(role, turn) AS role FROM conversations GROUP BY conv_id",
     "replace_table": fingerprint(DOCS, "id AS doc_id", DOCS),
     "add_vector_column": f"SELECT vec_id, 64::BIGINT AS dim, round({_sum_by_position('embedding')}, 5) AS checksum FROM embeddings",
     "embedding_status": """WITH c AS (SELECT count(*) AS n, count_if(embedding IS NULL) AS missing,

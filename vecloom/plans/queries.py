@@ -184,6 +184,12 @@ def embed_text_literal(spark, sf_dir):
     return fingerprint(talk.withColumn("embedding", same), "conv_id", "turn")
 
 
+def embed_query_text_literal(spark, sf_dir):
+    asked = load(spark, sf_dir, "benchmark")
+    parsed = V.parse_vector(V.embed_query_text("text", ASYMMETRIC), ASYMMETRIC.dim)
+    return fingerprint(asked.withColumn("embedding", parsed), "item_id")
+
+
 def text_similarity(spark, sf_dir):
     talk = load(spark, sf_dir, "conversations")
     turns = talk.select("conv_id", "turn", F.col("text").alias("first"))
@@ -414,6 +420,19 @@ def column_defaults(spark, sf_dir):
     return filled.select("doc_id", "source", "metadata", "chunk_index", F.col("created_at").isNotNull().alias("dated"))
 
 
+def append_rows(spark, sf_dir):
+    path = scratch_path(spark, "appended")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    for part in (docs.filter(F.col("lang") == "en"), docs.filter(F.col("lang") != "en")):
+        tables.append_rows(part, path)
+    return tables.read_table(spark, path, docs.schema)
+
+
+def latest_changes(spark, sf_dir):
+    talk = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return maintenance.latest_changes(talk, "conv_id", "turn")
+
+
 def replace_table(spark, sf_dir):
     root = scratch_path(spark, "versions")
     tables.replace_table(_marked(texts(spark, sf_dir, "text")), root)
@@ -474,12 +493,13 @@ QUERIES: dict[str, Query] = {
         for q in (
             vector_edge_cases, vector_literal, vector_literal_roundtrip, l2_normalize, mean_pool, cls_pool,
             encode_documents, encode_documents_token_limit, encode_queries, encode_composed_text, encode_batch,
-            embed_text_literal, text_similarity, sql_functions,
+            embed_text_literal, embed_query_text_literal, text_similarity, sql_functions,
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
             knn_join, rank_all, ann_ivf_full_probe, ann_ivf, ann_lsh,
             eval_per_query, eval_summary, compare_models, compare_summaries,
             backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, append_ignore_conflicts, column_defaults,
+            append_rows, latest_changes,
             replace_table, add_vector_column, embedding_status, metadata_filter, stream_embed, stream_upsert,
         )
     },
