@@ -11,6 +11,7 @@ from vecloom.functions import kernels
 from vecloom.functions.vectors import cosine_similarity
 from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _ids, _query_matrix, small_side
 from vecloom.operators.search import guarded_vector, query_model
+from vecloom.sources.scratch import materialize
 
 
 def _expected_scores(queries: DataFrame, docs: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ def evaluate(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", expect
         partials = d.mapInArrow(count, schema)
         named = spark.createDataFrame(asked.select(["q", "expect", "expect_score"]))
     else:
-        asked = _expected_scores(q, d)
+        # Counted, sent to the blocks and joined with the totals: written once.
+        asked = materialize(_expected_scores(q, d), "expected_scores")
         partials = _grid_counts(asked, d, schema, limits)
         named = asked.select("q", "expect", "expect_score")
     totals = partials.groupBy("q").agg(F.sum("ahead").alias("ahead"), F.max("wrong").alias("wrong"))
@@ -86,9 +88,8 @@ def evaluate(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", expect
 
 def _grid_counts(asked: DataFrame, docs: DataFrame, schema: str, limits: KnnLimits) -> DataFrame:
     """Both sides large: bounded hash blocks meet in a grid, once each."""
-    n_q = asked.count()
-    n_d = docs.count()
-    q_blocks, d_blocks = -(-n_q // limits.query_block), max(1, -(-n_d // limits.doc_block))
+    q_blocks = max(1, -(-asked.count() // limits.query_block))
+    d_blocks = max(1, -(-docs.count() // limits.doc_block))
 
     def blocks(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

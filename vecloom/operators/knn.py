@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,10 +73,10 @@ def _ids(column: pa.Array) -> np.ndarray:
 def _query_matrix(table: pa.Table, vec_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Unit query rows and which of them can be compared at all."""
     vectors = _column(table, vec_col)
-    lengths = {len(v) for v in vectors.to_pylist() if v is not None}
+    lengths = pc.unique(pc.list_value_length(vectors).drop_null()).to_pylist()
     if len(lengths) > 1:
         raise ValueError(f"query vectors have several lengths: {sorted(lengths)}")
-    dim = lengths.pop() if lengths else 1
+    dim = lengths[0] if lengths else 1
     matrix, present, _ = kernels.pack(vectors, dim)
     return kernels.unit_rows(matrix), present
 
