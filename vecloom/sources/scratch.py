@@ -1,12 +1,14 @@
 """Where intermediate tables live.
 
 On a cluster the session names a shared folder in ``spark.checkpoint.dir``; it
-is read from there.  Only where nothing is set (local tests) is a temporary
-folder used instead.
+is read from there.  With a local master and nothing set (tests), a temporary
+folder is used for the life of the process; any other master without the setting
+is refused, as each executor would write to its own disk.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -16,13 +18,20 @@ from pyspark.sql import functions as F
 _SETTING = "spark.checkpoint.dir"
 
 
+_local_root: str | None = None
+
+
 def scratch_root(spark: SparkSession) -> str:
-    context = spark.sparkContext
-    root = spark.conf.get(_SETTING, None) or context.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="vecloom-")
-        context.setCheckpointDir(root)
-    return root
+    global _local_root
+    root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set {_SETTING} to a folder that all executors of {master} share")
+    if _local_root is None:
+        _local_root = tempfile.mkdtemp(prefix="vecloom-")
+    return _local_root
 
 
 def scratch_path(spark: SparkSession, purpose: str) -> str:
