@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import line_dedup, mixing, ngram_join, url_filter
+from vecloom.llm import line_dedup, mixing, ngram_join, quality, url_filter
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,13 @@ def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op9_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit_rules(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", quality.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = F.sha2(whole_text().cast("binary"), 256).alias("kept_sha256")
@@ -47,7 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op3_ngram_jaccard_join, op6_url_filter, op7_poisson_mixing, op10_line_dedup)
+    q.__name__: q for q in (op3_ngram_jaccard_join, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
