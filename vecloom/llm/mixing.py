@@ -7,7 +7,7 @@ are exploded and spread over a global random order, again hashed, so reruns and
 retried tasks give the same rows.
 
 One row per source holds its rate and its cumulative distribution; documents read
-it through a join.  Nothing is grouped by source beyond two counters, so a source
+it through a join, without a shuffle while that table is measured small.  Nothing is grouped by source beyond two counters, so a source
 that holds a third of all rows only costs its rows.
 
 Defined results: a null source is a source of its own.  Rows that repeat an id get
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecloom.llm.common import without
+from vecloom.sources.scratch import materialize, small_copy
 
 SEED, TEMPERATURE, EPOCHS = 17, 0.5, 1.0
 _DIGITS = 13  # hexadecimal digits of a digest that make a uniform number: 52 bits
@@ -84,6 +85,8 @@ def mix_sources(
     """Replicated documents in global random order, with ``copy`` (from 1) and ``n_copies``."""
     rates = source_rates(docs, weights=weights, temperature=temperature, epochs=epochs, source=source)
     table = rates.where("rate > 0").select(F.col("source").alias("__source"), poisson_cdf(F.col("rate")).alias("__cdf"))
+    table = materialize(table, "source-rates")
+    table = small_copy(table) or table  # one row per source: sent to the tasks if measured small, else joined
     own = without(docs, "copy", "n_copies")
     identity = F.coalesce(own[doc_id].cast("string"), F.md5(F.coalesce(own[text], F.lit(""))))
     keyed = own.withColumn("__u", uniform(F.lit(str(seed)), identity))
