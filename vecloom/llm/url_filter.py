@@ -130,9 +130,10 @@ def filter_urls(
 
     packed = pack_rules(list(zip(*(held.column(c).to_pylist() for c in ("action", "host", "path")), strict=True)))
     name = f"url-rules-{xxhash.xxh3_128_hexdigest(packed)}.bin"
-    file = os.path.join(tempfile.mkdtemp(prefix="rules-"), name)
-    with open(file, "wb") as out:
+    file = os.path.join(tempfile.gettempdir(), name)  # named by content: a second use is the same file
+    with tempfile.NamedTemporaryFile(dir=os.path.dirname(file), delete=False) as out:
         out.write(packed)
+    os.replace(out.name, file)
     spark.sparkContext.addFile(file)  # the driver serves it; each executor fetches its own copy once
 
     @F.pandas_udf("rule string, blocks boolean")
