@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import line_dedup, mixing, ngram_join, quality, url_filter
+from vecloom.llm import cover_tree, line_dedup, mixing, ngram_join, quality, url_filter
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_cover_tree_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.cosine_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_links(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -54,7 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op3_ngram_jaccard_join, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
+    q.__name__: q for q in (op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
