@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import cover_tree, line_dedup, mixing, ngram_join, quality, url_filter
+from vecloom.llm import cover_tree, line_dedup, mixing, multi_index, ngram_join, quality, url_filter
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_links(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return multi_index.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -58,7 +63,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
+    q.__name__: q for q in (op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
