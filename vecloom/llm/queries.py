@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import cover_tree, line_dedup, mixing, multi_index, ngram_join, quality, url_filter
+from vecloom.llm import cover_tree, line_dedup, mixing, multi_index, ngram_join, pii, quality, url_filter
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.withColumn("base", base).select(
+        "doc_id",
+        *[number(kind) for kind in pii.KINDS],
+        F.sha2(pii.describe(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.describe(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_cover_tree_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.cosine_links(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -63,7 +78,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
+    q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
