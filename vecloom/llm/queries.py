@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import cover_tree, line_dedup, mixing, multi_index, ngram_join, pii, quality, url_filter
+from vecloom.llm import cover_tree, html_text, line_dedup, mixing, multi_index, ngram_join, pii, quality, url_filter
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op7_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op8_min_cut_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 def op9_rule_ensemble_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit_rules(docs, table(spark, sf_dir, "labels"))
@@ -78,7 +83,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op6_url_filter, op7_poisson_mixing, op9_rule_ensemble_quality, op10_line_dedup)
+    q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op6_url_filter, op7_poisson_mixing, op8_min_cut_html_text, op9_rule_ensemble_quality, op10_line_dedup)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
