@@ -107,7 +107,7 @@ def test_spec_rules():
         V.EncoderSpec(pooling="max")
     with pytest.raises(ValueError):
         V.EncoderSpec(max_tokens=0)
-    assert V.HASHING.name in V.HASHING.info() and "384 dims" in V.HASHING.info()
+    assert {"name=hashing-384", "dim=384", "max_tokens=none"} <= set(V.HASHING.info().split(";"))
 
 
 def test_encoding_writes_model_and_dimension(spark):
@@ -127,3 +127,15 @@ def test_encoding_does_not_shuffle(spark):
 def test_dictionary_of_many_texts(spark):
     df = spark.range(25_000).select(F.concat(F.lit("same words "), (F.col("id") % 3).cast("string")).alias("text"))
     assert df.select(V.embed_encode("text").alias("e")).distinct().count() == 3
+
+
+def test_every_default_reads_the_last_word(spark):
+    long = " ".join(f"w{n}" for n in range(2000))
+    df = spark.createDataFrame([(long, long + " last")], "a string, b string")
+    for function in (V.embed_encode, V.embed_query, V.embed_text, V.embed_query_text):
+        row = df.select(function("a").alias("a"), function("b").alias("b")).first()
+        assert row["a"] != row["b"]
+    row = df.select(V.embed_encode_batch(F.array("a", "b")).alias("v")).first()
+    assert row["v"][0] != row["v"][1]
+    row = df.select(V.embed_encode("a", V.HASHING_512).alias("a"), V.embed_encode("b", V.HASHING_512).alias("b")).first()
+    assert row["a"] == row["b"]

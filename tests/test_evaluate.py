@@ -4,8 +4,9 @@ import pytest
 from vecloom.operators import evaluate, knn
 from vecloom.sources import maintenance
 
-GRID = knn.KnnLimits(max_broadcast_rows=3, query_block=8, doc_block=16)
-FORMS = {"broadcast": knn.DEFAULT_LIMITS, "grid": GRID}
+GRID = knn.KnnLimits(max_broadcast_rows=3, max_passes=0, query_block=8, doc_block=16)
+PASSES = knn.KnnLimits(max_broadcast_rows=3, max_passes=100)
+FORMS = {"broadcast": knn.DEFAULT_LIMITS, "passes": PASSES, "grid": GRID}
 
 DOCS = [
     (1, "the harbour master logs every ship that enters the bay"),
@@ -88,3 +89,24 @@ def test_compare(spark):
     assert rows == {"x": (1, 3, 2), "y": (4, None, None), "z": (None, 1, None)}
     both = evaluate.compare_summaries(evaluate.summarize(a, "a"), evaluate.summarize(b, "b")).first()
     assert (both["model_a"], both["model_b"], both["queries_delta"], both["mean_rank_delta"]) == ("a", "b", 0, -0.5)
+
+
+def test_rank_of_given_pairs(spark):
+    rng = np.random.default_rng(9)
+    q, d = rng.normal(size=(3, 5)), rng.normal(size=(40, 5))
+    d[7] = d[8]
+    queries = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "q long, embedding array<float>")
+    docs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(d)], "id long, embedding array<float>")
+    judged = spark.createDataFrame([(i, j) for i in range(3) for j in (7, 8, 30)] + [(0, 999)], "q long, id long")
+    q, d = q.astype(np.float32).astype(float), d.astype(np.float32).astype(float)
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    scores = np.round(unit(q) @ unit(d).T, 9)
+    want = {}
+    for i in range(3):
+        order = list(np.lexsort((np.arange(40), -scores[i])))
+        for j in (7, 8, 30):
+            want[i, j] = (order.index(j) + 1, scores[i][j] - max(scores[i][x] for x in range(40) if x != j))
+    for limits in FORMS.values():
+        got = {(r.q, r.id): (r["rank"], r.margin) for r in evaluate.rank_of(queries, judged, docs, limits=limits).collect()}
+        assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+        assert all(abs(got[k][1] - want[k][1]) < 1e-6 for k in want)

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 from vecloom.functions import kernels
 from vecloom.operators import ann, knn
 
-GRID = knn.KnnLimits(max_broadcast_rows=5, query_block=16, doc_block=32)
-FORMS = {"broadcast": knn.DEFAULT_LIMITS, "grid": GRID}
+GRID = knn.KnnLimits(max_broadcast_rows=5, max_passes=0, query_block=16, doc_block=32)
+PASSES = knn.KnnLimits(max_broadcast_rows=14, max_passes=50)
+FORMS = {"broadcast": knn.DEFAULT_LIMITS, "passes": PASSES, "grid": GRID}
 
 
 def unit(m):
@@ -100,23 +101,17 @@ def test_top_k_buffer_is_exact_when_it_overflows():
         assert list(ids[query == i]) == list(np.lexsort((np.arange(5000), -scores[i]))[:9])
 
 
-def test_rank_all_lists_every_pair(spark):
-    rng = np.random.default_rng(6)
-    q, d = rng.normal(size=(4, 5)).astype(np.float32), rng.normal(size=(57, 5)).astype(np.float32)
-    d[10:40] = d[3]
-    docs = frame(spark, d).unionByName(spark.createDataFrame([(100, None), (99, None)], "id long, embedding array<float>"))
-    rows = knn.rank_all(frame(spark, q), docs, query_id="id").collect()
-    assert len(rows) == 4 * 59
-    want = brute(q, d, 57)
-    assert {(r["q"], r["id"], r["rank"]) for r in rows if r["score"] is not None} == want
-    assert sorted((r["q"], r["id"], r["rank"]) for r in rows if r["score"] is None) == sorted(
-        (i, 99 + j, 58 + j) for i in range(4) for j in range(2))
-
-
-def test_rank_all_refuses_an_unbounded_query_side(spark):
-    d = frame(spark, np.eye(8, dtype=np.float32))
-    with pytest.raises(ValueError, match="knn_join"):
-        knn.rank_all(d, d, query_id="id", limits=GRID)
+def test_documents_stay_where_they_are(spark, tmp_path):
+    d = np.random.default_rng(7).normal(size=(200, 6)).astype(np.float32)
+    path = str(tmp_path / "docs")
+    frame(spark, d).write.parquet(path)
+    docs = spark.read.parquet(path).withColumnRenamed("embedding", "vec").selectExpr("0 AS cell", "id", "vec")
+    queries = docs.selectExpr("id AS q", "cell", "vec").limit(60)
+    # Three times the budget: several passes, whose only exchange carries (q, id, score).
+    found = knn.cell_topk(queries, docs, 3, knn.KnnLimits(max_broadcast_rows=20))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 3
+    assert not [line for line in plan.splitlines() if "Exchange" in line and "vec" in line]
 
 
 def test_small_side_follows_the_byte_budget(spark):

@@ -6,19 +6,18 @@ import vecloom.functions as V
 from vecloom.operators import search
 from vecloom.sources import maintenance
 
-PRODUCTS = [
-    (1, "Studio Headphones", "headphones whose battery lasts a week", 149.99, "Electronics"),
-    (2, "Hill Tea", "loose tea leaves from a hill farm", 24.99, "Food"),
-    (3, "Desk Chair", "a chair on five castors", 299.99, "Furniture"),
-    (4, "Steel Bottle", "steel bottle for a bicycle", 34.99, "Kitchen"),
-    (5, "Climbing Rope", None, 45.99, "Sports"),
-    (6, "Compact Keyboard", "programmable keys, quiet switches", 129.99, "Electronics"),
+# Library records: id, name, description, price, category.
+SHELF = [
+    (210, "Tide tables", "hours of high and low water for the northern coast", 8.5, "Almanac"),
+    (214, "Knots of the fishing fleet", "how to tie forty knots", 12.0, "Manual"),
+    (305, "Lichens", None, 31.0, "Field guide"),
+    (306, "Mosses of wet heaths", "a key to mosses with drawings", 27.5, "Field guide"),
 ]
 
 
 @pytest.fixture(scope="module")
 def products(spark):
-    df = spark.createDataFrame(PRODUCTS, "id int, name string, description string, price double, category string")
+    df = spark.createDataFrame(SHELF, "id int, name string, description string, price double, category string")
     return maintenance.encode_documents(df, V.compose_text("name", "description"))
 
 
@@ -74,26 +73,26 @@ def test_distance_puts_zero_vectors_and_nulls_last(vectors):
 
 
 def test_products(products):
-    got = search.search_products(products, "headphones with battery", 3)
+    got = search.search_products(products, "knots to tie a boat", 3)
     assert got.columns == ["id", "name", "description", "price", "similarity"]
-    assert got.count() == 3 and got.first()["id"] == 1
-    only = search.search_products_by_category(products, "programmable keyboard", "Electronics")
+    assert got.count() == 3 and got.first()["id"] == 214
+    only = search.search_products_by_category(products, "a key to mosses", "Field guide")
     assert only.columns == ["id", "name", "price", "similarity"]
-    assert ids(only) == [6, 1]
+    assert ids(only) == [306, 305]
 
 
 def test_models_are_not_mixed(spark, products):
     other = V.EncoderSpec(name="other")
     with pytest.raises(Exception, match="vector of model other compared with one of hashing-384"):
-        search.search_topk(products, "tea", 3, spec=other).collect()
+        search.search_topk(products, "tides", 3, spec=other).collect()
 
 
 def test_filter_reaches_the_scan_and_topk_does_not_shuffle(spark, tmp_path, products):
     path = str(tmp_path / "products")
     products.write.parquet(path)
-    found = search.search_products_by_category(spark.read.parquet(path), "tea", "Food")
+    found = search.search_products_by_category(spark.read.parquet(path), "tides", "Almanac")
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(category,Food)" in plan
+    assert "EqualTo(category,Almanac)" in plan
     assert "TakeOrderedAndProject" in plan and "Exchange" not in plan and "Join" not in plan
     assert "description" not in plan
 

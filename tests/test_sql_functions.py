@@ -53,3 +53,15 @@ def test_asymmetric_registration(spark):
         assert row["q"] == want
     finally:
         register_functions(spark)
+
+
+def test_sort_distance_and_checked_vectors(spark, sql):
+    row = sql("""SELECT vector_distance(array(1f, 0f), array(0f, 2f)) AS d, vector_distance(array(0f), array(1f)) AS z,
+                 vector_distance(array(1f, NULL), array(1f, 1f)) AS n, parse_vector('[1,2.5]', 2) AS p, to_vector(array(1f), 1) AS v,
+                 parse_vector(NULL, 2) AS pn""")[0]
+    assert row["d"] == 1.0 and row["z"] != row["z"] and row["n"] is None
+    assert row["p"] == [1.0, 2.5] and row["v"] == [1.0] and row["pn"] is None
+    with pytest.raises(Exception, match="expected 3 dimensions, not 2"):
+        sql("SELECT parse_vector('[1,2]', 3)")
+    with pytest.raises(Exception, match="different vector dimensions"):
+        sql("SELECT vector_distance(array(1f), array(1f, 2f))")

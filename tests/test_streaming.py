@@ -34,7 +34,7 @@ def test_upserts_take_the_last_change_and_replay_safely(spark, tmp_path):
     def run(checkpoint):
         stream = spark.readStream.schema(schema).parquet(source)
         embed.stream_upsert(stream, table, checkpoint, key="id", text="text", order_by="seq", spec=SPEC, once=True).awaitTermination()
-        return {r["id"]: (r["text"], r["embedding"]) for r in embed.read_upserts(spark, table, "id").collect()}
+        return {r["id"]: (r["text"], r["embedding"]) for r in embed.read_upserts(spark, table, "id", "seq").collect()}
 
     a, c, d = encoded(spark, "a", "c", "d")
     spark.createDataFrame([(1, "a", 1), (2, "b", 1), (2, "c", 2)], schema).coalesce(1).write.parquet(source)
@@ -46,8 +46,8 @@ def test_upserts_take_the_last_change_and_replay_safely(spark, tmp_path):
     spark.read.parquet(table)  # batches 0 and 1
     assert spark.read.parquet(table).select("batch_id").distinct().count() == 2
     target = str(tmp_path / "compacted")
-    embed.compact(spark, table, target, "id")
-    got = {r["id"]: (r["text"], r["embedding"]) for r in embed.read_upserts(spark, target, "id").collect()}
+    embed.compact(spark, table, target, "id", "seq")
+    got = {r["id"]: (r["text"], r["embedding"]) for r in embed.read_upserts(spark, target, "id", "seq").collect()}
     assert got == want
 
 
@@ -67,3 +67,16 @@ def test_embedding_a_stream_needs_no_state_or_shuffle(spark, tmp_path):
     spark.createDataFrame([(1, "a")], "id int, text string").write.parquet(source)
     batch = embed.stream_embed(spark.read.parquet(source), "text", SPEC)
     assert "Exchange" not in batch._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_late_change_loses_and_brought_vectors_stay(spark, tmp_path):
+    source, table, check = (str(tmp_path / n) for n in ("in", "table", "check"))
+    schema = "id int, text string, seq int, embedding array<float>, model string"
+    for rows in ([(1, "a", 5, None, None), (2, "b", 1, MARK, "theirs")], [(1, "too late", 2, None, None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).parquet(source)
+        embed.stream_upsert(stream, table, check, key="id", text="text", order_by="seq", spec=SPEC, mode="if_null",
+                            once=True).awaitTermination()
+    (a,) = encoded(spark, "a")
+    got = {r["id"]: (r["text"], r["embedding"], r["model"]) for r in embed.read_upserts(spark, table, "id", "seq").collect()}
+    assert got == {1: ("a", a, SPEC.name), 2: ("b", MARK, "theirs")}

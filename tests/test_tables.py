@@ -140,3 +140,40 @@ def test_upsert_does_not_shuffle_the_table(spark, tmp_path):
     df = maintenance.upsert_embeddings(spark.read.parquet(path), spark.read.parquet(path + "c"), "id", ["text"], F.col("text"), SPEC)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+
+
+def test_an_emptied_table_stays_empty_and_unfinished_versions_do_not_count(spark, tmp_path):
+    root = str(tmp_path / "versions")
+    tables.replace_table(spark.range(3), root)
+    assert tables.replace_table(tables.current_table(spark, root).filter("id < 0"), root) == 1
+    assert tables.current_table(spark, root).count() == 0
+    spark.range(9).write.parquet(f"{root}/version=2")
+    (tmp_path / "versions" / "version=2" / "_SUCCESS").unlink()
+    assert tables.current_table(spark, root).count() == 0
+    assert tables.replace_table(spark.range(5), root) == 2
+    assert tables.current_table(spark, root).count() == 5
+
+
+def test_null_keys_conflict_with_nothing(spark):
+    existing = spark.createDataFrame([(1, "a"), (None, "b")], "id int, text string")
+    new = spark.createDataFrame([(None, "x"), (None, "y"), (1, "z"), (2, "w")], "id int, text string")
+    got = sorted(r["text"] for r in maintenance.append_ignore_conflicts(new, existing, ["id"]).collect())
+    assert got == ["w", "x", "y"]
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_upsert_keeps_what_the_change_does_not_carry(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(maintenance, "small_copy", lambda df: None)
+    schema = "id int, name string, price double, note string, embedding array<float>, model string, dim int"
+    rows = [(i, "a", 1.0, "keep me", MARK, SPEC.name, 8) for i in (1, 2, 3)] + [(None, "n", 1.0, "null key", MARK, SPEC.name, 8)]
+    existing = spark.createDataFrame(rows, schema)
+    changes = spark.createDataFrame([(1, 9.0), (4, 5.0)], "id int, price double")
+    got = by_id(maintenance.upsert_embeddings(existing, changes, "id", ["name"], F.concat_ws(" ", "name", "note"), SPEC))
+    assert (got[1]["name"], got[1]["price"], got[1]["note"], got[1]["embedding"]) == ("a", 9.0, "keep me", MARK)
+    assert got[2]["embedding"] == MARK and got[None]["note"] == "null key" and len(got) == 5
+    assert got[4]["note"] is None and got[4]["embedding"] == [0.0] * 8
+    renamed = spark.createDataFrame([(1, "b")], "id int, name string")
+    got = by_id(maintenance.upsert_embeddings(existing, renamed, "id", ["name"], F.concat_ws(" ", "name", "note"), SPEC))
+    want = spark.createDataFrame([("b keep me",)], "t string").select(V.embed_encode("t", SPEC)).first()[0]
+    assert got[1]["embedding"] == want and got[1]["price"] == 1.0

@@ -2,6 +2,7 @@
 
 from vecloom.functions.encoders import (
     HASHING,
+    HASHING_512,
     HASHING_ASYMMETRIC,
     HASHING_WHOLE,
     EncoderSpec,
@@ -29,6 +30,7 @@ from vecloom.functions.vectors import (
 
 __all__ = [
     "HASHING",
+    "HASHING_512",
     "HASHING_ASYMMETRIC",
     "HASHING_WHOLE",
     "EncoderSpec",

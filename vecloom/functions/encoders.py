@@ -40,20 +40,23 @@ _BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
 class EncoderSpec:
     """What must agree for two vectors to be comparable.
 
-    ``max_tokens=None`` lifts the token limit so that whole texts count;
-    ``model_dir`` switches from hashing to a model kept in that directory.  A text
+    Hashing reads whole texts unless ``max_tokens`` cuts them.  ``model_dir``
+    switches to a model kept in that directory, whose limit is ``MAX_TOKENS``
+    unless another is given.  A text
     the model fails on gets a zero vector, or fails the job when ``strict``.
     """
 
     name: str = "hashing-384"
     dim: int = EMBEDDING_DIM
-    max_tokens: int | None = MAX_TOKENS
+    max_tokens: int | None = None
     pooling: str = "mean"
     query_prefix: str | None = None
     model_dir: str | None = None
     strict: bool = False
 
     def __post_init__(self):
+        if self.model_dir is not None and self.max_tokens is None:
+            object.__setattr__(self, "max_tokens", MAX_TOKENS)
         if self.dim < 1:
             raise ValueError("dim must be positive")
         if self.max_tokens is not None and self.max_tokens < 1:
@@ -70,11 +73,13 @@ class EncoderSpec:
         return replace(self, name=f"{self.name}-whole", max_tokens=None)
 
     def info(self) -> str:
-        side = "asymmetric (use embed_query for searches)" if self.is_asymmetric else "symmetric"
-        return f"{self.name} | {self.dim} dims | pooling: {self.pooling} | {side}"
+        """The spec as ``name=value`` pairs."""
+        limit = "none" if self.max_tokens is None else self.max_tokens
+        return f"name={self.name};dim={self.dim};max_tokens={limit};pooling={self.pooling};query_prefix={int(self.is_asymmetric)}"
 
 
 HASHING = EncoderSpec()
+HASHING_512 = EncoderSpec(name="hashing-384-512", max_tokens=MAX_TOKENS)
 HASHING_WHOLE = HASHING.whole_text()
 HASHING_ASYMMETRIC = EncoderSpec(name="hashing-384-asymmetric", query_prefix=RETRIEVAL_PREFIX)
 

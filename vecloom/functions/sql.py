@@ -36,6 +36,18 @@ _PAIRWISE = {
 }
 
 
+# Sort key: NaN for zero vectors, NULL for missing ones, an error where lengths differ.
+_SORT_DISTANCE = (
+    "CASE WHEN a IS NULL OR b IS NULL OR exists(a, x -> x IS NULL) OR exists(b, x -> x IS NULL) THEN NULL "
+    "WHEN size(a) <> size(b) THEN raise_error(concat('different vector dimensions, ', size(a), ' and ', size(b))) "
+    f"WHEN {_NORMS} = 0 THEN double('NaN') ELSE 1D - {_DOT} / ({_NORMS}) END"
+)
+_CHECKED = (
+    "CASE WHEN v IS NULL OR size(v) = n THEN v "
+    "ELSE raise_error(concat('expected ', n, ' dimensions, not ', size(v))) END"
+)
+
+
 def _quote(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -48,6 +60,10 @@ def register_functions(spark: SparkSession, spec: EncoderSpec = HASHING) -> None
     """Create the session functions, encoding with ``spec``."""
     for name, body in _PAIRWISE.items():
         _define(spark, name, "a ARRAY<FLOAT>, b ARRAY<FLOAT>", "FLOAT", body)
+    _define(spark, "vector_distance", "a ARRAY<FLOAT>, b ARRAY<FLOAT>", "DOUBLE", _SORT_DISTANCE)
+    _define(spark, "to_vector", "v ARRAY<FLOAT>, n INT", "ARRAY<FLOAT>", _CHECKED)
+    parsed = "from_json(literal, 'array<float>', map('mode', 'FAILFAST'))"
+    _define(spark, "parse_vector", "literal STRING, n INT", "ARRAY<FLOAT>", f"to_vector({parsed}, n)")
     spark.udf.register("vector_literal", _vector_literal_udf)
     spark.udf.register("embed_encode", encoder_udf(spec))
     query = "text"
@@ -57,7 +73,7 @@ def register_functions(spark: SparkSession, spec: EncoderSpec = HASHING) -> None
     _define(spark, "embed_query", "text STRING", vector, f"embed_encode({query})")
     _define(spark, "embed_text", "text STRING", "STRING", "vector_literal(embed_encode(text))")
     _define(spark, "embed_query_text", "text STRING", "STRING", f"vector_literal(embed_encode({query}))")
-    _define(spark, "to_embedding", "text STRING", vector, "embed_encode(text)")
+    _define(spark, "to_embedding", "text STRING", vector, f"to_vector(embed_encode(text), {spec.dim})")
     pair = _PAIRWISE["cosine_similarity"]
     inner = f"SELECT {pair} FROM (SELECT embed_encode(text1) AS a, embed_encode(text2) AS b)"
     _define(spark, "text_similarity", "text1 STRING, text2 STRING", "FLOAT", f"({inner})")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions import kernels
 from vecloom.functions.vectors import cosine_similarity
-from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _ids, _query_matrix, small_side
+from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _ids, _query_matrix, passes, small_side
 from vecloom.operators.search import guarded_vector, query_model
 from vecloom.sources.scratch import materialize
 
@@ -59,18 +61,13 @@ def evaluate(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", expect
     d = docs.select(F.col(doc_id).alias("id"), guarded_vector(docs, vec_col, query_model(queries, docs)).alias("vec"))
     schema = f"q {q.schema['q'].dataType.simpleString()}, ahead long, wrong double"
     table = small_side(q, "q", "vec", limits)
-    if table is not None:
-        # The measured queries go to the documents, which stay where they are.
-        spark = docs.sparkSession
-        asked = _expected_scores(F.broadcast(spark.createDataFrame(table, q.schema)), d).toArrow().combine_chunks()
-        shared = spark.sparkContext.broadcast(asked)
-
-        def count(batches):
-            if shared.value.num_rows:
-                yield from _count_block(shared.value, batches).to_batches()
-
-        partials = d.mapInArrow(count, schema)
-        named = spark.createDataFrame(asked.select(["q", "expect", "expect_score"]))
+    slices = None if table is not None else passes(q, "q", "vec", limits)
+    if table is not None or slices is not None:
+        # Measured slices of the queries go to the documents, which stay where they are.
+        tables = [table] if table is not None else [s.toArrow().combine_chunks() for s in slices]
+        counted = [_count_pass(t, q.schema, d, schema) for t in tables]
+        partials = reduce(DataFrame.unionByName, (c[0] for c in counted))
+        named = reduce(DataFrame.unionByName, (c[1] for c in counted))
     else:
         # Counted, sent to the blocks and joined with the totals: written once.
         asked = materialize(_expected_scores(q, d), "expected_scores")
@@ -86,6 +83,34 @@ def evaluate(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", expect
     )
 
 
+def _count_pass(table: pa.Table, q_schema, docs: DataFrame, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Counters of one slice of queries, and its rows with their expected scores."""
+    spark = docs.sparkSession
+    asked = _expected_scores(F.broadcast(spark.createDataFrame(table, q_schema)), docs).toArrow().combine_chunks()
+    shared = spark.sparkContext.broadcast(asked)
+
+    def count(batches):
+        if shared.value.num_rows:
+            yield from _count_block(shared.value, batches).to_batches()
+
+    return docs.mapInArrow(count, schema), spark.createDataFrame(asked.select(["q", "expect", "expect_score"]))
+
+
+def rank_of(queries: DataFrame, judged: DataFrame, docs: DataFrame, *, query_id: str = "q", doc_id: str = "id",
+            vec_col: str = "embedding", limits: KnnLimits = DEFAULT_LIMITS) -> DataFrame:
+    """Rank, score and margin of given (query, document) pairs: q, id, rank, score, margin.
+
+    ``judged`` has the id columns of both sides and may name several documents per
+    query.  The pairs are counted, not listed: nothing else of the ranking is made.
+    """
+    asked = judged.select(query_id, F.col(doc_id).alias("expect")).join(queries, query_id)
+    pairs = asked.withColumn("pair", F.struct(F.col(query_id).alias("q"), F.col("expect").alias("id")))
+    found = evaluate(pairs, docs, query_id="pair", doc_id=doc_id, vec_col=vec_col, limits=limits)
+    return found.select(
+        "query.q", "query.id", F.col("rank_of_expected").alias("rank"), "score", F.col("margin_over_best_wrong").alias("margin")
+    )
+
+
 def _grid_counts(asked: DataFrame, docs: DataFrame, schema: str, limits: KnnLimits) -> DataFrame:
     """Both sides large: bounded hash blocks meet in a grid, once each."""
     q_blocks = max(1, -(-asked.count() // limits.query_block))

@@ -1,12 +1,15 @@
-"""Exact and cell-restricted k-nearest-neighbour joins, and full ranking.
+"""Exact and cell-restricted k-nearest-neighbour joins.
 
 Two physical forms, chosen by measuring the query side:
 
 * **queries fit in a checked budget** - their matrix travels to every task once
   and the documents never move; each task keeps a running top ``k`` per query.
-* **both sides are large** - both are cut into hash blocks of bounded size that
-  meet in a grid of (cell, query block, document block) tasks.  A cell of any
-  size is split into as many blocks as it needs.
+* **more queries** - they are cut into passes that each fit the budget; the
+  documents are read once per pass and still never move.
+* **more passes than is worth reading the documents for** - both sides are cut
+  into hash blocks of bounded size that meet in a grid of (cell, query block,
+  document block) tasks.  A cell of any size is split into as many blocks as it
+  needs.
 
 Neither form emits pairs: a task sends on at most ``k`` rows per query, and a
 window with ``row_number <= k`` merges those.  All results are exact for the
@@ -17,6 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions import kernels
 from vecloom.operators.search import guarded_vector, query_model
-from vecloom.sources.scratch import scratch_path, small_copy
+from vecloom.sources.scratch import materialize, small_copy
 
 
 @dataclass(frozen=True)
@@ -34,7 +38,8 @@ class KnnLimits:
     """Size bounds; the defaults suit executors with a few GB per core."""
 
     broadcast_bytes: int = 64 << 20
-    max_broadcast_rows: int = 20_000
+    max_broadcast_rows: int = 10_000_000
+    max_passes: int = 16
     query_block: int = 16_384
     doc_block: int = 16_384
 
@@ -43,21 +48,29 @@ DEFAULT_LIMITS = KnnLimits()
 _NAMED_CELLS = 1_000
 
 
-def small_side(df: DataFrame, id_col: str, vec_col: str, limits: KnnLimits) -> pa.Table | None:
-    """The rows as one Arrow table if they fit the budget, else ``None``.
-
-    The budget in rows follows from the length of one vector (all must agree);
-    whether there are more is settled on ids alone, reading no further than that
-    many, so checking a large table is cheap.
-    """
+def budget_rows(df: DataFrame, vec_col: str, limits: KnnLimits, k: int = 0) -> int:
+    """Query rows that fit the budget, with their vectors and ``k`` answers each (all lengths must agree)."""
     vec = F.col(vec_col)
     probe = df.filter(vec.isNotNull()).select(F.size(vec)).take(1)
     width = 4 * max(1, probe[0][0]) if probe else 4
-    rows = min(limits.max_broadcast_rows, limits.broadcast_bytes // width)
-    if len(df.select(id_col).take(rows + 1)) > rows:
+    return max(1, min(limits.max_broadcast_rows, limits.broadcast_bytes // (width + 24 * k)))
+
+
+def small_side(df: DataFrame, id_col: str, vec_col: str, limits: KnnLimits, k: int = 0) -> pa.Table | None:
+    """The rows as one Arrow table if they fit the budget, else ``None``; fetched once, no further than the budget."""
+    rows = budget_rows(df, vec_col, limits, k)
+    table = df.limit(rows + 1).toArrow()
+    return table.combine_chunks() if table.num_rows <= rows and table.nbytes <= 2 * limits.broadcast_bytes else None
+
+
+def passes(df: DataFrame, id_col: str, vec_col: str, limits: KnnLimits, k: int = 0) -> list[DataFrame] | None:
+    """The query side in slices of about half the budget, or ``None`` if there were more than ``max_passes``."""
+    stored = materialize(df, "queries")
+    count = max(1, -(-2 * stored.count() // budget_rows(stored, vec_col, limits, k)))
+    if count > limits.max_passes:
         return None
-    table = df.toArrow()
-    return table.combine_chunks() if table.nbytes <= 2 * limits.broadcast_bytes else None
+    number = F.pmod(F.xxhash64(id_col, F.lit(3)), F.lit(count))
+    return [stored.filter(number == i) for i in range(count)]
 
 
 def _column(table: pa.Table, name: str) -> pa.Array:
@@ -217,10 +230,13 @@ def cell_topk(queries: DataFrame, docs: DataFrame, k: int, limits: KnnLimits = D
     if k < 1:
         raise ValueError("k must be at least 1")
     q_type, id_type = queries.schema["q"].dataType.simpleString(), docs.schema["id"].dataType.simpleString()
-    table = small_side(queries, "q", "vec", limits)
-    if table is not None:
-        # Within a task a document may fill up to `copies` places of a query.
-        partials = _broadcast_topk(table, docs, k * copies, q_type, id_type)
+    table = small_side(queries, "q", "vec", limits, k * copies)
+    slices = None if table is not None else passes(queries, "q", "vec", limits, k * copies)
+    if table is not None or slices is not None:
+        # All rows of a query are in one slice.  Within a task a document may fill up to `copies` of its places.
+        tables = [table] if table is not None else [s.toArrow().combine_chunks() for s in slices]
+        found = [_broadcast_topk(t, docs, k * copies, q_type, id_type) for t in tables if t.num_rows or len(tables) == 1]
+        partials = reduce(DataFrame.unionByName, found)
         if copies > 1:
             partials = partials.dropDuplicates(["q", "id"])
     else:
@@ -239,70 +255,3 @@ def knn_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str = "q"
     vec = guarded_vector(docs, vec_col, query_model(queries, docs))
     d = docs.select(F.lit(0).alias("cell"), F.col(doc_id).alias("id"), vec.alias("vec"))
     return cell_topk(q, d, k, limits)
-
-
-def _score_all(queries: pa.Table, docs: DataFrame, q_type: str, id_type: str) -> DataFrame:
-    matrix, present = _query_matrix(queries, "vec")
-    shared = docs.sparkSession.sparkContext.broadcast((matrix, present, _column(queries, "q")))
-
-    def score(batches):
-        matrix, q_known, q_ids = shared.value
-        step = max(1, 1_000_000 // len(q_ids))
-        for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                docs_matrix, known, _ = kernels.pack(batch.column("vec"), matrix.shape[1])
-                scores = np.round(matrix @ kernels.unit_rows(docs_matrix).T, kernels.SCORE_DIGITS)
-                n_q, n_d = scores.shape
-                blank = ~(q_known[:, None] & known[None, :])
-                yield pa.RecordBatch.from_pydict({
-                    "q": q_ids.take(pa.array(np.repeat(np.arange(n_q), n_d))),
-                    "id": batch.column("id").take(pa.array(np.tile(np.arange(n_d), n_q))),
-                    "score": pa.array(scores.ravel(), mask=blank.ravel()),
-                })
-
-    return docs.select("id", "vec").mapInArrow(score, _schema(q_type, id_type))
-
-
-def rank_all(queries: DataFrame, docs: DataFrame, *, query_id: str = "q", doc_id: str = "id",
-             vec_col: str = "embedding", limits: KnnLimits = DEFAULT_LIMITS) -> DataFrame:
-    """Every document with its rank for every query: q, id, score, rank.
-
-    The output is queries x documents by definition, so the query side must fit
-    the checked budget; use :func:`knn_join` or the evaluation job otherwise.
-
-    Ranks come from one range partitioning on (query, score, id), not from a
-    window: a window would pull all documents of a query into a single task.
-    The sorted rows are written once, and a row's rank is its place in its
-    partition plus the sizes of the partitions before it.
-    """
-    spark = docs.sparkSession
-    q = queries.select(F.col(query_id).alias("q"), F.col(vec_col).alias("vec"))
-    d = docs.select(F.col(doc_id).alias("id"), guarded_vector(docs, vec_col, query_model(queries, docs)).alias("vec"))
-    table = small_side(q, "q", "vec", limits)
-    if table is None:
-        raise ValueError("rank_all lists every pair; use knn_join for a query side of this size")
-    if table.num_rows == 0:
-        raise ValueError("rank_all needs at least one query")
-    q_type, id_type = q.schema["q"].dataType.simpleString(), d.schema["id"].dataType.simpleString()
-    order = [F.asc("q"), F.desc_nulls_last("score"), F.asc("id")]
-    path = scratch_path(spark, "rank_all")
-    (
-        _score_all(table, d, q_type, id_type)
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .withColumn("_row", F.monotonically_increasing_id())
-        .write.parquet(path)
-    )
-    rows = spark.read.parquet(path).withColumn("_part", F.shiftright("_row", 33))
-    rows = rows.withColumn("_place", F.col("_row") - F.shiftleft("_part", 33))
-    # One row per partition, and one per query of the bounded query side.
-    sizes = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    placed = rows.join(F.broadcast(offsets), "_part").withColumn("_at", F.col("_offset") + F.col("_place"))
-    starts = placed.groupBy("q").agg(F.min("_at").alias("_start"))
-    return placed.join(F.broadcast(starts), "q").select(
-        "q", "id", "score", (F.col("_at") - F.col("_start") + 1).alias("rank")
-    )
-

@@ -28,8 +28,8 @@ def query_vector(spark: SparkSession, query, spec: EncoderSpec = HASHING, vec_co
         if len(rows) != 1:
             raise ValueError("the query DataFrame must have exactly one row")
         query = rows[0][0]
-    if query is None:
-        raise ValueError("the query vector is NULL")
+    if query is None or any(x is None for x in query):
+        raise ValueError("the query vector is NULL or holds a NULL")
     return np.asarray(query, dtype=np.float64)
 
 

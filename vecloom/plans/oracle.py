@@ -68,9 +68,12 @@ KNN = f"""SELECT q, id, round(s, 6) AS score, rank FROM (
         SELECT q.vec_id AS q, d.vec_id AS id, round(list_cosine_similarity(d.e, q.e), 9) AS s
         FROM ({UNIT}) q CROSS JOIN ({UNIT}) d)) WHERE rank <= 5"""
 
-RANK_ALL = f"""SELECT q, id, round(s, 6) AS score, row_number() OVER (PARTITION BY q ORDER BY s DESC, id) AS rank FROM (
-    SELECT q.label::BIGINT AS q, d.vec_id AS id, round(list_cosine_similarity(d.e, q.e), 9) AS s
-    FROM (SELECT label, arg_min(e, vec_id) AS e FROM ({UNIT}) GROUP BY label) q CROSS JOIN ({UNIT}) d)"""
+RANK_OF = f"""SELECT q, id, rank, round(s, 6) AS score, round(s - wrong, 6) AS margin FROM (
+    SELECT q, own, id, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, id) AS rank,
+           CASE WHEN id = first(id) OVER best THEN nth_value(s, 2) OVER best ELSE first(s) OVER best END AS wrong FROM (
+        SELECT q.label::BIGINT AS q, d.label = q.label AS own, d.vec_id AS id, round(list_cosine_similarity(d.e, q.e), 9) AS s
+        FROM (SELECT label, arg_min(e, vec_id) AS e FROM ({UNIT}) GROUP BY label) q CROSS JOIN ({UNIT}) d)
+    WINDOW best AS (PARTITION BY q ORDER BY s DESC, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) WHERE own"""
 
 
 def evaluated(name: str, dim: int) -> str:
@@ -161,7 +164,7 @@ ORACLE: dict[str, str] = {
     "encode_documents_token_limit": fingerprint(DOCS, "id AS doc_id", DOCS, limit=512),
     "encode_queries": PREFIXED,
     "embed_query_text_literal": PREFIXED,
-    "encode_composed_text": fingerprint(PRODUCTS, "id", PRODUCTS, limit=512),
+    "encode_composed_text": fingerprint(PRODUCTS, "id", PRODUCTS),
     "encode_batch": "WITH " + ", ".join(
         hashed(f"h{i}", f"SELECT p_partkey AS id, {c} AS text FROM part") + f", {prints(f'h{i}')}"
         for i, c in ((0, "p_name"), (1, "p_type"), (3, "p_brand"))
@@ -210,7 +213,8 @@ ORACLE: dict[str, str] = {
              AND c.chunk_index BETWEEN h.chunk_index - 1 AND h.chunk_index + 1
         GROUP BY h.id, h.title, h.source, h.s""",
     "knn_join": KNN,
-    "rank_all": RANK_ALL,
+    "rank_of": RANK_OF,
+    "sql_vector_search": f"SELECT vec_id, round(s, 6) AS similarity FROM ({ONE}) ORDER BY s DESC, vec_id LIMIT 5",
     "ann_ivf_full_probe": KNN,
     "eval_per_query": f"""WITH {TRUTH}, {evaluated('e', 384)}
         SELECT query, expected_doc, rank_of_expected, round(score, 4) AS score, round(margin, 4) AS margin_over_best_wrong FROM e""",
@@ -229,6 +233,11 @@ ORACLE: dict[str, str] = {
     "upsert_if_null": kept_or_encoded(UPSERTED, "d.lang <> 'fr'", ", d.lang"),
     "append_ignore_conflicts": """SELECT doc_id, lang, least(source, 'again ' || source) AS source FROM documents
         WHERE lang NOT IN ('en', 'fr')""",
+    "upsert_partial_columns": f"""SELECT doc_id, lang, CASE WHEN lang = 'de' THEN 'moved' ELSE source END AS source,
+        length(text) AS n_chars, {MARK_NNZ}::BIGINT AS nnz, {MARK_SUM} AS checksum FROM documents""",
+    "append_null_keys": """SELECT CASE WHEN lang <> 'fr' THEN doc_id END AS doc_id, source FROM documents
+        WHERE lang = 'fr' OR doc_id % 2 <> 0""",
+    "source_lookup": "SELECT doc_id, lang FROM documents WHERE source = 'src3'",
     "column_defaults": """SELECT doc_id, CASE WHEN lang <> 'en' THEN source ELSE 'unknown' END AS source, '{}' AS metadata,
         0::BIGINT AS chunk_index, true AS dated FROM documents""",
     "append_rows": "SELECT doc_id, lang, source FROM documents",
@@ -249,6 +258,9 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 'stale_model', 'ok', '0 rows'""",
     "metadata_filter": "SELECT event_id, event_type FROM events WHERE json_extract_string(props, '$.k') = '7'",
     "stream_embed": fingerprint(DOCS, "id AS doc_id", DOCS),
+    "stream_upsert_out_of_order": f"""WITH {hashed('h', DOCS)}, {prints('h')}
+        SELECT d.doc_id, d.lang, coalesce(nnz, 0) AS nnz, round(coalesce(checksum, 0.0::DOUBLE), 6) AS checksum
+        FROM documents d LEFT JOIN h_f ON h_f.id = d.doc_id""",
     "stream_upsert": f"""WITH {hashed('h', EDITED_TWICE)}, {prints('h')}
         SELECT d.doc_id, d.lang, coalesce(nnz, 0) AS nnz, round(coalesce(checksum, 0.0::DOUBLE), 6) AS checksum
         FROM documents d LEFT JOIN h_f ON h_f.id = d.doc_id""",

@@ -145,7 +145,7 @@ def encode_documents(spark, sf_dir):
 
 def encode_documents_token_limit(spark, sf_dir):
     docs = texts(spark, sf_dir, "text")
-    return fingerprint(maintenance.encode_documents(docs, "text", V.HASHING), "doc_id")
+    return fingerprint(maintenance.encode_documents(docs, "text", V.HASHING_512), "doc_id")
 
 
 def encode_queries(spark, sf_dir):
@@ -213,6 +213,20 @@ def sql_functions(spark, sf_dir):
     )
 
 
+def sql_vector_search(spark, sf_dir):
+    register_functions(spark, V.HASHING_WHOLE)
+    tables.register_view(load(spark, sf_dir, "embeddings"), "vecloom_vectors")
+    spark.sql("DECLARE OR REPLACE VARIABLE vecloom_probe ARRAY<FLOAT>")
+    spark.sql("SET VAR vecloom_probe = (SELECT parse_vector(vector_literal(embedding), 64) FROM vecloom_vectors WHERE vec_id = 0)")
+    return spark.sql(
+        """
+        SELECT vec_id, round(1 - distance, 6) AS similarity
+        FROM (SELECT vec_id, vector_distance(to_vector(embedding, 64), vecloom_probe) AS distance FROM vecloom_vectors)
+        ORDER BY distance, vec_id LIMIT 5
+        """
+    )
+
+
 # Retrieval ------------------------------------------------------------------
 
 
@@ -298,11 +312,13 @@ def knn_join(spark, sf_dir):
     return _ranked(knn.knn_join(e, e, 5, query_id="vec_id", doc_id="vec_id"))
 
 
-def rank_all(spark, sf_dir):
+def rank_of(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings")
     firsts = pooling.cls_pool(e, "label", "embedding", "vec_id")
     firsts = firsts.select(F.col("label").cast("long").alias("label"), "embedding")
-    return _ranked(knn.rank_all(firsts, e, query_id="label", doc_id="vec_id"))
+    judged = e.select(F.col("label").cast("long").alias("label"), "vec_id")
+    ranked = evaluate.rank_of(firsts, judged, e, query_id="label", doc_id="vec_id")
+    return ranked.select("q", "id", "rank", rounded("score").alias("score"), rounded("margin").alias("margin"))
 
 
 # Approximate retrieval ------------------------------------------------------
@@ -407,6 +423,24 @@ def upsert_if_null(spark, sf_dir):
     return fingerprint(_upsert(spark, sf_dir, "if_null"), "doc_id", "lang")
 
 
+def upsert_partial_columns(spark, sf_dir):
+    """Changes without the text: other columns and the vector stay."""
+    existing = _marked(load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    changes = load(spark, sf_dir, "documents").filter("lang = 'de'").select("doc_id", F.lit("moved").alias("source"))
+    merged = maintenance.upsert_embeddings(existing, changes, "doc_id", ["text"], "text", V.HASHING_WHOLE)
+    return fingerprint(merged.withColumn("n_chars", F.length("text").cast("long")), "doc_id", "lang", "source", "n_chars")
+
+
+def append_null_keys(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select(F.when(F.col("lang") != "fr", F.col("doc_id")).alias("doc_id"), "source")
+    existing = docs.filter(F.col("doc_id").isNull() | (F.col("doc_id") % 2 == 0))
+    return maintenance.append_ignore_conflicts(docs, existing, ["doc_id"], first_by="source")
+
+
+def source_lookup(spark, sf_dir):
+    return load(spark, sf_dir, "documents").filter(F.col("source") == "src3").select("doc_id", "lang")
+
+
 def append_ignore_conflicts(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     again = docs.withColumn("source", F.concat(F.lit("again "), F.col("source")))
@@ -480,7 +514,19 @@ def stream_upsert(spark, sf_dir):
         arriving = spark.readStream.schema(docs.schema).parquet(f"{root}/changes/*")
         embed.stream_upsert(arriving, f"{root}/table", f"{root}/checkpoint", key="doc_id", text="text", order_by="seq",
                             spec=V.HASHING_WHOLE, once=True).awaitTermination()
-    return fingerprint(embed.read_upserts(spark, f"{root}/table", "doc_id"), "doc_id", "lang")
+    return fingerprint(embed.read_upserts(spark, f"{root}/table", "doc_id", "seq"), "doc_id", "lang")
+
+
+def stream_upsert_out_of_order(spark, sf_dir):
+    root = scratch_path(spark, "stream_upsert_late")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "text", F.lit(5).alias("seq"))
+    late = docs.filter(F.col("lang") == "en").withColumns({"text": F.lit("too late"), "seq": F.lit(2)})
+    for step, rows in enumerate((docs, late)):
+        rows.write.parquet(f"{root}/changes/step={step}")
+        arriving = spark.readStream.schema(docs.schema).parquet(f"{root}/changes/*")
+        embed.stream_upsert(arriving, f"{root}/table", f"{root}/checkpoint", key="doc_id", text="text", order_by="seq",
+                            spec=V.HASHING_WHOLE, once=True).awaitTermination()
+    return fingerprint(embed.read_upserts(spark, f"{root}/table", "doc_id", "seq"), "doc_id", "lang")
 
 
 QUERIES: dict[str, Query] = {
@@ -493,14 +539,16 @@ QUERIES: dict[str, Query] = {
         for q in (
             vector_edge_cases, vector_literal, vector_literal_roundtrip, l2_normalize, mean_pool, cls_pool,
             encode_documents, encode_documents_token_limit, encode_queries, encode_composed_text, encode_batch,
-            embed_text_literal, embed_query_text_literal, text_similarity, sql_functions,
+            embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
-            knn_join, rank_all, ann_ivf_full_probe, ann_ivf, ann_lsh,
+            knn_join, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh,
             eval_per_query, eval_summary, compare_models, compare_summaries,
-            backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, append_ignore_conflicts, column_defaults,
+            backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_partial_columns,
+            append_ignore_conflicts, append_null_keys, source_lookup, column_defaults,
             append_rows, latest_changes,
             replace_table, add_vector_column, embedding_status, metadata_filter, stream_embed, stream_upsert,
+            stream_upsert_out_of_order,
         )
     },
 }

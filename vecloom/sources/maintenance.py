@@ -7,6 +7,7 @@ narrow pass over the table encodes exactly the rows that need it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,14 +60,17 @@ def append_ignore_conflicts(new: DataFrame, existing: DataFrame, keys: Sequence[
     """Rows of ``new`` whose key is neither in ``existing`` nor seen before.
 
     Of several new rows with one key the lowest by ``first_by`` stays (any one
-    where it is not given).  Only keys of the existing table are read: those of
-    a few new rows are looked up in place, without a shuffle of the table; else
-    they are made distinct inside each task before they move, so a key that
-    fills the table crosses the shuffle once per task.
+    where it is not given).  A key with a NULL conflicts with nothing: such rows
+    all stay.  Only keys of the existing table are read: those of a few new rows
+    are looked up in place, without a shuffle of the table; else they are made
+    distinct inside each task before they move, so a key that fills the table
+    crosses the shuffle once per task.
     """
     keys = list(keys)
-    known = existing.select(*keys)
-    few = small_copy(new.select(*keys).distinct())
+    keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+    free, new = new.where(~keyed), new.where(keyed)
+    known = existing.select(*keys).where(keyed)
+    few = small_copy(new.select(*keys))
     if few is not None:
         known = known.join(few, keys, "left_semi")
     if first_by is None:
@@ -74,7 +78,7 @@ def append_ignore_conflicts(new: DataFrame, existing: DataFrame, keys: Sequence[
     else:
         first = F.min_by(F.struct(*[F.col(c) for c in new.columns]), first_by).alias("_row")
         candidates = new.groupBy(*keys).agg(first).select("_row.*")
-    return candidates.join(known.distinct(), keys, "left_anti").select(*new.columns)
+    return candidates.join(known.distinct(), keys, "left_anti").select(*new.columns).unionByName(free)
 
 
 def latest_changes(changes: DataFrame, key: str, order_by) -> DataFrame:
@@ -89,50 +93,53 @@ def upsert_embeddings(existing: DataFrame, changes: DataFrame, key: str, watched
 
     ``on_change`` encodes new rows and rows whose watched columns differ
     (NULL-safe).  ``if_null`` encodes new rows that bring no vector and leaves
-    updated rows with the vector they have or bring.
+    updated rows with the vector they have or bring.  Columns that the changes
+    do not carry keep their values; a watched one among them is unchanged.
 
-    Both tables have one row per key (see :func:`latest_changes`).  The existing
-    table is only filtered by the changed keys; where those are few they go to
-    the table, which is not shuffled.
+    Both tables have one row per key (see :func:`latest_changes`).  Where the
+    changed keys are few they go to the table, which is not shuffled; else one
+    outer join moves it once.
     """
     if mode not in ("on_change", "if_null"):
         raise ValueError("mode must be 'on_change' or 'if_null'")
-    keys = changes.select(key)
-    few = small_copy(keys)
-    keys = keys if few is None else few
-    untouched = existing.join(keys, key, "left_anti").select(*existing.columns)
-    carried = [vec_col, *[c for c in ("model", "dim") if c in existing.columns]]
-    old_columns = list(dict.fromkeys([*watched, *carried]))
-    old = existing.join(keys, key, "left_semi").select(
-        key, *[F.col(c).alias(f"_old_{c}") for c in old_columns], F.lit(True).alias("_known")
-    )
-    merged = changes.join(old, key, "left").withColumn("_new", F.col("_known").isNull())
+    own = [c for c in existing.columns if c != key]
+    old = existing.select(key, *[F.col(c).alias(f"_old_{c}") for c in own], F.lit(True).alias("_known"))
+    changes = changes.withColumn("_changed", F.lit(True))
+    few = small_copy(changes.select(key))
+    if few is not None:
+        untouched = existing.join(few, key, "left_anti").select(*existing.columns)
+        merged = changes.join(old.join(few, key, "left_semi"), key, "left")
+    else:
+        untouched, merged = None, old.join(changes, key, "full_outer")
+    stamps = ("model", "dim")
+    carried = [c for c in changes.columns if c not in (key, "_changed")]
+    # What the change does not carry is what the row had, also for the text to encode.
+    absent = {c: F.col(f"_old_{c}") for c in own if c not in carried and c not in (vec_col, *stamps)}
+    merged = merged.withColumns(absent | {"_new": F.col("_known").isNull(), "_changed": F.coalesce("_changed", F.lit(False))})
+    brought = F.col(vec_col) if vec_col in carried else F.lit(None).cast("array<float>")
     if mode == "on_change":
-        differs = F.col("_new")
-        for c in watched:
-            differs = differs | ~F.col(c).eqNullSafe(F.col(f"_old_{c}"))
-        kept = F.col(f"_old_{vec_col}")
-        supplied = F.lit(False)
+        differs = [~F.col(c).eqNullSafe(F.col(f"_old_{c}")) for c in watched if c in carried]
+        encode = reduce(lambda a, b: a | b, differs, F.col("_new"))
+        kept, supplied = F.col(f"_old_{vec_col}"), F.lit(False)
     else:
-        brought = F.col(vec_col) if vec_col in changes.columns else F.lit(None).cast("array<float>")
-        differs = F.col("_new") & brought.isNull()
-        kept = F.coalesce(brought, F.col(f"_old_{vec_col}"))
-        supplied = brought.isNotNull()
-    merged = merged.withColumns({"_encode": differs, "_supplied": supplied})
+        encode = F.col("_new") & brought.isNull()
+        kept, supplied = F.coalesce(brought, F.col(f"_old_{vec_col}")), brought.isNotNull()
+    merged = merged.withColumns({"_encode": F.col("_changed") & encode, "_supplied": supplied})
     merged = merged.withColumn("_fresh", embed_encode(F.when(F.col("_encode"), _column(text)), spec))
     columns = []
     for c in existing.columns:
+        if c == key:
+            columns.append(F.col(key))
+            continue
+        before = F.col(f"_old_{c}")
         if c == vec_col:
             value = F.when(F.col("_encode"), F.col("_fresh")).otherwise(kept)
-        elif c in ("model", "dim"):
+        elif c in stamps:
             stamp = F.lit(spec.name if c == "model" else spec.dim)
-            brought_stamp = F.col(c) if c in changes.columns else F.lit(None).cast(existing.schema[c].dataType)
-            value = F.when(F.col("_encode"), stamp).otherwise(
-                F.when(F.col("_supplied"), F.coalesce(brought_stamp, F.col(f"_old_{c}"))).otherwise(F.col(f"_old_{c}"))
-            )
-        elif c in changes.columns:
-            value = F.col(c)
+            named = F.coalesce(F.col(c), before) if c in carried else before
+            value = F.when(F.col("_encode"), stamp).when(F.col("_supplied"), named).otherwise(before)
         else:
-            value = F.lit(None).cast(existing.schema[c].dataType)
-        columns.append(value.alias(c))
-    return untouched.unionByName(merged.select(*columns))
+            value = F.col(c)
+        columns.append(F.when(F.col("_changed"), value).otherwise(before).alias(c))
+    merged = merged.select(*columns)
+    return merged if untouched is None else untouched.unionByName(merged)

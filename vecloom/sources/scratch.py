@@ -47,12 +47,10 @@ def small_copy(df: DataFrame) -> DataFrame | None:
     """A local copy of narrow rows, marked for broadcast, if they are few.
 
     ``None`` beyond the row or byte bound.  No more than the bounded number of
-    rows is read to find out.
+    rows is fetched to find out, once; give it rows that need no shuffle.
     """
-    if len(df.take(_SMALL_ROWS + 1)) > _SMALL_ROWS:
-        return None
-    rows = df.toArrow()
-    if rows.nbytes > _SMALL_BYTES:
+    rows = df.limit(_SMALL_ROWS + 1).toArrow()
+    if rows.num_rows > _SMALL_ROWS or rows.nbytes > _SMALL_BYTES:
         return None
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 

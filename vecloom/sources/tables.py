@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -65,15 +65,18 @@ def metadata_equals(column: str, path: str, value) -> Column:
     return F.get_json_object(F.col(column), path) == str(value)
 
 
-def _latest(spark: SparkSession, root: str) -> int:
-    """Highest complete version under ``root``, or -1 where there is none."""
-    try:
-        versions = spark.read.parquet(root).select(F.max("version")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return -1
-        raise
-    return -1 if versions is None else int(versions)
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the complete versions: their folders hold the mark that a finished write leaves."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    found = []
+    for entry in files.listStatus(path):
+        name = entry.getPath().getName()
+        if re.fullmatch(r"version=\d+", name) and files.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
+            found.append(int(name.removeprefix("version=")))
+    return found
 
 
 def replace_table(df: DataFrame, root: str) -> int:
@@ -81,12 +84,16 @@ def replace_table(df: DataFrame, root: str) -> int:
 
     The new version may be computed from the current one: readers move to it
     only when it is complete, and a failed write leaves the old one in place.
+    A version without rows counts like any other.
     """
-    version = _latest(df.sparkSession, root) + 1
+    version = max(_versions(df.sparkSession, root), default=-1) + 1
     df.write.mode("overwrite").parquet(f"{root}/version={version}")
     return version
 
 
 def current_table(spark: SparkSession, root: str) -> DataFrame:
-    """The latest version of a table written by :func:`replace_table`."""
-    return spark.read.parquet(f"{root}/version={_latest(spark, root)}")
+    """The latest complete version of a table written by :func:`replace_table`."""
+    versions = _versions(spark, root)
+    if not versions:
+        raise FileNotFoundError(f"no complete version under {root}")
+    return spark.read.parquet(f"{root}/version={max(versions)}")

@@ -37,24 +37,32 @@ def write_appends(embedded: DataFrame, path: str, checkpoint: str, once: bool =
 
 
 def stream_upsert(stream: DataFrame, path: str, checkpoint: str, *, key: str, text, order_by: str,
-                  spec: EncoderSpec = HASHING, vec_col: str = "embedding", once: bool = False) -> StreamingQuery:
+                  spec: EncoderSpec = HASHING, vec_col: str = "embedding", mode: str = "on_change",
+                  once: bool = False) -> StreamingQuery:
     """Insert or update rows by key from a stream of changes.
 
     Every micro-batch writes its own folder under ``path`` with the last change
     per key and its vector, and never reads or rewrites the rest of the table:
     its cost follows the batch, not the table.  A replayed batch overwrites its
     own folder, so a restart changes nothing.  :func:`read_upserts` gives the
-    current rows and :func:`compact` folds the folders into one.
+    current rows and :func:`compact` folds the folders into one.  A change that
+    arrives late loses to a newer one by ``order_by``, whatever its batch.
+
+    ``on_change`` encodes every change; ``if_null`` keeps a vector (and model)
+    that a change brings and encodes the others.
 
     Because encoding is deterministic, encoding a change whose text is the same
     as before gives the vector it already had.
     """
-    text = F.col(text) if isinstance(text, str) else text
+    if mode not in ("on_change", "if_null"):
+        raise ValueError("mode must be 'on_change' or 'if_null'")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         changes = latest_changes(batch, key, order_by)
-        vector = {vec_col: embed_encode(text, spec), "model": F.lit(spec.name), "dim": F.lit(spec.dim)}
-        changes.withColumns(vector).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if mode == "on_change":
+            changes = changes.drop(vec_col, "model", "dim")
+        embedded = stream_embed(changes, text, spec, vec_col)
+        embedded.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if once:
@@ -62,17 +70,17 @@ def stream_upsert(stream: DataFrame, path: str, checkpoint: str, *, key: str, te
     return writer.start()
 
 
-def read_upserts(spark: SparkSession, path: str, key: str) -> DataFrame:
-    """Current rows of an upserted table: the newest batch per key.
+def read_upserts(spark: SparkSession, path: str, key: str, order_by: str) -> DataFrame:
+    """Current rows of an upserted table: per key the newest by ``order_by``, then by batch.
 
-    Keys are unique inside a batch folder, so the batch number alone decides.
-    Which batch wins is settled on two narrow columns before any vector moves.
+    Keys are unique inside a batch folder, so the batch number names the row.
+    Which one wins is settled on narrow columns before any vector moves.
     """
     versions = spark.read.parquet(path)
-    newest = versions.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
+    newest = versions.groupBy(key).agg(F.max(F.struct(order_by, "batch_id"))["batch_id"].alias("batch_id"))
     return versions.join(newest, [key, "batch_id"], "left_semi").drop("batch_id")
 
 
-def compact(spark: SparkSession, path: str, target: str, key: str) -> None:
+def compact(spark: SparkSession, path: str, target: str, key: str, order_by: str) -> None:
     """Write the current rows as the oldest batch of a new table at ``target``."""
-    read_upserts(spark, path, key).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    read_upserts(spark, path, key, order_by).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
