@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from vecloom.functions.encoders import RETRIEVAL_PREFIX
+from vecloom.operators.ann import PROJECTIONS, TABLES
 from vecloom.plans.queries import PRODUCT_TEXT, SEARCH_TEXT, THRESHOLD
 
 WORDS = r"regexp_extract_all(lower({text}), '[\p{{L}}\p{{N}}]+')"
@@ -76,6 +77,28 @@ RANK_OF = f"""SELECT q, id, rank, round(s, 6) AS score, round(s - wrong, 6) AS m
     WINDOW best AS (PARTITION BY q ORDER BY s DESC, id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) WHERE own"""
 
 
+IVF = f"""WITH means AS (SELECT label, pos, avg(x) AS m FROM (
+        SELECT label, unnest(e) AS x, unnest(range(64)) AS pos FROM ({UNIT})) GROUP BY ALL),
+    centres AS (SELECT label AS cell, list(m ORDER BY pos) AS c FROM means GROUP BY label),
+    near AS (SELECT vec_id, e, cell, row_number() OVER (PARTITION BY vec_id ORDER BY list_cosine_similarity(e, c) DESC) AS nth
+             FROM ({UNIT}), centres)
+    SELECT q, id, round(s, 6) AS score, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY q ORDER BY s DESC, id) AS rank FROM (
+            SELECT q.vec_id AS q, d.vec_id AS id, round(list_cosine_similarity(d.e, q.e), 9) AS s
+            FROM near q JOIN near d ON d.cell = q.cell AND d.nth = 1 AND q.nth <= 4)) WHERE rank <= 5"""
+
+LSH = f"""WITH signs AS (SELECT t, p, d, CASE WHEN substr(md5(t || ':' || p || ':' || d), 1, 1) < '8' THEN 1.0::DOUBLE ELSE -1.0::DOUBLE END AS w
+        FROM range({TABLES}) a(t), range({PROJECTIONS}) b(p), range(64) c(d)),
+    sides AS (SELECT vec_id, t, p, sum(x * w) > 0 AS up FROM (
+        SELECT vec_id, unnest(e) AS x, unnest(range(64)) AS d FROM ({UNIT})) JOIN signs USING (d) GROUP BY ALL),
+    buckets AS (SELECT vec_id, t, sum(CASE WHEN up THEN 1 << p ELSE 0 END) AS key FROM sides GROUP BY ALL),
+    pairs AS (SELECT DISTINCT q.vec_id AS q, d.vec_id AS id FROM buckets q JOIN buckets d USING (t, key))
+    SELECT q, id, round(s, 6) AS score, rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY q ORDER BY s DESC, id) AS rank FROM (
+            SELECT q, id, round(list_cosine_similarity(d.e, x.e), 9) AS s
+            FROM pairs JOIN ({UNIT}) x ON x.vec_id = q JOIN ({UNIT}) d ON d.vec_id = id)) WHERE rank <= 5"""
+
+
 def evaluated(name: str, dim: int) -> str:
     """CTE ``name(query, expected_doc, rank_of_expected, score, margin)``."""
     passages = "SELECT item_id AS id, text FROM benchmark"
@@ -216,6 +239,8 @@ ORACLE: dict[str, str] = {
     "rank_of": RANK_OF,
     "sql_vector_search": f"SELECT vec_id, round(s, 6) AS similarity FROM ({ONE}) ORDER BY s DESC, vec_id LIMIT 5",
     "ann_ivf_full_probe": KNN,
+    "ann_ivf": IVF,
+    "ann_lsh": LSH,
     "eval_per_query": f"""WITH {TRUTH}, {evaluated('e', 384)}
         SELECT query, expected_doc, rank_of_expected, round(score, 4) AS score, round(margin, 4) AS margin_over_best_wrong FROM e""",
     "eval_summary": f"WITH {TRUTH}, {evaluated('e', 384)} {summary('e', 'hashing-384-whole')}",

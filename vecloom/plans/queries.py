@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -337,12 +338,20 @@ def ann_ivf_full_probe(spark, sf_dir):
 
 
 def ann_ivf(spark, sf_dir):
-    return _ivf(spark, sf_dir, probes=4)
+    """Cells around the mean vector of every label, so that the cells can be repeated in SQL."""
+    e = load(spark, sf_dir, "embeddings")
+    parts = e.select("label", F.posexplode("embedding").alias("at", "x")).groupBy("label", "at").agg(F.avg(F.col("x").cast("double")))
+    means = {(r[0], r[1]): r[2] for r in parts.collect()}  # labels x dimensions
+    labels, dims = (sorted({key[i] for key in means}) for i in (0, 1))
+    path = scratch_path(spark, "ivf")
+    ann.build_ivf(e, path, centroids=np.array([[means[c, d] for d in dims] for c in labels]))
+    index, centroids = ann.load_ivf(spark, path)
+    return _ranked(ann.ivf_search(e, index, centroids, 5, 4, query_id="vec_id", doc_id="vec_id"))
 
 
 def ann_lsh(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings")
-    return _ranked(ann.lsh_search(e, e, 5, query_id="vec_id", doc_id="vec_id", bucket_length=0.5))
+    return _ranked(ann.lsh_search(e, e, 5, query_id="vec_id", doc_id="vec_id"))
 
 
 # Evaluation -----------------------------------------------------------------
