@@ -15,7 +15,7 @@ def encode(spark, texts, column=lambda: V.embed_encode("text")):
     return [r[0] for r in df.orderBy("i").select(column()).collect()]
 
 
-def by_hand(text, dim=384, limit=512):
+def by_hand(text, dim=384, limit=None):
     out = np.zeros(dim)
     for word in re.findall(r"[^\W_]+", text.lower())[:limit]:
         digest = hashlib.md5(word.encode()).hexdigest()
@@ -46,11 +46,12 @@ def test_empty_null_and_wordless(spark):
 def test_token_limit(spark):
     long = " ".join(f"w{i}" for i in range(600))
     first = " ".join(f"w{i}" for i in range(512))
-    cut, same = encode(spark, [long, first])
+    cut, same = encode(spark, [long, first], lambda: V.embed_encode("text", V.HASHING_512))
     assert cut == same
-    (whole,) = encode(spark, [long], lambda: V.embed_encode("text", V.HASHING_WHOLE))
+    assert np.allclose(cut, by_hand(long, limit=512), atol=1e-6)
+    (whole,) = encode(spark, [long])
     assert whole != cut
-    assert np.allclose(whole, by_hand(long, limit=None), atol=1e-6)
+    assert np.allclose(whole, by_hand(long), atol=1e-6)
 
 
 def test_query_side(spark):
@@ -139,3 +140,13 @@ def test_every_default_reads_the_last_word(spark):
     assert row["v"][0] != row["v"][1]
     row = df.select(V.embed_encode("a", V.HASHING_512).alias("a"), V.embed_encode("b", V.HASHING_512).alias("b")).first()
     assert row["a"] == row["b"]
+
+
+def test_words_are_split_as_the_encoder_splits_them(spark):
+    texts = ["\u0130STANBUL and \u03a3\u03a3", "a-b  C", "", None, "\u00c9t\u00e9!"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").orderBy("i")
+    got = [r["w"] for r in df.select("i", V.words("t").alias("w")).orderBy("i").collect()]
+    assert got[1:] == [["a", "b", "c"], [], None, ["\u00e9t\u00e9"]]
+    joined = spark.createDataFrame([(texts[0], " ".join(got[0]))], "a string, b string")
+    row = joined.select(V.embed_encode("a").alias("a"), V.embed_encode("b").alias("b")).first()
+    assert row["a"] == row["b"]

@@ -32,8 +32,8 @@ MAX_TOKENS = 512
 RETRIEVAL_PREFIX = "Represent this sentence for searching relevant passages: "
 
 # Words are runs of letters and digits; everything else separates them.
-WORD_PATTERN = r"[\p{L}\p{N}]+"
 _BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
+_SLICE_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -85,9 +85,16 @@ HASHING_ASYMMETRIC = EncoderSpec(name="hashing-384-asymmetric", query_prefix=RET
 
 
 def words(text) -> Column:
-    """Lower-cased words of a text as an array."""
-    text = text if isinstance(text, Column) else F.col(text)
-    return F.regexp_extract_all(F.lower(text), F.lit(WORD_PATTERN), F.lit(0))
+    """Lower-cased words of a text as an array, split as the encoder splits them."""
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split(batch: pa.Array) -> pa.Array:
+        flat, rows = _words_by_row(batch, None)
+        offsets = np.searchsorted(rows, np.arange(len(batch) + 1)).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
+        return pc.if_else(batch.is_valid(), lists, pa.scalar(None, lists.type))
+
+    return split(text if isinstance(text, Column) else F.col(text))
 
 
 def compose_text(*parts, required: tuple[int, ...] = ()) -> Column:
@@ -131,8 +138,14 @@ def _words_by_row(texts: pa.Array, limit: int | None) -> tuple[pa.Array, np.ndar
 
 
 def _hash_texts(texts: pa.Array, dim: int, limit: int | None) -> np.ndarray:
-    """Sum word signs per slot and scale each row to unit length."""
+    """Sum word signs per slot and scale each row to unit length.
+
+    A batch with much text is worked on in slices, so that its words never lie
+    in memory at once.
+    """
     n = len(texts)
+    if n > 1 and texts.nbytes > _SLICE_BYTES:
+        return np.concatenate([_hash_texts(part, dim, limit) for part in (texts[: n // 2], texts[n // 2 :])])
     flat, rows = _words_by_row(texts, limit)
     if len(flat) == 0:
         return np.zeros((n, dim))

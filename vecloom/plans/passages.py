@@ -25,12 +25,16 @@ def _window(hashes: Column, start: Column, n: int) -> Column:
     return F.xxhash64(F.lit(n), *[F.get(hashes, start + j) for j in range(n)])
 
 
-def _windows(hashes: Column, n: int) -> Column:
-    """Hash of every run of ``n`` words; none where the text is shorter."""
+def _windows(hashes: Column, lengths: list[int]) -> Column:
+    """Hash of every run of so many words, the length hashed with it; none where the text is shorter."""
+    none = F.array().cast("array<bigint>")
 
-    def over(h: Column) -> Column:
+    def runs(h: Column, n: int) -> Column:
         starts = F.when(F.size(h) >= n, F.sequence(F.lit(0), F.size(h) - n))
-        return F.transform(starts, lambda i: _window(h, i, n))
+        return F.coalesce(F.transform(starts, lambda i: _window(h, i, n)), none)
+
+    def over(h: Column) -> Column:
+        return F.concat(*[runs(h, n) for n in lengths])
 
     # Binding the hashes as a lambda variable computes them once per text, not
     # once per window.
@@ -50,15 +54,13 @@ def passage_documents(passages: DataFrame, documents: DataFrame, passage_id: str
     p = p.withColumn("n", F.least(F.size("w"), F.lit(_ANCHOR_WORDS)))
     # At most one value per anchor length up to the constant above.
     lengths = sorted(r["n"] for r in p.select("n").distinct().collect())
-    anchors = [p.filter(F.col("n") == n).select("p", _window(_hashes("w"), F.lit(0), n).alias("anchor")) for n in lengths]
-    hashes = _hashes(words(text_col))
-    found = [
-        documents.select(F.col(doc_id).alias("d"), F.explode(F.array_distinct(_windows(hashes, n))).alias("anchor"))
-        for n in lengths
-    ]
     if not lengths:
         return p.select("p", F.lit(None).cast(documents.schema[doc_id].dataType).alias("d")).limit(0)
-    pairs = reduce(DataFrame.unionByName, [f.join(a, "anchor").select("p", "d") for f, a in zip(found, anchors)]).distinct()
+    firsts = [p.filter(F.col("n") == n).select("p", _window(_hashes("w"), F.lit(0), n).alias("anchor")) for n in lengths]
+    anchors = reduce(DataFrame.unionByName, firsts)
+    runs = F.array_distinct(_windows(_hashes(words(text_col)), lengths))  # all lengths in one pass over the documents
+    found = documents.select(F.col(doc_id).alias("d"), F.explode(runs).alias("anchor"))
+    pairs = found.join(anchors, "anchor").select("p", "d").distinct()
     # Few pairs share an anchor; with their size known, the texts need not move.
     pairs = materialize(pairs, "passage_pairs")
     # Texts are normalised after the join, so only those of matching pairs are.
