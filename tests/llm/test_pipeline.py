@@ -121,3 +121,28 @@ def test_empty_tables(spark):
     for stage in (pipeline.dedup_lines, pipeline.dedup_near_copies, pipeline.mix, pipeline.tokens):
         assert stage(spark, docs, SF_DIR).count() == 0
     assert pipeline.keep_quality(spark, docs, SF_DIR).count() == 0
+
+
+def test_many_shards_give_the_result_of_one(spark, tmp_path):
+    # 300 lines in six documents each, enough for keys that start with bytes of every kind.
+    lines = [f"{hashlib.md5(str(i).encode()).hexdigest()} stands in six documents" for i in range(300)]
+    rows = [(i, "\n".join(lines[i // 6 * 10 : i // 6 * 10 + 10]) + f"\nown {i}") for i in range(180)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def result(df):
+        return {r.doc_id: (r.text, r.n_dropped) for r in df.collect()}
+
+    want = result(line_dedup.dedup_lines(docs))
+    assert sum(n for _, n in want.values()) == 300 * 5
+    assert result(line_dedup.dedup_lines(docs, shard_keys=4)) == want
+
+    indexes = [line_dedup.LineIndex(spark, str(tmp_path / f"index{keys}"), shard_keys=keys) for keys in (4, 1 << 18)]
+    for change, part in (("insert", docs.where("doc_id % 6 < 5")), ("insert", docs.where("doc_id % 6 = 5")), ("delete", docs.where("doc_id < 90"))):
+        many, one = (getattr(index, change)(part) for index in indexes)
+        assert result(many.rewrite(docs)) == result(one.rewrite(docs))
+    assert indexes[0].shards > 1 and indexes[1].shards == 1
+    held = spark.read.parquet(f"{indexes[0].path}/filters/version=3").collect()
+    assert sum(r.n for r in held) == indexes[0].hot().count()
+    keys = [bytes(r.key) for r in indexes[0].hot().collect()]
+    shards = {bytes(r.key): r.shard for r in indexes[0]._sharded(indexes[0].hot()).collect()}
+    assert shards == {key: line_dedup.shard_of(key, indexes[0].shards) for key in keys}

@@ -198,8 +198,8 @@ class LineIndex:
         return self
 
     def _sharded(self, table: DataFrame) -> DataFrame:
-        # The key is a digest, so its first bytes deal the keys evenly.
-        number = F.conv(F.hex(F.expr("reverse(substr(key, 1, 2))")), 16, 10)
+        # The key is a digest, so its first bytes deal the keys evenly.  Read as in shard_of: low byte first.
+        number = F.conv(F.concat(F.hex(F.expr("substr(key, 2, 1)")), F.hex(F.expr("substr(key, 1, 1)"))), 16, 10)
         return table.withColumn("shard", F.pmod(number.cast("int"), F.lit(self.shards)))
 
     def _update_filters(self, before: int) -> None:
