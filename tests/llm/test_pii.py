@@ -70,6 +70,15 @@ def test_field_leaves_unrelated_tokens_alone():
     assert added("call +1 (017) 555-7713 or see 20240131 and 1234-5678") == []
 
 
+@pytest.mark.parametrize("token, kind", [("555 123 4567", "phone"), ("jane@intranet", "email"), ("97-51-17-173", "phone"), ("4111/1111/1111/1112/9", "card")])
+def test_repeated_tokens_need_no_unrelated_base_span(token, kind):
+    text = f"first {token}{' word' * 200} then {token} end"
+    alone = added(text)
+    assert alone == added(f"mail a.b@example.org now{' word' * 200} {text}")
+    assert alone == [(kind, token)] * 2
+    assert added(f"first {token}{' word' * 200}") == []
+
+
 def test_a_number_repeated_many_times():
     text = "4111111111111111 " + "x 4111/1111/1111/1111 " * 3000
     assert len(added(text)) == 3000

@@ -10,6 +10,7 @@ clamped to their kind, and all candidates, with the labels "none" and the four k
 * Skip potentials join distant variables that repeat or resemble each other: the same
   digits, the same last digits, or the same local part of an address.  Each variable
   is linked to the next one with its key, so a number repeated n times costs n edges.
+  Candidates support each other, so a repeated one can become a span without any base span.
 
 Loopy sum-product message passing runs over all documents of a batch at once, as one
 graph of separate parts.  A candidate whose most probable label is a kind becomes a span.
@@ -224,8 +225,8 @@ def _batch_spans(texts: list[str], potentials: Potentials) -> Iterator[list[tupl
     field, work = Field(potentials), []
     for text in texts:
         base = base_spans(text)
-        # Without both, no candidate can leave "none": nothing certain is there to resemble.
-        open_ = candidates(text, base) if base else []
+        # Every candidate has a digit or an "@".  A base span is not needed: repeated candidates support each other.
+        open_ = candidates(text, base) if "@" in text or _DIGIT.search(text) else []
         work.append((base, open_, field.add_document(text, base, open_) if open_ else -1))
     labels = field.labels()
     for base, open_, first in work:
