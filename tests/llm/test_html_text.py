@@ -47,6 +47,44 @@ def test_page_without_article_element():
     assert h.main_text(page).count("\n") == 5 and "Imprint" not in h.main_text(page) and "Home" not in h.main_text(page)
 
 
+SENTENCES = [f"This is sentence number {i} of the text, which goes on for a while." for i in range(6)]
+BODY = "".join(f"<p>{s}</p>" for s in SENTENCES)
+
+
+@pytest.mark.parametrize("page", [
+    f"<!DOCTYPE html><html><head><title>T</title><meta charset=utf-8><body><article>{BODY}</article></body></html>",
+    f"<head><title>T</title><script>var a</script><noscript><img src=x></noscript><article>{BODY}</article>",
+    f"<head><title>T</title><template><p>No, not this sentence here.</p></template>{BODY}",
+    f"<head><title>T</title><noscript><p>No, not this.</p><body>{BODY}</body>",
+    f"<div class='layout has-sidebar'><article>{BODY}</article></div>",
+    f"<div class='page-with-sidebar no-ads'><div>{BODY}</div></div>",
+    f"<div id=search><div class='author legal'><article>{BODY}</article></div></div>",
+    f"<div class=notice><main>{BODY}</main></div>",
+    f"<main><div class='share bio'><article>{BODY}</article></div></main>",
+    f"<div class=sidebar><div role=main>{BODY}</div></div>",
+    f"<div class='header-layout'><article>{BODY}</article></div>",
+    f"<form id=whole><article>{BODY}</article></form>",
+])
+def test_articles_in_open_heads_and_named_wrappers_stay(page):
+    assert h.main_text(page).split("\n") == SENTENCES
+
+
+@pytest.mark.parametrize("around", [
+    "<aside><article>{}</article></aside>",
+    "<div class=comments-area><article>{}</article></div>",
+    "<div class='sidebar'><article>{}</article></div>",
+    "<article>" + BODY + "<div class=author-bio><article>{}</article></div></article>",
+    "<div class=share>{}</div>",
+    "<article>" + BODY + "<form>{}</form></article>",
+])
+def test_secondary_articles_still_go(around):
+    assert "Another" not in h.main_text(f"<article>{BODY}</article>" + around.format("<p>Another text, which is also a long sentence.</p>"))
+
+
+def test_head_content_stays_unseen():
+    assert h.main_text(f"<head> <title>T</title>\n<style>p</style> <noscript><p>{SENTENCES[0]}</p></noscript></head><body>{BODY}").split("\n") == SENTENCES
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<<<a<b", "</p></div>", "<script>", "<!-- open", "&#0; &bogus;", "<a " * 30_000, "<div>" * 3000, "<p>x" * 3000])
 def test_broken_pages_give_a_text(page):
     assert isinstance(h.main_text(page), str)

@@ -14,7 +14,10 @@ The costs are fixed and stated in :class:`Costs`; pages carry no labels to learn
 
 Defined results: a null page has an empty text.  Character references are decoded, white
 space inside a block becomes one space, and blocks are joined by line feeds.  Tags that
-are never closed end with the element around them.  A page without any content block has
+are never closed end with the element around them; a head ends at the first text or element
+that cannot stand in it.  What a wrapper's name says of its content (or a form around it)
+does not hold inside a main or article element in it, unless that is inside another article,
+or the name is one of secondary articles (comments, related, sidebar).  A page without any content block has
 an empty text.  Result columns replace input columns of the same name.
 """
 
@@ -42,6 +45,8 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 _TOKEN = re.compile(r"[a-z0-9]+")
+# In a name such as "page-with-sidebar" what follows tells what the element has, not what it is.
+_MODIFIED = re.compile(r"(?:(?<=[-_])|(?<!\S))(?:has|with|without|no)[-_]\S*")
 
 # Kinds of elements.
 INLINE = frozenset(
@@ -51,6 +56,7 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp".split())  # their content is no markup
 UNSEEN = frozenset("head script style textarea title xmp noscript template iframe object svg canvas audio video select option button".split())
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())  # do not end a head
 BOILERPLATE = frozenset("nav footer aside form menu dialog fieldset".split())
 CLOSES_ITSELF = {
     "li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table tbody thead tfoot", "td": "tr table", "th": "tr table", "option": "select",
@@ -62,6 +68,9 @@ BOILERPLATE_WORDS = frozenset(
     "navigation newsletter notice notification overlay pager pagination popup promo promotion recommended related reply replies respond search "
     "share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget".split()
 )
+# Named like these, an element holds secondary articles; any other name may be that of a wrapper around the page's own.
+SECONDARY_WORDS = frozenset("comment comments disqus recommended related replies reply respond".split())
+SECONDARY_NAMES = frozenset("sidebar widget".split())  # as a whole name only
 HEADER_WORDS = frozenset("header topbar masthead banner".split())
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 
@@ -105,6 +114,10 @@ class _Element:
     boilerplate: bool = False
     header: bool = False
     link: bool = False
+    wrapped: bool = False  # boilerplate, but only by wrappers that an article or main inside undoes
+    wrapped_header: bool = False
+    secondary: bool = False  # inside a wrapper named like secondary articles
+    nested: bool = False  # inside an article element
 
 
 @dataclass
@@ -121,12 +134,14 @@ class _Reader:
             around = [e for e in self.stack if e.tag not in INLINE]
             top = self.stack[-1]
             self.blocks.append(Block(
-                text, around[-1].tag, tuple(e.number for e in around), top.article, top.content_word, top.boilerplate, top.header,
-                min(1.0, self.linked / len(text)),
+                text, around[-1].tag, tuple(e.number for e in around), top.article, top.content_word, top.boilerplate or top.wrapped,
+                top.header or top.wrapped_header, min(1.0, self.linked / len(text)),
             ))
         self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
+        if self.stack[-1].tag == "head" and not raw.isspace() and raw:
+            self.pop_to(len(self.stack) - 1)
         top = self.stack[-1]
         if raw and not top.unseen:
             raw = html.unescape(raw) if "&" in raw else raw
@@ -137,7 +152,20 @@ class _Reader:
     def pop_to(self, depth: int) -> None:
         del self.stack[depth:]
 
+    def end_head(self, tag: str) -> None:
+        """An element that cannot stand in a head ends it; body does so even if something is still open inside."""
+        if tag == "body":
+            for depth in range(len(self.stack) - 1, 0, -1):
+                if self.stack[depth].tag == "head":
+                    self.pop_to(depth)
+                    return
+                if self.stack[depth].tag == "body":
+                    return
+        elif tag not in HEAD and self.stack[-1].tag == "head":
+            self.pop_to(len(self.stack) - 1)
+
     def open(self, tag: str, attributes: str) -> None:
+        self.end_head(tag)
         if tag not in INLINE:
             self.flush()
             if tag in CLOSES_ITSELF:
@@ -161,19 +189,38 @@ class _Reader:
             return
         up = self.stack[-1]
         self.count += 1
-        new = _Element(tag, self.count, up.unseen or tag in UNSEEN, up.article, up.content_word, up.boilerplate, up.header, up.link or tag == "a")
+        new = _Element(
+            tag, self.count, up.unseen or tag in UNSEEN, up.article, up.content_word, up.boilerplate, up.header, up.link or tag == "a",
+            up.wrapped, up.wrapped_header, up.secondary, up.nested or up.tag == "article",
+        )
         words: set[str] = set()
+        named: set[str] = set()
+        secondary = role_main = False
         if attributes and tag not in ("html", "body"):
-            for _, value in _ATTRIBUTE.findall(attributes):
-                words.update(_TOKEN.findall(value.lower()))
+            for attribute, value in _ATTRIBUTE.findall(attributes):
+                value = value.strip("\"'").lower()
+                words.update(_TOKEN.findall(value))
+                named.update(_TOKEN.findall(_MODIFIED.sub(" ", value)))
+                secondary |= not SECONDARY_NAMES.isdisjoint(value.split())
+                if attribute.lower() == "role":
+                    role_main |= value.strip() == "main"
+                    secondary |= value.strip() in BOILERPLATE_WORDS
         if tag in ("article", "main") or "main" in words and tag not in INLINE:
             new.article = True
+            one = tag == "main" or role_main  # a page has only one
+            if not new.nested and (one or tag == "article" and not new.secondary):
+                new.wrapped = new.wrapped_header = new.secondary = False
         elif tag not in INLINE:
             new.content_word |= bool(words & CONTENT_WORDS)
-            named = words & BOILERPLATE_WORDS
+            secondary |= bool(named & SECONDARY_WORDS)
+            by_name = bool(named & BOILERPLATE_WORDS - HEADER_WORDS)
             # A header inside the article holds its title.
-            new.header |= not up.article and (tag == "header" or bool(words & (HEADER_WORDS | {"header"})))
-            new.boilerplate |= tag in BOILERPLATE or bool(named - HEADER_WORDS)
+            new.header |= not up.article and tag == "header"
+            new.wrapped_header |= not up.article and bool(named & (HEADER_WORDS | {"header"}))
+            # Some pages stand in one form as a whole.
+            new.boilerplate |= tag in BOILERPLATE and tag != "form"
+            new.wrapped |= tag == "form" or by_name
+            new.secondary |= secondary
         self.stack.append(new)
 
     def close(self, tag: str) -> None:
