@@ -97,3 +97,17 @@ def test_shingles_count_distinct_runs(text):
 def test_pruning_bounds_rise():
     bounds = least_matches(0.8, 1e-6)
     assert bounds == sorted(bounds) and 0 < bounds[-1] < 0.8 * 128
+
+
+def test_different_texts_under_one_id(spark):
+    first = " ".join(f"a{i}" for i in range(100))
+    second = " ".join(f"b{i}" for i in range(100))
+    clean = " ".join(f"c{i}" for i in range(100))
+    rows = [(1, first), (1, second), (1, ""), (2, first + " end"), (3, second + " end"), (3, clean), (4, clean + " end"), (5, first)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in jaccard_links(docs).select("doc_id", "class_id", "n_links", "component_id").collect())
+    assert got == sorted([
+        (1, 1, 2, 1), (1, 1, 1, 1), (1, 1, 0, 1), (2, 2, 2, 1), (3, 3, 1, 1), (3, 3, 1, 3), (4, 4, 1, 3), (5, 1, 2, 1),
+    ])
+    kept = sorted((r.doc_id, r.text) for r in keep_one_per_group(docs).collect())
+    assert kept == sorted([(1, first), (1, second), (1, ""), (3, clean)])

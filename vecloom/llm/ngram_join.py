@@ -1,6 +1,6 @@
 """Jaccard join on word n-grams with Bayesian candidate pruning.
 
-1. Texts with the same shingle set form a class; only its smallest doc_id goes on.
+1. Texts with the same shingle set form a class; only the text of its smallest doc_id goes on.
 2. Banded MinHash buckets propose pairs.  Inside a bucket, MinHash values are
    compared a few at a time, and a pair is dropped as soon as the posterior
    probability that its similarity reaches the threshold falls below ``tolerance``.
@@ -17,7 +17,8 @@ A pair at the threshold shares no bucket with probability ``(1 - t^rows)^bands``
 others are exact.
 
 Defined results: similarity counts distinct shingles.  A document without words, or
-with a null id, links with nothing.  Rows that repeat an id count as rows.  Texts
+with a null id, links with nothing.  Rows that repeat an id count as rows: each has the
+class and links of its own text.  Classes are told apart by 64 bits of their digest.  Texts
 shorter than ``k`` words are one shingle.  An empty table gives an empty one.
 """
 
@@ -159,7 +160,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def _signatures(docs: DataFrame, k: int, with_sets: bool) -> DataFrame:
-    """``doc_id, n, set_key, sig`` or ``doc_id, n, sig, shingles``, without the documents that have no words."""
+    """``doc_id, text_key, n, sig`` and ``set_key`` or ``shingles``, without the documents that have no words."""
     third = "shingles" if with_sets else "set_key"
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,12 +171,12 @@ def _signatures(docs: DataFrame, k: int, with_sets: bool) -> DataFrame:
                 sets = [s for s in sets if len(s)]
                 raw = [s.tobytes() if with_sets else xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).filter(pa.array(full)), pa.array([len(s) for s in sets], pa.int64()),
+                    [batch.column(0).filter(pa.array(full)), batch.column(2).filter(pa.array(full)), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([minhash(s).tobytes() for s in sets], pa.binary()), pa.array(raw, pa.binary())],
-                    names=["doc_id", "n", "sig", third],
+                    names=["doc_id", "text_key", "n", "sig", third],
                 )
 
-    return docs.mapInArrow(sign, f"doc_id long, n long, sig binary, {third} binary")
+    return docs.select("doc_id", "text", "text_key").mapInArrow(sign, f"doc_id long, text_key long, n long, sig binary, {third} binary")
 
 
 def _dealt(rows: DataFrame, group: str, size: str, identity: str, per_block: int) -> DataFrame:
@@ -209,13 +210,23 @@ def jaccard_links(
     ``class_id`` is the smallest id with the same shingle set, ``n_links`` the number of other rows linked directly,
     ``component_id`` the smallest id reachable by links.
     """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
+    columns = "doc_id", "class_id", "n_links", "component_id"
+    return _row_links(docs, k, threshold, tolerance, doc_id, text).select(*columns)
+
+
+def _row_links(docs: DataFrame, k: int, threshold: float, tolerance: float, doc_id: str, text: str) -> DataFrame:
+    """:func:`jaccard_links` with the ``text_key`` that tells rows of one id apart."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_key"))
+    rows = rows.where("doc_id is not null")
     bounds = least_matches(threshold, tolerance)
     signed = materialize(_signatures(rows, k, False), "signatures")
     classes = signed.groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("sig").alias("sig")
+        F.min(F.struct("doc_id", "text_key")).alias("least"), F.count("*").alias("copies"), F.first("n").alias("n"),
+        F.first("sig").alias("sig"),
     )
-    classes = materialize(classes, "classes")
+    # An id may stand in several classes, so they are numbered by their digest.
+    numbered = F.xxhash64("set_key").alias("rep"), F.col("least.doc_id").alias("class_id"), F.col("least.text_key").alias("text_key")
+    classes = materialize(classes.select("set_key", *numbered, "copies", "n", "sig"), "classes")
     candidates = connected_components(_bucket_forest(classes, threshold, bounds))
     groups = candidates.groupBy("component").agg(F.count("*").alias("members")).where("members > 1")
     members = materialize(candidates.join(groups, "component"), "candidates")
@@ -223,19 +234,23 @@ def jaccard_links(
 
     links = found.where("b is null").groupBy("a").agg(F.sum("weight").alias("other"))
     parts = connected_components(found.where("b is not null").select("a", "b"))
+    named = parts.join(classes.select(F.col("rep").alias("id"), "class_id"), "id")
+    least = named.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    parts = parts.join(least, "component").select("id", "component_id")
     table = (
-        classes.select("set_key", "rep", "copies")
+        classes.select("set_key", "rep", "class_id", "copies")
         .join(links, F.col("rep") == F.col("a"), "left")
         .join(parts, F.col("rep") == F.col("id"), "left")
         .select(
-            "set_key", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"),
+            "set_key", "class_id", F.coalesce("component_id", "class_id").alias("component_id"),
             (F.col("copies") - 1 + F.coalesce("other", F.lit(0))).alias("n_links"),
         )
     )
-    worded = signed.select("doc_id", "set_key").join(table, "set_key").select("doc_id", "class_id", "n_links", "component_id")
-    silent = rows.select("doc_id").join(signed.select("doc_id"), "doc_id", "left_anti")
+    columns = "doc_id", "text_key", "class_id", "n_links", "component_id"
+    worded = signed.select("doc_id", "text_key", "set_key").join(table, "set_key").select(*columns)
+    silent = rows.select("doc_id", "text_key").join(signed.select("doc_id", "text_key"), ["doc_id", "text_key"], "left_anti")
     alone = F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("doc_id").alias("component_id")
-    return worded.unionByName(silent.select("doc_id", *alone))
+    return worded.unionByName(silent.select("doc_id", "text_key", *alone))
 
 
 def _bucket_forest(classes: DataFrame, threshold: float, bounds: list[int]) -> DataFrame:
@@ -309,16 +324,20 @@ def _verified(
                 )
                 yield _forest(ids, a, b)
 
-    reps = members.join(classes.select("rep", "copies"), F.col("id") == F.col("rep")).select("rep", "copies", "component", "members")
-    texts = rows.join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = _signatures(texts, k, True).dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("rep"), "sig", "shingles")
-    dealt = _dealt(reps.join(sets, "rep"), "component", "members", "rep", GROUP_BLOCK)
+    reps = members.join(classes.select("rep", "class_id", "text_key", "copies"), F.col("id") == F.col("rep"))
+    reps = reps.select("rep", F.col("class_id").alias("doc_id"), "text_key", "copies", "component", "members")
+    row = ["doc_id", "text_key"]
+    sets = _signatures(rows.join(reps.select(*row), row, "left_semi"), k, True).dropDuplicates(row).select(*row, "sig", "shingles")
+    dealt = _dealt(reps.join(sets, row), "component", "members", "rep", GROUP_BLOCK)
     return _units(dealt, ["rep", "copies", "sig", "shingles"]).mapInArrow(check, "a long, b long, weight long")
 
 
 def keep_one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are the smallest id of their group; rows with a null id stay."""
-    key = options.get("doc_id", "doc_id")
-    links = jaccard_links(docs, **options).where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    own = without(docs, "__gone")
-    return own.join(links, own[key].cast("long") == F.col("__gone"), "left_anti")
+    """The rows whose id is the smallest of their group; rows with a null id stay."""
+    key, text = options.get("doc_id", "doc_id"), options.get("text", "text")
+    given = {"k": WORDS, "threshold": THRESHOLD, "tolerance": TOLERANCE, "doc_id": key, "text": text} | options
+    gone = _row_links(docs, **given).where("doc_id <> component_id")
+    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__gone_text")).distinct()
+    own = without(docs, "__gone", "__gone_text")
+    same = (own[key].cast("long") == F.col("__gone")) & (F.xxhash64(own[text]) == F.col("__gone_text"))
+    return own.join(gone, same, "left_anti")
