@@ -44,3 +44,11 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """Drop columns of these names, so that an operator's own can take their place."""
     taken = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have, for an operator's own use."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

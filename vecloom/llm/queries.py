@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import bpe, cover_tree, html_text, line_dedup, mixing, multi_index, ngram_join, pii, quality, url_filter
+from vecloom.llm import bpe, cover_tree, html_text, line_dedup, mixing, multi_index, ngram_join, pii, quality, runs, url_filter
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,8 +100,42 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", kept)
 
 
+def _with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in a tenth of the documents the words from some place on are made periodic."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words, n, a, p = (F.col(c) for c in ("words", "n", "a", "p"))
+    split = F.regexp_extract_all(whole_text(), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    # One projection a step: each value is used several times.
+    rows = docs.withColumn("g", F.floor(h / 10)).withColumn("words", F.when(h % 10 == 0, split)).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(n > 0, F.col("g") % n).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((n - a) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    wrapped = F.array_join(F.concat(F.slice(words, 1, a), F.slice(tail, 1, n - a)), " ")
+    return rows.select("doc_id", F.when(n > 0, wrapped).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = runs.find_runs(_with_periodic_tails(docs))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = found.withColumn("best", best)
+    length, period = F.col("best.length"), -F.col("best.col3")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
-    q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op5_byte_level_bpe, op6_url_filter, op7_poisson_mixing, op8_min_cut_html_text, op9_rule_ensemble_quality, op10_line_dedup)
+    q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op5_byte_level_bpe, op6_url_filter, op7_poisson_mixing, op8_min_cut_html_text, op9_rule_ensemble_quality, op10_line_dedup,
+                            op11_periodic_runs)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
