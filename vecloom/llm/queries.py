@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import bpe, cover_tree, html_text, line_dedup, mixing, multi_index, ngram_join, pii, quality, runs, url_filter
+from vecloom.llm import bpe, cover_tree, html_text, line_dedup, mixing, multi_index, ngram_join, pii, quality, runs, url_filter, variants
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,9 +133,24 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Shorter runs can not become words of the least length, so they are not taken out at all.
+    found = F.regexp_extract_all(whole_text(), F.lit("[A-Za-z\u00C0-\u00FF]{%d,}" % variants.MIN_CHARS), F.lit(0))
+    met = table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("run"))
+    met = met.select("doc_id", F.translate("run", _UPPER, _LOWER).alias("run"))
+    met = met.withColumn("h", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), "run").cast("binary")))
+    at = (F.col("h") % F.char_length("run")).cast("int")
+    shorter = F.concat(F.substr("run", F.lit(1), at), F.substr("run", at + 2))
+    words = met.select(F.when(F.col("h") % 31 == 0, shorter).otherwise(F.col("run")).alias("word"))
+    return variants.group_variants(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op5_byte_level_bpe, op6_url_filter, op7_poisson_mixing, op8_min_cut_html_text, op9_rule_ensemble_quality, op10_line_dedup,
-                            op11_periodic_runs)
+                            op11_periodic_runs, op12_spelling_variants)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
@@ -185,4 +200,39 @@ ORACLE: dict[str, str] = {
                sha256(COALESCE(string_agg(k.line, chr(10) ORDER BY k.at)
                FILTER (h.key IS NULL OR k.doc_id = h.keeper), '')) AS kept_sha256
         FROM keyed k LEFT JOIN hot h ON h.key = k.key GROUP BY k.doc_id""",
+    "op12_spelling_variants": f"""
+        WITH RECURSIVE bits AS (
+          SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+                 CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tbl),
+        met AS (
+          SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') AS run
+          FROM documents),
+        each AS (SELECT doc_id, run, count(*) AS times, hex(encode(doc_id || ':' || run)) AS code
+                 FROM met WHERE length(run) >= {variants.MIN_CHARS} GROUP BY doc_id, run),
+        hashed AS (
+          SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+                 range(length(code) // 2), lambda i: CAST('0x' || substr(code, 2 * i + 1, 2) AS BIGINT))),
+                 lambda c, b: xor(c >> 8, tbl[1 + (xor(c, b) & 255)]))) AS h FROM each, bits),
+        words AS (
+          SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, 2 + h % length(run)) ELSE run END
+                 AS word, CAST(sum(times) AS BIGINT) AS n FROM hashed GROUP BY 1
+          HAVING length(word) >= {variants.MIN_CHARS} AND sum(times) >= {variants.MIN_COUNT}),
+        cut AS (SELECT word, n, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS less
+                FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS pos FROM words)),
+        near AS (
+          SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.pos = b.pos AND a.less = b.less AND a.word <> b.word
+          UNION SELECT a.word, b.word, b.n FROM words a JOIN cut b ON a.word = b.less
+          UNION SELECT b.word, a.word, a.n FROM words a JOIN cut b ON a.word = b.less),
+        best AS (
+          SELECT word, other, n, count(*) OVER (PARTITION BY word) AS n_near,
+                 row_number() OVER (PARTITION BY word ORDER BY n DESC, encode(other)) AS nth FROM near),
+        linked AS (
+          SELECT w.word, w.n, COALESCE(b.n_near, 0) AS n_near, CASE WHEN b.n >= {variants.RATIO} * w.n THEN b.other END AS form,
+                 CASE WHEN b.n >= {variants.RATIO} * w.n THEN b.n END AS form_n
+          FROM words w LEFT JOIN best b ON b.word = w.word AND b.nth = 1),
+        chains AS (
+          SELECT word, word AS root FROM linked
+          UNION ALL SELECT c.word, l.form FROM chains c JOIN linked l ON l.word = c.root WHERE l.form IS NOT NULL)
+        SELECT l.word, l.form, c.root, l.n, l.n_near, l.form_n FROM linked l JOIN chains c ON c.word = l.word
+        JOIN linked e ON e.word = c.root AND e.form IS NULL""",
 }
