@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm import bpe, cover_tree, html_text, line_dedup, mixing, multi_index, ngram_join, pii, quality, runs, url_filter, variants
+from vecloom.llm import (
+    bpe, cover_tree, html_text, language, line_dedup, mixing, multi_index, ngram_join, pii, quality, runs, url_filter, variants,
+)
 from vecloom.llm.common import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,9 +150,16 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
 
 
+def op13_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = language.predict_language(docs, language.fit_language(docs))
+    return judged.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q for q in (op1_skip_chain_pii, op2_cover_tree_near_dedup, op3_ngram_jaccard_join, op4_multi_index_hashing, op5_byte_level_bpe, op6_url_filter, op7_poisson_mixing, op8_min_cut_html_text, op9_rule_ensemble_quality, op10_line_dedup,
-                            op11_periodic_runs, op12_spelling_variants)
+                            op11_periodic_runs, op12_spelling_variants,
+                            op13_string_kernel_language)
 }
 
 _URL_RULES_SQL = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
