@@ -1,6 +1,7 @@
 """Byte-level BPE against the tiktoken library, in both folds, and round trips."""
 
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -29,7 +30,7 @@ def library(ranks):
 
 def test_texts_equal_the_library_and_round_trip(spark, ranks, library):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*TEXTS, None])], "doc_id int, text string, decoded string")
-    for options in ({"head_words": 500}, {"head_words": 5, "sample_docs": 3}):
+    for options in ({"head_words": 500}, {"head_words": 5, "sample_rows": 1}):
         rows = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN, **options), ranks).collect()
         for r in rows:
             assert list(r.ids) == library.encode_ordinary(r.text or "")
@@ -43,6 +44,27 @@ def test_spark_fold_equals_the_library(spark, ranks, library):
         assert list(r.ids) == library.encode_ordinary(r.word)
 
 
+def test_words_merged_together_equal_the_library(ranks, library, monkeypatch):
+    rng = random.Random(5)
+    words = list(dict.fromkeys(
+        "".join(rng.choice("aeinrst hé東\U0001f600.") for _ in range(rng.choice([1, 2, 3, 7, 16, 17, 63, 64, 65, 90]))) for _ in range(3000)
+    ))
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 700)
+    monkeypatch.setattr(bpe, "_MATRIX_PARTS", 900)
+    pairs, head = bpe.PairRanks(ranks), {" the": tuple(library.encode_ordinary(" the"))}
+    coder, plain = bpe._Coder(ranks, pairs, head), bpe._Coder(ranks, pairs, {})
+    for start in range(0, 2 * len(words), 400):
+        part = (words + words[::-1])[start:start + 400]
+        part = list(dict.fromkeys(part))
+        for word, at in zip(part, coder.places(part), strict=True):
+            found = coder.flat[coder.starts[at]:coder.starts[at] + coder.sizes[at]].tolist()
+            assert found == list(plain._merged_long(word.encode()))
+            if len(bpe.compiled(public_tokenizers.PATTERN).findall(word)) == 1:
+                assert found == library.encode_ordinary(word)
+        coder.forget(part)
+        assert coder.index[" the"] == 0 and len(coder.index) <= 700 + 1
+
+
 def test_query(spark, library):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     rows = QUERIES["op5_byte_level_bpe"](spark, SF_DIR).collect()

@@ -7,10 +7,11 @@ merged until no pair has a rank.
 :func:`fold_words` is that fold in Spark's higher-order functions, over the byte arrays of
 distinct words, with the ranks of all pieces that occur in them as one literal map, cut into
 small buckets because maps are searched from the front.  :func:`encode` uses it for the head of the vocabulary,
-the ``head_words`` most frequent distinct words of a bounded sample of documents, which
-cover most of any text; their table has a fixed bound and goes to every task.  A batch's
-other distinct words are folded in the task by the same merges.  The sample decides only
-where a word is folded, never its ids.  Folding every distinct word of the corpus in
+the ``head_words`` most frequent distinct words of the first ``sample_rows`` rows of every
+partition, which cover most of any text; their table has a fixed bound and goes to every
+task.  A batch's other distinct words are folded in the task by the same merges, together:
+words are rows of a matrix, and a round merges one pair of every word.  The sample decides
+only where a word is folded, never its ids.  Folding every distinct word of the corpus in
 Spark and joining the results back to all texts is exact too, but took several times the
 limits in processor time and disk; the README has the figures.
 
@@ -26,9 +27,10 @@ from __future__ import annotations
 import base64
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +40,12 @@ from pyspark.sql import functions as F
 
 from vecloom.llm.common import text_slices, without
 
-BUCKET_PIECES, HEAD_WORDS, SAMPLE_DOCS, MEMO_WORDS = 6, 4096, 400, 120_000
+BUCKET_PIECES, HEAD_WORDS, SAMPLE_ROWS, MEMO_WORDS = 6, 4096, 20, 150_000
 # Text and ids worked on at once in a task: index arrays take some twenty times as much.
 _SLICE_BYTES = 2_000_000
 _NO_RANK = 2**31 - 1
+# Longer words are merged alone; parts of one matrix of words.
+_WIDEST, _MATRIX_PARTS = 64, 500_000
 _STATE: dict[str, _Coder] = {}
 
 
@@ -121,42 +125,141 @@ def _folded(word: Column, table: Column, count: int) -> Column:
     return F.aggregate(steps, first, merge, lambda s: F.transform(s["p"], rank_of))
 
 
+class PairRanks:
+    """Rank of the piece that two neighbouring pieces make, for arrays of their ids.
+
+    An id is a rank.  The table is open-addressed with linear probing, so that a lookup touches one place in most cases.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        found = [(ranks[piece[:i]] << 32 | ranks[piece[i:]], rank) for piece, rank in ranks.items()
+                 for i in range(1, len(piece)) if piece[:i] in ranks and piece[i:] in ranks]
+        pairs = np.array(found, dtype=np.int64).reshape(-1, 2)
+        self.bits = max(4, (4 * len(pairs)).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.values = np.full(1 << self.bits, _NO_RANK, dtype=np.int32)
+        step = 0
+        while len(pairs):
+            at = self._place(pairs[:, 0], step)
+            free = self.keys[at] == -1
+            self.keys[at[free]], self.values[at[free]] = pairs[free, 0], pairs[free, 1]
+            pairs = pairs[self.keys[at] != pairs[:, 0]]
+            step += 1
+
+    def _place(self, keys: np.ndarray, step: int) -> np.ndarray:
+        spread = (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)
+        return (spread.astype(np.int64) + step) & (len(self.keys) - 1)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks; no rank where there is none or a side is -1."""
+        keys = left.astype(np.int64) << 32 | right
+        out = np.full(len(keys), _NO_RANK, dtype=np.int32)
+        open_ = np.flatnonzero((left >= 0) & (right >= 0))
+        step = 0
+        while len(open_):
+            at = self._place(keys[open_], step)
+            held = self.keys[at]
+            hit = held == keys[open_]
+            out[open_[hit]] = self.values[at[hit]]
+            open_ = open_[~hit & (held != -1)]
+            step += 1
+        return out
+
+
 class _Coder:
-    """Ids of words in one Python worker: the head table, a bounded memo, and the merges."""
-
-    def __init__(self, ranks: dict[bytes, int], head: dict[str, tuple[int, ...]]) -> None:
-        self.ranks, self.head, self.memo = ranks, head, {}
-
-    def ids(self, word: str) -> tuple[int, ...]:
-        found = self.head.get(word) or self.memo.get(word)
-        if found is None:
-            found = self.merged(word.encode())
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            if len(word) < 64:
-                self.memo[word] = found
-        return found
-
-    def merged(self, raw: bytes) -> tuple[int, ...]:
-        ranks = self.ranks
-        if raw in ranks:
-            return (ranks[raw],)
-        if len(raw) > 256:
-            return self._merged_long(raw)
-        parts = [raw[i:i + 1] for i in range(len(raw))]
-        pairs = [ranks.get(raw[i:i + 2], _NO_RANK) for i in range(len(raw) - 1)]
-        while pairs:
-            best = min(pairs)
-            if best == _NO_RANK:
+    """Ids of words in one Python worker: the head table, a bounded memo, and the merges.
+
+    All words' ids lie in one array; a word is known by its place in it.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pairs: PairRanks, head: dict[str, tuple[int, ...]]) -> None:
+        self.ranks, self.pairs, self.head = ranks, pairs, list(head)
+        self.bytes = np.array([ranks.get(bytes([i]), -1) for i in range(256)], dtype=np.int32)
+        self.index = {word: i for i, word in enumerate(head)}
+        self.sizes = np.fromiter(map(len, head.values()), dtype=np.int64, count=len(head))
+        self.flat = np.fromiter(chain.from_iterable(head.values()), dtype=np.int32, count=int(self.sizes.sum()))
+        self._start()
+
+    def _start(self) -> None:
+        self.starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.sizes)])[:-1]
+
+    def places(self, words: list[str]) -> np.ndarray:
+        """Where the ids of distinct words are; new words are merged together first."""
+        index = self.index
+        known = np.fromiter((index.get(word, -1) for word in words), dtype=np.int64, count=len(words))
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            fresh = [words[i] for i in new]
+            flat, sizes = self.merged([word.encode() for word in fresh])
+            known[new] = len(index) + np.arange(len(new))
+            index.update(zip(fresh, known[new].tolist(), strict=True))
+            self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
+            self._start()
+        return known
+
+    def forget(self, words: list[str]) -> None:
+        """Keep the head and these words, the latest, if there are too many."""
+        if len(self.index) > MEMO_WORDS:
+            kept = self.head + [w for w in words if len(w) < 64 and self.index[w] >= len(self.head)]
+            at = np.fromiter((self.index[w] for w in kept), dtype=np.int64, count=len(kept))
+            self.flat, self.sizes = _gathered(self.flat, self.starts, self.sizes, at), self.sizes[at]
+            self.index = {word: i for i, word in enumerate(kept)}
+            self._start()
+
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in a row, and how many each has."""
+        alone = [self.ranks.get(raw, -1) for raw in words]
+        width = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        width[np.array(alone, dtype=np.int64) >= 0] = 0
+        long = width > _WIDEST
+        width[long] = 0
+        singly = np.flatnonzero(width == 0)
+        single = [self._merged_long(words[i]) if long[i] else (alone[i],) for i in singly]
+        order, sizes = [singly], [np.fromiter(map(len, single), dtype=np.int64, count=len(single))]
+        flat = [np.fromiter(chain.from_iterable(single), dtype=np.int32, count=int(sizes[0].sum()))]
+        # Words of similar length share a matrix.
+        group = (width + 3) // 4
+        for g in np.unique(group[width > 0]):
+            rows = np.flatnonzero(group == g)
+            step = max(1, _MATRIX_PARTS // (4 * int(g)))
+            for part in (rows[i:i + step] for i in range(0, len(rows), step)):
+                done = self._merge_matrix([words[i] for i in part], 4 * int(g))
+                order.append(part)
+                sizes.append((done >= 0).sum(axis=1))
+                flat.append(done[done >= 0])
+        back, all_sizes = np.argsort(np.concatenate(order)), np.concatenate(sizes)
+        starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(all_sizes)])[:-1]
+        return _gathered(np.concatenate(flat), starts, all_sizes, back), all_sizes[back]
+
+    def _merge_matrix(self, words: list[bytes], width: int) -> np.ndarray:
+        """One word per row, padded with -1; every round merges the best pair of each word that has one."""
+        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), dtype=np.uint8).reshape(len(words), width)
+        inside = np.arange(width) < np.fromiter(map(len, words), dtype=np.int64, count=len(words))[:, None]
+        parts = np.where(inside, self.bytes[raw], -1).astype(np.int32)
+        done = np.full(parts.shape, -1, dtype=np.int32)
+        rows = np.arange(len(words))
+        pairs = self.pairs.of(parts[:, :-1].ravel(), parts[:, 1:].ravel()).reshape(len(words), width - 1)
+        while len(rows):
+            at = pairs.argmin(axis=1)  # the first of equal ones
+            best = pairs[np.arange(len(rows)), at]
+            more = best != _NO_RANK
+            if not more.all():
+                done[rows[~more], :parts.shape[1]] = parts[~more]
+                rows, parts, pairs, at, best = rows[more], parts[more], pairs[more], at[more], best[more]
+                if not len(rows):
+                    break
+            here, columns = np.arange(len(rows)), np.arange(parts.shape[1] - 1)
+            parts = np.take_along_axis(parts, columns + (columns > at[:, None]), axis=1)
+            parts[here, at] = best
+            if parts.shape[1] < 2:
+                done[rows, :1] = parts
                 break
-            i = pairs.index(best)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], _NO_RANK)
-            if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], _NO_RANK)
-        return tuple(ranks[p] for p in parts)
+            columns = columns[:-1]
+            pairs = np.take_along_axis(pairs, columns + (columns >= at[:, None]), axis=1)
+            before, after = at > 0, at < parts.shape[1] - 1
+            pairs[here[before], at[before] - 1] = self.pairs.of(parts[here[before], at[before] - 1], best[before])
+            pairs[here[after], at[after]] = self.pairs.of(best[after], parts[here[after], at[after] + 1])
+        return done
 
     def _merged_long(self, raw: bytes) -> tuple[int, ...]:
         """The same merges for one very long word, with a heap and linked neighbours instead of scans."""
@@ -194,17 +297,17 @@ def _gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray, picked: n
     return flat[np.arange(total) + shift]
 
 
-def head_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, head_words: int, sample_docs: int) -> dict:
-    """Ids of the most frequent distinct words of a bounded sample, folded by Spark."""
+def head_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, head_words: int, sample_rows: int) -> dict:
+    """Ids of the most frequent distinct words of each partition's first ``sample_rows`` rows, folded by Spark."""
 
     @F.arrow_udf("array<string>")
     def words(texts: pa.Array) -> pa.Array:
         return pa.array([compiled(pattern).findall(t) for t in texts.to_pylist()], type=pa.list_(pa.string()))
 
-    # take() reads no more partitions than it needs; a limit inside the plan would move that many texts of each.
-    rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t")).take(sample_docs)
-    sample = docs.sparkSession.createDataFrame(rows, "t string")
-    counts = sample.select(F.explode(words("t")).alias("word")).groupBy("word").count()
+    # The low bits are the row's number in its partition.  Texts stay in their tasks; only counts move.
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    rows = docs.select(F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"), number.alias("at"))
+    counts = rows.where(F.col("at") < sample_rows).select(F.explode(words("t")).alias("word")).groupBy("word").count()
     top = [r["word"] for r in counts.orderBy(F.desc("count"), "word").limit(head_words).collect()]
     spark = docs.sparkSession
     words_df = spark.createDataFrame([(w,) for w in top], "word string").repartition(spark.sparkContext.defaultParallelism)
@@ -214,11 +317,11 @@ def head_table(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
 
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, *, text: str = "text", head_words: int = HEAD_WORDS,
-    sample_docs: int = SAMPLE_DOCS,
+    sample_rows: int = SAMPLE_ROWS,
 ) -> DataFrame:
     """Add ``ids``, the token ids of each whole text, without special tokens."""
-    head = head_table(docs, ranks, pattern, text, head_words, sample_docs)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, head))
+    head = head_table(docs, ranks, pattern, text, head_words, sample_rows)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, PairRanks(ranks), head))
     name = uuid.uuid4().hex
 
     @F.arrow_udf("array<int>")
@@ -230,21 +333,20 @@ def encode(
         split = compiled(pattern).findall
         ids, ends = [], [np.zeros(1, np.int64)]
         for part in text_slices(pa.RecordBatch.from_arrays([texts], names=["t"]), "t", _SLICE_BYTES):
-            place: dict[str, int] = {}
-            picked, lengths = [], []
-            for value in part.column(0).to_pylist():
-                here = [place.setdefault(word, len(place)) for word in split(value)]
-                picked.append(np.array(here, dtype=np.int64))
-                lengths.append(len(here))
-            known = [coder.ids(word) for word in place]
-            sizes = np.array([len(k) for k in known], dtype=np.int64)
-            flat = np.fromiter(chain.from_iterable(known), dtype=np.int32, count=int(sizes.sum()))
-            starts = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])[:-1]
-            order = np.concatenate(picked)
-            ids.append(_gathered(flat, starts, sizes, order))
-            total = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes[order])])
+            place: defaultdict[str, int] = defaultdict(count().__next__)
+            picked = []
+            for value in part.column(0):
+                words = split(value.as_py())
+                picked.append(np.fromiter(map(place.__getitem__, words), dtype=np.int32, count=len(words)))
+            distinct = list(place)
+            known = coder.places(distinct)
+            lengths = np.fromiter(map(len, picked), dtype=np.int64, count=len(picked))
+            order = known[np.concatenate(picked)]
+            ids.append(_gathered(coder.flat, coder.starts, coder.sizes, order))
+            total = np.concatenate([np.zeros(1, np.int64), np.cumsum(coder.sizes[order])])
             ends.append(ends[-1][-1] + total[np.cumsum(lengths)])
-            del place, known, flat, order, picked
+            coder.forget(distinct)
+            del place, distinct, known, order, picked
         values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(values, type=pa.int32()))
 
