@@ -28,7 +28,7 @@ import base64
 import uuid
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, count
 
@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 
 from vecloom.llm.common import text_slices, without
 
-BUCKET_PIECES, HEAD_WORDS, SAMPLE_ROWS, MEMO_WORDS = 6, 4096, 20, 150_000
+BUCKET_PIECES, HEAD_WORDS, SAMPLE_ROWS, MEMO_WORDS = 6, 4096, 20, 80_000
 # Text and ids worked on at once in a task: index arrays take some twenty times as much.
-_SLICE_BYTES = 2_000_000
+_SLICE_BYTES = 1_000_000
 _NO_RANK = 2**31 - 1
 # Longer words are merged alone; parts of one matrix of words.
-_WIDEST, _MATRIX_PARTS = 64, 500_000
+_WIDEST, _MATRIX_PARTS = 64, 100_000
 _STATE: dict[str, _Coder] = {}
 
 
@@ -206,6 +206,26 @@ class _Coder:
             self.index = {word: i for i, word in enumerate(kept)}
             self._start()
 
+    def encoded(self, texts: pa.Array, split: Callable[[str], list[str]]) -> pa.Array:
+        """Ids of every text, some texts at a time."""
+        parts: list[pa.Array] = []
+        for part in text_slices(pa.RecordBatch.from_arrays([texts], names=["t"]), "t", _SLICE_BYTES):
+            place: defaultdict[str, int] = defaultdict(count().__next__)
+            picked = []
+            for value in part.column(0):
+                words = split(value.as_py())
+                picked.append(np.fromiter(map(place.__getitem__, words), dtype=np.int32, count=len(words)))
+            distinct = list(place)
+            known = self.places(distinct)
+            lengths = np.fromiter(map(len, picked), dtype=np.int64, count=len(picked))
+            order = known[np.concatenate(picked)]
+            total = np.concatenate([np.zeros(1, np.int64), np.cumsum(self.sizes[order])])
+            ends = total[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+            ids = _gathered(self.flat, self.starts, self.sizes, order)
+            parts.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(ids, type=pa.int32())))
+            self.forget(distinct)
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+
     def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in a row, and how many each has."""
         alone = [self.ranks.get(raw, -1) for raw in words]
@@ -330,25 +350,7 @@ def encode(
         if coder is None:
             _STATE.clear()
             coder = _STATE[name] = _Coder(*shared.value)
-        split = compiled(pattern).findall
-        ids, ends = [], [np.zeros(1, np.int64)]
-        for part in text_slices(pa.RecordBatch.from_arrays([texts], names=["t"]), "t", _SLICE_BYTES):
-            place: defaultdict[str, int] = defaultdict(count().__next__)
-            picked = []
-            for value in part.column(0):
-                words = split(value.as_py())
-                picked.append(np.fromiter(map(place.__getitem__, words), dtype=np.int32, count=len(words)))
-            distinct = list(place)
-            known = coder.places(distinct)
-            lengths = np.fromiter(map(len, picked), dtype=np.int64, count=len(picked))
-            order = known[np.concatenate(picked)]
-            ids.append(_gathered(coder.flat, coder.starts, coder.sizes, order))
-            total = np.concatenate([np.zeros(1, np.int64), np.cumsum(coder.sizes[order])])
-            ends.append(ends[-1][-1] + total[np.cumsum(lengths)])
-            coder.forget(distinct)
-            del place, distinct, known, order, picked
-        values = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(np.concatenate(ends).astype(np.int32)), pa.array(values, type=pa.int32()))
+        return coder.encoded(texts, compiled(pattern).findall)
 
     return without(docs, "ids").withColumn("ids", encoded(F.coalesce(docs[text], F.lit(""))))
 
@@ -365,15 +367,15 @@ def decode(rows: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", output
     @F.arrow_udf("binary")
     def decoded(column: pa.Array) -> pa.Array:
         flat, starts, sizes = shared.value
-        out: list[bytes] = []
+        out: list[pa.Array] = []
         for tokens in _token_slices(column):
             values = tokens.flatten().to_numpy(zero_copy_only=False)
             lengths = np.diff(tokens.offsets.to_numpy())
-            raw = _gathered(flat, starts, sizes, values).tobytes()
+            raw = _gathered(flat, starts, sizes, values)
             total = np.concatenate([[0], np.cumsum(sizes[values])])
-            ends = total[np.concatenate([[0], np.cumsum(lengths)])]
-            out += (raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True))
-        return pa.array(out, type=pa.binary())
+            ends = total[np.concatenate([[0], np.cumsum(lengths)])].astype(np.int32)
+            out.append(pa.Array.from_buffers(pa.binary(), len(tokens), [None, pa.py_buffer(ends), pa.py_buffer(raw)]))
+        return pa.concat_arrays(out) if out else pa.array([], pa.binary())
 
     tokens = F.coalesce(F.col(f"`{ids}`").cast("array<int>"), F.array().cast("array<int>"))
     return without(rows, output).withColumn(output, decoded(tokens))
