@@ -1,0 +1,59 @@
+"""The exact join by bounds against brute force, and how many block pairs it skips."""
+
+import numpy as np
+import pytest
+from test_knn import brute, frame, got
+
+from vecloom.operators import bounded
+
+SMALL = bounded.BoundSpec(query_block=16, doc_block=32, pivots=12)
+
+
+def joined(q, d, k, spec=SMALL, **named):
+    return bounded.join_by_bounds(q, d, k, query_id="id", spec=spec, **named)
+
+
+@pytest.mark.parametrize("k", [1, 7])
+def test_matches_brute_force(spark, k):
+    rng = np.random.default_rng(1)
+    q, d = rng.normal(size=(60, 6)).astype(np.float32), rng.normal(size=(400, 6)).astype(np.float32)
+    result, report = joined(frame(spark, q), frame(spark, d), k)
+    assert got(result) == brute(q, d, k)
+    assert report.joined <= report.block_pairs and report.passes > 1
+
+
+def test_skips_most_block_pairs_of_clustered_data(spark):
+    rng = np.random.default_rng(2)
+    centers = rng.normal(size=(30, 24))
+    d = (centers[rng.integers(0, 30, 3000)] + 0.1 * rng.normal(size=(3000, 24))).astype(np.float32)
+    q = d[::10]
+    result, report = joined(frame(spark, q), frame(spark, d), 5, bounded.BoundSpec(query_block=32, doc_block=64, pivots=30))
+    assert got(result) == brute(q, d, 5)
+    assert report.block_pairs > 500 and report.joined < 0.2 * report.block_pairs
+
+
+def test_a_third_of_all_rows_are_copies(spark):
+    d = np.random.default_rng(3).normal(size=(300, 5)).astype(np.float32)
+    d[::3] = d[0]
+    result, _ = joined(frame(spark, d), frame(spark, d), 5)
+    assert got(result) == brute(d, d, 5)
+
+
+def test_fewer_documents_than_asked_and_text_ids(spark):
+    d = np.random.default_rng(4).normal(size=(4, 3)).astype(np.float32)
+    name = lambda i: f"d{i}"
+    result, _ = joined(frame(spark, d), frame(spark, d, "string", name), 9)
+    assert got(result) == brute(d, d, 9, d_ids=np.array([name(i) for i in range(4)]))
+
+
+def test_odd_vectors(spark):
+    rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0]), (4, [1.0, None]), (5, [0.0, 2.0]), (6, [-1.0, 0.0])]
+    docs = spark.createDataFrame(rows, "id long, embedding array<float>")
+    queries = spark.createDataFrame([(0, [2.0, 0.0]), (1, [0.0, 0.0]), (2, None), (2, [1.0, None])], docs.schema)
+    result, _ = joined(queries, docs, 4)
+    # Without a direction a document scores 0, as one at a right angle does; the lower id goes first.
+    assert got(result) == {(0, 0, 1), (0, 2, 2), (0, 3, 3), (0, 5, 4), (1, 0, 1), (1, 2, 2), (1, 3, 3), (1, 5, 4)}
+    assert joined(queries, docs.limit(0), 4)[0].collect() == []
+    assert joined(queries.limit(0), docs, 4)[0].collect() == []
+    with pytest.raises(ValueError, match="several lengths"):
+        joined(docs, docs, 4)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from vecloom.functions import kernels
 from vecloom.functions.vectors import cosine_similarity
-from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _ids, _query_matrix, passes, small_side
+from vecloom.operators.knn import DEFAULT_LIMITS, KnnLimits, _column, _query_matrix, passes, row_ids, small_side
 from vecloom.operators.search import guarded_vector, query_model
 from vecloom.sources.scratch import materialize
 
@@ -26,7 +26,7 @@ def _expected_scores(queries: DataFrame, docs: DataFrame) -> DataFrame:
 def _count_block(table: pa.Table, batches):
     """Per-query counters of a query block over a stream of document batches."""
     matrix, q_known = _query_matrix(table, "vec")
-    expect = _ids(_column(table, "expect"))
+    expect = row_ids(_column(table, "expect"))
     score = _column(table, "expect_score").to_numpy(zero_copy_only=False).astype(np.float64)
     ahead, wrong = np.zeros(len(matrix), dtype=np.int64), np.full(len(matrix), -np.inf)
     for batch in batches:
@@ -35,7 +35,7 @@ def _count_block(table: pa.Table, batches):
         vectors = batch.column("vec")
         docs, known, _ = kernels.pack(vectors, matrix.shape[1])
         column = batch.column("id")
-        ids = _ids(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
+        ids = row_ids(column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column)
         kernels.count_ahead(matrix, expect, score, kernels.unit_rows(docs), ids, known, ahead, wrong)
     # A query without a vector scores NULL everywhere: ids alone order it.
     hidden = np.isneginf(wrong) | ~q_known

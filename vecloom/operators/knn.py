@@ -78,7 +78,7 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
 
 
-def _ids(column: pa.Array) -> np.ndarray:
+def row_ids(column: pa.Array) -> np.ndarray:
     values = column.to_numpy(zero_copy_only=False)
     return values.astype("U") if values.dtype == object else values
 
@@ -94,7 +94,7 @@ def _query_matrix(table: pa.Table, vec_col: str) -> tuple[np.ndarray, np.ndarray
     return kernels.unit_rows(matrix), present
 
 
-def _merge(partials: DataFrame, k: int) -> DataFrame:
+def merge_best(partials: DataFrame, k: int) -> DataFrame:
     best = Window.partitionBy("q").orderBy(F.desc("score"), F.asc("id"))
     return partials.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
@@ -103,7 +103,7 @@ def _schema(q_type: str, id_type: str) -> str:
     return f"q {q_type}, id {id_type}, score double"
 
 
-def _emit(state: kernels.TopK, q_ids: pa.Array, id_type: pa.DataType) -> pa.Table | None:
+def emit_rows(state: kernels.TopK, q_ids: pa.Array, id_type: pa.DataType) -> pa.Table | None:
     found = state.result()
     if found is None:
         return None
@@ -134,12 +134,12 @@ def _broadcast_topk(queries: pa.Table, docs: DataFrame, k: int, q_type: str, id_
                 continue
             kind = batch.schema.field("id").type
             docs_matrix, present, _ = kernels.pack(batch.column("vec"), matrix.shape[1])
-            unit, ids = kernels.unit_rows(docs_matrix), _ids(batch.column("id"))
+            unit, ids = kernels.unit_rows(docs_matrix), row_ids(batch.column("id"))
             for cell, run in kernels.cell_runs(batch.column("cell").to_numpy(zero_copy_only=False)):
                 rows, mine = by_cell.get(cell), run[present[run]]
                 if rows is not None and len(rows) and len(mine):
                     state.add(matrix[rows], at[rows], unit[mine], ids[mine])
-        out = _emit(state, q_ids, kind)
+        out = emit_rows(state, q_ids, kind)
         if out is not None:
             yield from out.to_batches()
 
@@ -166,7 +166,8 @@ def _sizes(queries: DataFrame, docs: DataFrame, limits: KnnLimits) -> Callable[[
     return lambda df: df.join(sizes if few is None else few, "cell")
 
 
-def _signature(vec: str):
+def vector_signature(vec: str):
+    """128 bits that tell vectors apart."""
     return F.concat_ws(":", F.hex(F.xxhash64(vec)), F.hex(F.xxhash64(F.reverse(F.col(vec)), F.size(vec))))
 
 
@@ -178,12 +179,12 @@ def _grid_topk(queries: DataFrame, docs: DataFrame, k: int, q_type: str, id_type
     and of equal documents in a cell only the ``k`` lowest ids can be answers.
     The window limit drops the others before their vectors are shuffled.
     """
-    queries = queries.filter(F.col("vec").isNotNull()).withColumn("sig", _signature("vec"))
+    queries = queries.filter(F.col("vec").isNotNull()).withColumn("sig", vector_signature("vec"))
     distinct = queries.groupBy("cell", "sig").agg(F.any_value("vec").alias("vec"))
     equal = Window.partitionBy("cell", "sig").orderBy("id")
     lowest = (
         docs.filter(F.col("vec").isNotNull())
-        .withColumn("sig", _signature("vec"))
+        .withColumn("sig", vector_signature("vec"))
         .withColumn("copy", F.row_number().over(equal))
         .filter(F.col("copy") <= k)
     )
@@ -209,14 +210,14 @@ def _grid_topk(queries: DataFrame, docs: DataFrame, k: int, q_type: str, id_type
         docs_matrix, known, _ = kernels.pack(_column(against, "vec"), matrix.shape[1])
         state, rows = kernels.TopK(len(matrix), k), np.flatnonzero(present)
         if len(rows) and known.any():
-            state.add(matrix[rows], rows, kernels.unit_rows(docs_matrix[known]), _ids(_column(against, "id"))[known])
-        return _emit(state, names, kind) or empty
+            state.add(matrix[rows], rows, kernels.unit_rows(docs_matrix[known]), row_ids(_column(against, "id"))[known])
+        return emit_rows(state, names, kind) or empty
 
     keys = ["cell", "qb", "db"]
     partials = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, _schema("string", id_type))
     if copies > 1:
         partials = partials.dropDuplicates(["q", "id"])
-    best = _merge(partials, k).withColumnRenamed("q", "sig").drop("rank")
+    best = merge_best(partials, k).withColumnRenamed("q", "sig").drop("rank")
     askers = queries.select("q", "sig").distinct()
     return askers.join(best, "sig").select(F.col("q").cast(q_type), "id", "score")
 
@@ -241,7 +242,7 @@ def cell_topk(queries: DataFrame, docs: DataFrame, k: int, limits: KnnLimits = D
             partials = partials.dropDuplicates(["q", "id"])
     else:
         partials = _grid_topk(queries, docs, k, q_type, id_type, limits, copies)
-    return _merge(partials, k)
+    return merge_best(partials, k)
 
 
 def knn_join(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str = "q", doc_id: str = "id",

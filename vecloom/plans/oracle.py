@@ -239,6 +239,7 @@ ORACLE: dict[str, str] = {
     "rank_of": RANK_OF,
     "sql_vector_search": f"SELECT vec_id, round(s, 6) AS similarity FROM ({ONE}) ORDER BY s DESC, vec_id LIMIT 5",
     "ann_ivf_full_probe": KNN,
+    "knn_join_bounded": KNN,
     "ann_ivf": IVF,
     "ann_lsh": LSH,
     "eval_per_query": f"""WITH {TRUTH}, {evaluated('e', 384)}

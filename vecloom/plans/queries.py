@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import vecloom.functions as V
 from vecloom.functions.sql import register_functions
-from vecloom.operators import ann, chunking, evaluate, knn, pooling, rag, search
+from vecloom.operators import ann, bounded, chunking, evaluate, graph, knn, pooling, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import maintenance, status, tables
@@ -313,6 +313,11 @@ def knn_join(spark, sf_dir):
     return _ranked(knn.knn_join(e, e, 5, query_id="vec_id", doc_id="vec_id"))
 
 
+def knn_join_bounded(spark, sf_dir):
+    e = load(spark, sf_dir, "embeddings")
+    return _ranked(bounded.knn_join_bounded(e, e, 5, query_id="vec_id", doc_id="vec_id"))
+
+
 def rank_of(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings")
     firsts = pooling.cls_pool(e, "label", "embedding", "vec_id")
@@ -354,6 +359,15 @@ def ann_lsh(spark, sf_dir):
     return _ranked(ann.lsh_search(e, e, 5, query_id="vec_id", doc_id="vec_id"))
 
 
+def ann_graph(spark, sf_dir):
+    """A graph over several shards, so that beams have to cross from one to another."""
+    e = load(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "graph")
+    graph.build_graph(e, path, graph.GraphSpec(shard_rows=1_024), id_col="vec_id", cells=4)
+    found = graph.graph_search(e, graph.load_graph(spark, path), 5, probes=2, width=24, hops=1, exits=64, query_id="vec_id")
+    return _ranked(found)
+
+
 # Evaluation -----------------------------------------------------------------
 
 
@@ -551,7 +565,7 @@ QUERIES: dict[str, Query] = {
             embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
-            knn_join, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh,
+            knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_graph,
             eval_per_query, eval_summary, compare_models, compare_summaries,
             backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_partial_columns,
             append_ignore_conflicts, append_null_keys, source_lookup, column_defaults,
