@@ -1,0 +1,86 @@
+"""Product quantisation: codes, scans, recall and exact scores."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from test_graph import frame, recall, unit
+from test_knn import brute, got
+
+from vecloom.operators import knn, quantized
+
+GRID = knn.KnnLimits(max_broadcast_rows=3, query_block=40, doc_block=8)
+
+
+def indexed(spark, tmp_path, docs, **fit):
+    quantized.build_codes(docs, f"{tmp_path}/codes", quantized.fit_codebooks(docs, **fit))
+    return quantized.load_codes(spark, f"{tmp_path}/codes")
+
+
+def test_scan_sums_the_tables_of_the_nearest_centroids():
+    rng = np.random.default_rng(1)
+    books = quantized.Codebooks(rng.normal(size=(4, 10, 3)))
+    rows, queries = rng.normal(size=(30, 12)), rng.normal(size=(5, 12))
+    codes = books.encode(rows)
+    near = np.empty_like(rows)
+    for i, row in enumerate(rows):
+        for p in range(4):
+            piece = row[3 * p:3 * p + 3]
+            best = min(range(10), key=lambda c: ((books.centroids[p, c] - piece) ** 2).sum())
+            assert codes[i, p] == best
+            near[i, 3 * p:3 * p + 3] = books.centroids[p, best]
+    assert np.allclose(quantized.scan(books.tables(queries), codes), near @ queries.T, atol=1e-5)
+
+
+def test_recall_on_the_given_table_at_eight_bytes_a_vector(spark, tmp_path):
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select(F.col("vec_id").alias("id"), "embedding")
+    m = unit(np.array([r["embedding"] for r in e.orderBy("id").collect()], dtype=float))
+    codes, books = indexed(spark, tmp_path, e, parts=8)
+    assert codes.count() == len(m) and {len(r["code"]) for r in codes.collect()} == {8}
+    asked = e.filter("id % 5 = 0")
+    found = quantized.pq_search(asked, e, codes, books, 6, query_id="id").collect()
+    assert recall(found, np.round(m @ m.T, 9), 5) >= 0.9
+
+
+@pytest.mark.parametrize("limits", [knn.DEFAULT_LIMITS, GRID])
+def test_equals_exact_search_when_everything_is_reranked(spark, tmp_path, limits):
+    rng = np.random.default_rng(2)
+    d = rng.normal(size=(120, 8)).astype(np.float32)
+    d[::3] = d[0]
+    docs = frame(spark, d)
+    codes, books = indexed(spark, tmp_path, docs, parts=4, centroids=16)
+    result = quantized.pq_search(docs, docs, codes, books, 5, rerank=120, query_id="id", limits=limits)
+    assert got(result) == brute(d, d, 5)
+
+
+def test_both_forms_choose_the_same_candidates(spark, tmp_path):
+    d = np.random.default_rng(3).normal(size=(300, 8)).astype(np.float32)
+    docs = frame(spark, d)
+    codes, books = indexed(spark, tmp_path, docs, parts=2, centroids=8)
+    asked = docs.select(F.col("id").alias("q"), F.col("embedding").alias("vec"))
+    one, other = (
+        {(r["q"], r["id"], round(r["score"], 5)) for r in quantized.candidates(asked, codes, books, 9, limits).collect()}
+        for limits in (knn.DEFAULT_LIMITS, GRID)
+    )
+    assert one == other and len(one) == 300 * 9
+
+
+def test_codebooks_of_few_rows_are_the_rows(spark):
+    d = unit(np.random.default_rng(4).normal(size=(9, 4))).astype(np.float32)
+    books = quantized.fit_codebooks(frame(spark, d), parts=2, centroids=9)
+    assert np.allclose(np.sort(books.centroids[0], axis=0), np.sort(unit(d.astype(float))[:, :2], axis=0), atol=1e-6)
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    rows = [(0, [1.0, 0.0]), (1, None), (2, [0.0, 0.0]), (3, [1.0, None]), (4, [0.6, 0.8]), (5, [-1.0, 0.0]), (6, [1.0, 2.0, 3.0])]
+    docs = spark.createDataFrame(rows, "id long, embedding array<float>")
+    codes, books = indexed(spark, tmp_path, docs, parts=2)
+    assert sorted(r["id"] for r in codes.collect()) == [0, 4, 5]
+    found = quantized.pq_search(docs.filter("id = 4"), docs, codes, books, 3, query_id="id")
+    assert got(found) == {(4, 4, 1), (4, 0, 2), (4, 5, 3)}
+    assert quantized.pq_search(docs.limit(0), docs, codes, books, 3, query_id="id").collect() == []
+    empty, none = indexed(spark, tmp_path / "empty", docs.filter("id > 9"))
+    assert quantized.pq_search(docs.filter("id = 4"), docs, empty, none, 3, query_id="id").collect() == []
+    with pytest.raises(ValueError):
+        quantized.fit_codebooks(docs, parts=3)
+    with pytest.raises(ValueError):
+        quantized.pq_search(docs, docs, codes, books, 3, rerank=2)

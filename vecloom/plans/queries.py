@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import vecloom.functions as V
 from vecloom.functions.sql import register_functions
-from vecloom.operators import ann, bounded, chunking, evaluate, graph, knn, pooling, rag, search
+from vecloom.operators import ann, bounded, chunking, evaluate, graph, knn, pooling, quantized, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import maintenance, status, tables
@@ -368,6 +368,15 @@ def ann_graph(spark, sf_dir):
     return _ranked(found)
 
 
+def ann_pq(spark, sf_dir):
+    """Eight bytes a vector, and the exact cosine of the hundred best."""
+    e = load(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "codes")
+    quantized.build_codes(e, path, quantized.fit_codebooks(e, parts=8), id_col="vec_id")
+    codes, books = quantized.load_codes(spark, path)
+    return _ranked(quantized.pq_search(e, e, codes, books, 5, rerank=100, query_id="vec_id", doc_id="vec_id"))
+
+
 # Evaluation -----------------------------------------------------------------
 
 
@@ -565,7 +574,7 @@ QUERIES: dict[str, Query] = {
             embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
-            knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_graph,
+            knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_graph, ann_pq,
             eval_per_query, eval_summary, compare_models, compare_summaries,
             backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_partial_columns,
             append_ignore_conflicts, append_null_keys, source_lookup, column_defaults,
