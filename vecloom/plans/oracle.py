@@ -69,6 +69,8 @@ KNN = f"""SELECT q, id, round(s, 6) AS score, rank FROM (
         SELECT q.vec_id AS q, d.vec_id AS id, round(list_cosine_similarity(d.e, q.e), 9) AS s
         FROM ({UNIT}) q CROSS JOIN ({UNIT}) d)) WHERE rank <= 5"""
 
+KNN_WHERE = KNN.replace("CROSS JOIN", "JOIN").replace("d)) WHERE rank", "d ON d.label IN (2, 7) AND d.vec_id >= 10)) WHERE rank")
+
 RANK_OF = f"""SELECT q, id, rank, round(s, 6) AS score, round(s - wrong, 6) AS margin FROM (
     SELECT q, own, id, s, row_number() OVER (PARTITION BY q ORDER BY s DESC, id) AS rank,
            CASE WHEN id = first(id) OVER best THEN nth_value(s, 2) OVER best ELSE first(s) OVER best END AS wrong FROM (
@@ -240,6 +242,7 @@ ORACLE: dict[str, str] = {
     "sql_vector_search": f"SELECT vec_id, round(s, 6) AS similarity FROM ({ONE}) ORDER BY s DESC, vec_id LIMIT 5",
     "ann_ivf_full_probe": KNN,
     "knn_join_bounded": KNN,
+    "ann_filtered": KNN_WHERE,
     "ann_ivf": IVF,
     "ann_lsh": LSH,
     "eval_per_query": f"""WITH {TRUTH}, {evaluated('e', 384)}

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 import vecloom.functions as V
 from vecloom.functions.sql import register_functions
-from vecloom.operators import ann, bounded, chunking, evaluate, graph, knn, pooling, quantized, rag, search
+from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, pooling, quantized, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import maintenance, status, tables
@@ -359,6 +359,16 @@ def ann_lsh(spark, sf_dir):
     return _ranked(ann.lsh_search(e, e, 5, query_id="vec_id", doc_id="vec_id"))
 
 
+def ann_filtered(spark, sf_dir):
+    """All cells that may hold rows of two labels, so that the answers are exact within the filter."""
+    e = load(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "filtered")
+    filtered.build_filtered(e, path, ["label", "vec_id"], 16)
+    where = [filtered.Condition("label", values=(2, 7)), filtered.Condition("vec_id", low=10)]
+    found = filtered.search_where(e, filtered.load_filtered(spark, path), where, 5, probes=16, query_id="vec_id", doc_id="vec_id")
+    return _ranked(found)
+
+
 def ann_graph(spark, sf_dir):
     """A graph over several shards, so that beams have to cross from one to another."""
     e = load(spark, sf_dir, "embeddings")
@@ -574,7 +584,7 @@ QUERIES: dict[str, Query] = {
             embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
-            knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_graph, ann_pq,
+            knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_filtered, ann_graph, ann_pq,
             eval_per_query, eval_summary, compare_models, compare_summaries,
             backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_partial_columns,
             append_ignore_conflicts, append_null_keys, source_lookup, column_defaults,
