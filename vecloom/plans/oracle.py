@@ -293,4 +293,9 @@ ORACLE: dict[str, str] = {
     "stream_upsert": f"""WITH {hashed('h', EDITED_TWICE)}, {prints('h')}
         SELECT d.doc_id, d.lang, coalesce(nnz, 0) AS nnz, round(coalesce(checksum, 0.0::DOUBLE), 6) AS checksum
         FROM documents d LEFT JOIN h_f ON h_f.id = d.doc_id""",
+    "stream_upsert_watched": f"""WITH {hashed('h', EDITED_TWICE.replace("'en'", "'fr'"))}, {prints('h')}
+        SELECT d.doc_id, d.lang, CASE WHEN d.lang = 'en' THEN 'moved' ELSE d.source END AS source,
+               CASE WHEN d.lang = 'fr' THEN 2::BIGINT ELSE 1::BIGINT END AS vector_version,
+               coalesce(nnz, 0) AS nnz, round(coalesce(checksum, 0.0::DOUBLE), 6) AS checksum
+        FROM documents d LEFT JOIN h_f ON h_f.id = d.doc_id""",
 }

@@ -19,7 +19,7 @@ from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import maintenance, status, tables
 from vecloom.sources.scratch import materialize, scratch_path
-from vecloom.streaming import embed
+from vecloom.streaming import embed, watched
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -571,6 +571,21 @@ def stream_upsert_out_of_order(spark, sf_dir):
     return fingerprint(embed.read_upserts(spark, f"{root}/table", "doc_id", "seq"), "doc_id", "lang")
 
 
+def stream_upsert_watched(spark, sf_dir):
+    """All rows first; then sources that move, texts that change, and changes that come too late."""
+    root = scratch_path(spark, "stream_watched")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text", F.lit(5).alias("seq"))
+    moved = docs.filter("lang = 'en'").withColumns({"source": F.lit("moved"), "seq": F.lit(6)})
+    edited = docs.filter("lang = 'fr'").withColumns({"text": F.concat("text", F.lit(" updated twice")), "seq": F.lit(7)})
+    late = docs.filter("lang = 'de'").withColumns({"text": F.lit("too late"), "seq": F.lit(2)})
+    for step, rows in enumerate((docs, moved.unionByName(edited).unionByName(late))):
+        rows.write.parquet(f"{root}/changes/step={step}")
+        arriving = spark.readStream.schema(docs.schema).parquet(f"{root}/changes/*")
+        watched.stream_upsert_watched(arriving, f"{root}/table", f"{root}/checkpoint", key="doc_id", watched=["text"], text="text",
+                                      order_by="seq", spec=V.HASHING_WHOLE, once=True).awaitTermination()
+    return fingerprint(watched.read_watched(spark, f"{root}/table", "doc_id"), "doc_id", "lang", "source", "vector_version")
+
+
 QUERIES: dict[str, Query] = {
     "cosine_similarity": _pairwise(V.cosine_similarity),
     "cosine_distance": _pairwise(V.cosine_distance),
@@ -590,7 +605,7 @@ QUERIES: dict[str, Query] = {
             append_ignore_conflicts, append_null_keys, source_lookup, column_defaults,
             append_rows, latest_changes,
             replace_table, add_vector_column, embedding_status, metadata_filter, stream_embed, stream_upsert,
-            stream_upsert_out_of_order,
+            stream_upsert_out_of_order, stream_upsert_watched,
         )
     },
 }

@@ -1,6 +1,6 @@
 """Embed rows as they arrive, with Structured Streaming.
 
-Encoding is row-local, so no stream here needs state, a watermark or a shuffle.
+Encoding is row-local, so no stream in this module needs state, a watermark or a shuffle.
 """
 
 from __future__ import annotations
@@ -49,7 +49,9 @@ def stream_upsert(stream: DataFrame, path: str, checkpoint: str, *, key: str, te
     arrives late loses to a newer one by ``order_by``, whatever its batch.
 
     ``on_change`` encodes every change; ``if_null`` keeps a vector (and model)
-    that a change brings and encodes the others.
+    that a change brings and encodes the others.  A stream that has to know
+    whether a key is new or a column has changed needs state:
+    :func:`vecloom.streaming.watched.stream_upsert_watched`.
 
     Because encoding is deterministic, encoding a change whose text is the same
     as before gives the vector it already had.
