@@ -114,3 +114,35 @@ def test_context_joins_by_broadcast(spark, tmp_path, chunks):
     rag.embed_chunks(chunks[1], V.HASHING).write.parquet(path)
     plan = rag.rag_search_with_context(spark.read.parquet(path), "alpha")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("window", [0, 1])
+def test_stored_chunks_answer_many_questions_like_one(spark, tmp_path, chunks, window):
+    stored = rag.store_chunks(rag.embed_chunks(chunks[1]), "stored_test", str(tmp_path / "stored"), buckets=4)
+    texts = ["beta alpha", "gamma delta", "alpha"]
+    asked = spark.createDataFrame(list(enumerate(texts)), "q int, text string").withColumn("embedding", V.embed_query("text", V.HASHING))
+    got = rag.rag_batch_with_context(stored, asked, window, 3).collect()
+    for i, text in enumerate(texts):
+        one = rag.rag_search_with_context(stored, text, window, 3).collect()
+        mine = sorted((r for r in got if r["q"] == i), key=lambda r: r["rank"])
+        columns = ("chunk_id", "title", "combined_content", "source")
+        assert [tuple(r[c] for c in columns) for r in mine] == [tuple(r[c] for c in columns) for r in one]
+    rag.drop_chunks(spark, "stored_test")
+    with pytest.raises(ValueError):
+        rag.rag_batch_with_context(stored, asked, -1)
+
+
+def test_stored_chunks_are_not_exchanged(spark, tmp_path, chunks):
+    rag.store_chunks(rag.embed_chunks(chunks[1]), "stored_plan", str(tmp_path / "stored"), buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = spark.table("stored_plan")
+        hits = stored.select(F.col("parent_id").alias("hit_parent"), F.col("id").alias("chunk_id")).repartition(3)
+        plan = stored.join(hits, F.col("parent_id") == F.col("hit_parent"))._jdf.queryExecution().executedPlan().toString()
+        rows = plan.splitlines()
+        bucketed = next(i for i, line in enumerate(rows) if "Bucketed: true" in line and "embedding" in line)
+        join = next(i for i, line in enumerate(rows) if "SortMergeJoin" in line)
+        assert join < bucketed and not any("Exchange" in line for line in rows[join:bucketed])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        rag.drop_chunks(spark, "stored_plan")

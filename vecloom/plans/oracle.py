@@ -299,3 +299,4 @@ ORACLE: dict[str, str] = {
                coalesce(nnz, 0) AS nnz, round(coalesce(checksum, 0.0::DOUBLE), 6) AS checksum
         FROM documents d LEFT JOIN h_f ON h_f.id = d.doc_id""",
 }
+ORACLE["rag_stored_context"] = ORACLE["rag_search_with_context"]

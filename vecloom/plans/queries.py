@@ -6,6 +6,7 @@ runs over whole tables and whole texts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import numpy as np
@@ -304,6 +305,15 @@ def rag_search_with_context(spark, sf_dir):
     return hits.select("chunk_id", "title", "combined_content", "source", rounded("similarity").alias("similarity"))
 
 
+def rag_stored_context(spark, sf_dir):
+    """The same over a stored table of chunks: encoded once, neighbours joined where they lie."""
+    table = "vecloom_chunks_" + uuid.uuid4().hex
+    chunks = rag.store_chunks(rag.embed_chunks(_chunks(spark, sf_dir)[1]), table, scratch_path(spark, "chunks"), buckets=8)
+    question = spark.range(1).select(F.col("id").alias("q"), V.embed_query(F.lit(SEARCH_TEXT), V.HASHING).alias("embedding"))
+    hits = rag.rag_batch_with_context(chunks, question)
+    return hits.select("chunk_id", "title", "combined_content", "source", rounded("similarity").alias("similarity"))
+
+
 def _ranked(df: DataFrame) -> DataFrame:
     return df.select("q", "id", rounded("score").alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -599,6 +609,7 @@ QUERIES: dict[str, Query] = {
             embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
+            rag_stored_context,
             knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_filtered, ann_graph, ann_pq,
             eval_per_query, eval_summary, compare_models, compare_summaries,
             backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_partial_columns,
