@@ -53,7 +53,7 @@ def measures(spark: SparkSession, seconds: dict[str, float]) -> dict[str, float]
     if "knn_join" in seconds:
         out["knn_pairs_per_s"] = round(count["embeddings"] ** 2 / seconds["knn_join"], 1)
         exact = {(r["q"], r["id"]) for r in QUERIES["knn_join"](spark, SF_DIR).collect()}
-        for name in ("ann_ivf", "ann_lsh"):
+        for name in ("ann_ivf", "ann_lsh", "ann_graph", "ann_pq"):
             if name in seconds:
                 found = {(r["q"], r["id"]) for r in QUERIES[name](spark, SF_DIR).collect()}
                 out[f"{name}_recall_at_5"] = round(len(found & exact) / len(exact), 4)
