@@ -384,7 +384,7 @@ def ann_graph(spark, sf_dir):
     e = load(spark, sf_dir, "embeddings")
     path = scratch_path(spark, "graph")
     graph.build_graph(e, path, graph.GraphSpec(shard_rows=1_024), id_col="vec_id", cells=4)
-    found = graph.graph_search(e, graph.load_graph(spark, path), 5, probes=2, width=24, hops=1, exits=64, query_id="vec_id")
+    found = graph.graph_search(e, graph.load_graph(spark, path), 5, probes=1, width=16, hops=2, exits=64, query_id="vec_id")
     return _ranked(found)
 
 
