@@ -300,3 +300,4 @@ ORACLE: dict[str, str] = {
         FROM documents d LEFT JOIN h_f ON h_f.id = d.doc_id""",
 }
 ORACLE["rag_stored_context"] = ORACLE["rag_search_with_context"]
+ORACLE["search_documents_postings"] = ORACLE["search_documents"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 import vecloom.functions as V
 from vecloom.functions.sql import register_functions
-from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, pooling, quantized, rag, search
+from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, pooling, postings, quantized, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import maintenance, status, tables
@@ -269,6 +269,16 @@ def search_documents(spark, sf_dir):
     return _score_rows(hits, "doc_id", "lang")
 
 
+def search_documents_postings(spark, sf_dir):
+    """The same from impact-ordered postings, which are read as far as the tenth score asks."""
+    docs = materialize(maintenance.encode_documents(texts(spark, sf_dir, "lang", "text"), "text", V.HASHING_WHOLE).drop("text"), "encoded")
+    path = scratch_path(spark, "postings")
+    postings.build_postings(docs, path, id_col="doc_id")
+    question = spark.range(1).select(F.col("id").alias("q"), V.embed_query(F.lit(SEARCH_TEXT), V.HASHING_WHOLE).alias("embedding"))
+    found = postings.postings_search(question, postings.load_postings(spark, path), 10)
+    return _score_rows(found.join(docs.select("doc_id", "lang"), F.col("id") == F.col("doc_id")), "doc_id", "lang")
+
+
 def search_products(spark, sf_dir):
     hits = search.search_products(_products(spark, sf_dir), PRODUCT_TEXT, 5)
     return hits.select("id", "name", "description", "price", rounded("similarity").alias("similarity"))
@@ -607,7 +617,7 @@ QUERIES: dict[str, Query] = {
             vector_edge_cases, vector_literal, vector_literal_roundtrip, l2_normalize, mean_pool, cls_pool,
             encode_documents, encode_documents_token_limit, encode_queries, encode_composed_text, encode_batch,
             embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
-            search_topk, search_threshold, search_filtered, search_distance, search_documents, search_products,
+            search_topk, search_threshold, search_filtered, search_distance, search_documents, search_documents_postings, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
             rag_stored_context,
             knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_filtered, ann_graph, ann_pq,
