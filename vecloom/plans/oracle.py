@@ -301,3 +301,4 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["rag_stored_context"] = ORACLE["rag_search_with_context"]
 ORACLE["search_documents_postings"] = ORACLE["search_documents"]
+ORACLE["upsert_bucketed"] = ORACLE["upsert_embeddings"]

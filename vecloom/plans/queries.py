@@ -18,7 +18,7 @@ from vecloom.functions.sql import register_functions
 from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, pooling, postings, quantized, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
-from vecloom.sources import maintenance, status, tables
+from vecloom.sources import bucketed, maintenance, status, tables
 from vecloom.sources.scratch import materialize, scratch_path
 from vecloom.streaming import embed, watched
 
@@ -485,6 +485,16 @@ def upsert_if_null(spark, sf_dir):
     return fingerprint(_upsert(spark, sf_dir, "if_null"), "doc_id", "lang")
 
 
+def upsert_bucketed(spark, sf_dir):
+    """The changes of ``upsert_embeddings`` on a stored table, whose files are rewritten where a changed key meets them."""
+    docs = texts(spark, sf_dir, "lang", "text")
+    edited = F.when(F.col("lang") == "en", F.concat("text", F.lit(" updated once"))).otherwise(F.col("text"))
+    root = scratch_path(spark, "bucketed")
+    bucketed.create(_marked(docs.filter(F.col("lang") != "fr")), root, "doc_id", buckets=16)
+    bucketed.upsert(docs.filter(F.col("lang") != "de").withColumn("text", edited), root, ["text"], "text", V.HASHING_WHOLE)
+    return fingerprint(bucketed.read(spark, root), "doc_id", "lang")
+
+
 def upsert_partial_columns(spark, sf_dir):
     """Changes without the text: other columns and the vector stay."""
     existing = _marked(load(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
@@ -622,7 +632,7 @@ QUERIES: dict[str, Query] = {
             rag_stored_context,
             knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_filtered, ann_graph, ann_pq,
             eval_per_query, eval_summary, compare_models, compare_summaries,
-            backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_partial_columns,
+            backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_bucketed, upsert_partial_columns,
             append_ignore_conflicts, append_null_keys, source_lookup, column_defaults,
             append_rows, latest_changes,
             replace_table, add_vector_column, embedding_status, metadata_filter, stream_embed, stream_upsert,

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecloom.functions.vectors import assert_dim
 
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Scan a Parquet table, with a declared schema where one is given."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -79,16 +82,53 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return found
 
 
-def replace_table(df: DataFrame, root: str) -> int:
+def publish(spark: SparkSession, written: str, target: str) -> None:
+    """Give a finished folder its name, or fail where another writer has taken that name.
+
+    One rename, which file systems with directories do at once and refuse if the target exists.
+    """
+    fs = spark._jvm.org.apache.hadoop.fs
+    context = fs.FileContext.getFileContext(fs.Path(target).toUri(), spark._jsc.hadoopConfiguration())
+    plain = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    try:
+        context.rename(fs.Path(written), fs.Path(target), plain)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in str(error.java_exception):
+            raise FileExistsError(f"{target} was written by another writer") from error
+        raise
+
+
+def replace_table(df: DataFrame, root: str, expected: int | None = None) -> int:
     """Write a whole new version of a table and return its number.
 
     The new version may be computed from the current one: readers move to it
     only when it is complete, and a failed write leaves the old one in place.
-    A version without rows counts like any other.
+    A version without rows counts like any other.  Writers do not disturb each
+    other: rows are written beside the versions, and the folder gets the next free
+    number.  With ``expected``, the version that the rows were computed from, a
+    writer that comes after another one is refused.
     """
-    version = max(_versions(df.sparkSession, root), default=-1) + 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
-    return version
+    spark, written = df.sparkSession, f"{root}/_writing-{uuid.uuid4().hex}"
+    df.write.parquet(written)
+    while True:
+        latest = max(_versions(spark, root), default=-1)
+        if expected is not None and latest != expected:
+            raise FileExistsError(f"version {latest} came after version {expected} of {root}")
+        try:
+            publish(spark, written, f"{root}/version={latest + 1}")
+            return latest + 1
+        except FileExistsError:
+            if latest == max(_versions(spark, root), default=-1):
+                _move_remains(spark, root, latest + 1)
+
+
+def _move_remains(spark: SparkSession, root: str, version: int) -> None:
+    """Move aside a folder of that number which no write has finished."""
+    target, aside = f"{root}/version={version}", f"{root}/_remains-{uuid.uuid4().hex}"
+    publish(spark, target, aside)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{aside}/_SUCCESS")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        publish(spark, aside, target)  # another writer had finished it in between
 
 
 def current_table(spark: SparkSession, root: str) -> DataFrame:
