@@ -302,3 +302,6 @@ ORACLE: dict[str, str] = {
 ORACLE["rag_stored_context"] = ORACLE["rag_search_with_context"]
 ORACLE["search_documents_postings"] = ORACLE["search_documents"]
 ORACLE["upsert_bucketed"] = ORACLE["upsert_embeddings"]
+for _name in ("search_products", "search_products_by_category", "rag_search", "rag_search_with_context"):
+    ORACLE[f"sql_{_name}"] = ORACLE[_name]
+ORACLE["sql_chunk_text"] = f"SELECT parent_id AS doc_id, chunk_index, content AS chunk FROM ({CHUNKS})"

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import vecloom.functions as V
+from vecloom.functions import table_functions
 from vecloom.functions.sql import register_functions
 from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, pooling, postings, quantized, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
@@ -324,6 +325,50 @@ def rag_stored_context(spark, sf_dir):
     return hits.select("chunk_id", "title", "combined_content", "source", rounded("similarity").alias("similarity"))
 
 
+# The same as SQL table functions --------------------------------------------
+
+
+def _view(df: DataFrame) -> str:
+    """A view of its own, so that queries of one session do not meet."""
+    name = "vecloom_" + uuid.uuid4().hex
+    tables.register_view(df, name)
+    return name
+
+
+def sql_search_products(spark, sf_dir):
+    table_functions.register_product_search(spark, _view(_products(spark, sf_dir)), V.HASHING)
+    return spark.sql(f"SELECT id, name, description, price, round(similarity, 6) AS similarity FROM search_products('{PRODUCT_TEXT}')")
+
+
+def sql_search_products_by_category(spark, sf_dir):
+    table_functions.register_product_search(spark, _view(_products(spark, sf_dir)), V.HASHING)
+    return spark.sql(f"""SELECT id, name, price, round(similarity, 6) AS similarity
+        FROM search_products_by_category('{PRODUCT_TEXT}', cat => 'Brand#2')""")
+
+
+def _chunk_view(spark: SparkSession, sf_dir: str) -> None:
+    embedded = materialize(rag.embed_chunks(_chunks(spark, sf_dir)[1]), "chunks")
+    table_functions.register_passage_search(spark, _view(embedded), V.HASHING)
+
+
+def sql_rag_search(spark, sf_dir):
+    _chunk_view(spark, sf_dir)
+    return spark.sql(f"SELECT id, title, content, source, round(similarity, 6) AS similarity FROM rag_search('{SEARCH_TEXT}')")
+
+
+def sql_rag_search_with_context(spark, sf_dir):
+    _chunk_view(spark, sf_dir)
+    return spark.sql(f"""SELECT chunk_id, title, combined_content, source, round(similarity, 6) AS similarity
+        FROM rag_search_with_context('{SEARCH_TEXT}')""")
+
+
+def sql_chunk_text(spark, sf_dir):
+    table_functions.register_chunking(spark)
+    docs = _view(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    return spark.sql(f"""SELECT doc_id, CAST(c.chunk_index AS BIGINT) AS chunk_index, c.chunk
+        FROM {docs} d, LATERAL chunk_text(d.text) c""")
+
+
 def _ranked(df: DataFrame) -> DataFrame:
     return df.select("q", "id", rounded("score").alias("score"), F.col("rank").cast("long").alias("rank"))
 
@@ -630,6 +675,7 @@ QUERIES: dict[str, Query] = {
             search_topk, search_threshold, search_filtered, search_distance, search_documents, search_documents_postings, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
             rag_stored_context,
+            sql_search_products, sql_search_products_by_category, sql_rag_search, sql_rag_search_with_context, sql_chunk_text,
             knn_join, knn_join_bounded, rank_of, ann_ivf_full_probe, ann_ivf, ann_lsh, ann_filtered, ann_graph, ann_pq,
             eval_per_query, eval_summary, compare_models, compare_summaries,
             backfill_missing, reembed_stale, upsert_embeddings, upsert_if_null, upsert_bucketed, upsert_partial_columns,
