@@ -4,7 +4,9 @@ A :class:`LineIndex` is a folder of three tables.
 
 * ``refs``: the exact reference-count table, a log of (key, doc_id, +1 or -1) with
   one folder per inserted or deleted batch.  A document holds a line while its sum
-  is positive, so deleting a batch undoes its insertion exactly.
+  is positive.  After the first batch, an insertion logs only what is not held yet and a
+  deletion takes back exactly what is, so deleting a batch undoes its insertion, and
+  deleting what was never inserted or inserting twice changes nothing.
 * ``hot``: per version, the keys held by at least ``min_docs`` documents and the
   largest doc_id holding each (its keeper).  A batch only recounts the keys it
   touches.
@@ -38,8 +40,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import blocks_for, text_slices, without
-from vecloom.sources.scratch import scratch_path
+from vecloom.llm.common import blocks_for, fresh_name, text_slices, without
+from vecloom.sources.scratch import materialize, scratch_path
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS, MAX_FILTER_BYTES = 1 << 18, 64 << 20
@@ -178,9 +180,22 @@ class LineIndex:
         rows = docs.select(F.col(self.doc_id).cast("long").alias("doc_id"), F.col(self.text).alias("text"))
         return rows.where("doc_id is not null").mapInArrow(keys, "key binary, doc_id long")
 
+    def _logged(self, docs: DataFrame, delta: int, before: int) -> DataFrame:
+        """The batch's rows for the log, against what the earlier batches hold."""
+        came = self._postings(docs)
+        if not before:
+            return came.withColumn("delta", F.lit(delta)).where("delta > 0")  # nothing is held yet
+        came = materialize(came.distinct(), "line-batch")
+        earlier = self.spark.read.parquet(*[f"{self.path}/refs/batch={b}" for b in range(1, before + 1)])
+        held = earlier.join(came, ["key", "doc_id"], "left_semi").groupBy("key", "doc_id").agg(F.sum("delta").cast("int").alias("n"))
+        held = held.where("n > 0")
+        if delta > 0:
+            return came.join(held, ["key", "doc_id"], "left_anti").withColumn("delta", F.lit(1))
+        return held.select("key", "doc_id", (-F.col("n")).alias("delta"))
+
     def _change(self, docs: DataFrame, delta: int) -> LineIndex:
         before, self.batches = self.batches, self.batches + 1
-        self._postings(docs).withColumn("delta", F.lit(delta)).write.parquet(f"{self.path}/refs/batch={self.batches}")
+        self._logged(docs, delta, before).write.parquet(f"{self.path}/refs/batch={self.batches}")
         refs = self._refs()
         touched = None
         if before:
@@ -285,17 +300,18 @@ class LineIndex:
             return pd.DataFrame(out, columns=["text", "n_dropped"])
 
         own = without(docs, "n_lines", "n_dropped")
-        drops = self.drops(docs).select(F.col("doc_id").alias("__id"), F.col("keys").alias("__keys"))
-        joined = own.join(drops, own[self.doc_id].cast("long") == F.col("__id"), "left")
+        loser, lost, made = (fresh_name(docs, n) for n in ("__id", "__keys", "__cut"))
+        drops = self.drops(docs).select(F.col("doc_id").alias(loser), F.col("keys").alias(lost))
+        joined = own.join(drops, own[self.doc_id].cast("long") == F.col(loser), "left")
         text = F.col(f"`{self.text}`")
         # Python sees only texts that lose lines: the others are sent as nothing and kept as they are.
-        changed = F.col("__keys").isNotNull()
-        sent = F.when(changed, text).otherwise(F.lit("")), F.coalesce("__keys", F.array().cast("array<binary>"))
-        joined = joined.withColumn("__cut", cut(*sent))
+        changed = F.col(lost).isNotNull()
+        sent = F.when(changed, text).otherwise(F.lit("")), F.coalesce(lost, F.array().cast("array<binary>"))
+        joined = joined.withColumn(made, cut(*sent))
         columns = {
             "n_lines": F.size(F.split(F.coalesce(text, F.lit("")), "\n")).cast("long"),
-            "n_dropped": F.when(changed, F.col("__cut.n_dropped")).otherwise(F.lit(0).cast("long")),
-            self.text: F.when(changed, F.col("__cut.text")).otherwise(text),
+            "n_dropped": F.when(changed, F.col(f"{made}.n_dropped")).otherwise(F.lit(0).cast("long")),
+            self.text: F.when(changed, F.col(f"{made}.text")).otherwise(text),
         }
         return joined.withColumns(columns).select(*[F.col(f"`{c}`") for c in own.columns], "n_lines", "n_dropped")
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import without
+from vecloom.llm.common import fresh_name, without
 from vecloom.sources.scratch import materialize, small_copy
 
 SEED, TEMPERATURE, EPOCHS = 17, 0.5, 1.0
@@ -84,19 +84,20 @@ def mix_sources(
 ) -> DataFrame:
     """Replicated documents in global random order, with ``copy`` (from 1) and ``n_copies``."""
     rates = source_rates(docs, weights=weights, temperature=temperature, epochs=epochs, source=source)
-    table = rates.where("rate > 0").select(F.col("source").alias("__source"), poisson_cdf(F.col("rate")).alias("__cdf"))
+    own = without(docs, "copy", "n_copies")
+    drawn, origin, chances, place = (fresh_name(own, n) for n in ("__u", "__source", "__cdf", "__order"))
+    table = rates.where("rate > 0").select(F.col("source").alias(origin), poisson_cdf(F.col("rate")).alias(chances))
     table = materialize(table, "source-rates")
     table = small_copy(table) or table  # one row per source: sent to the tasks if measured small, else joined
-    own = without(docs, "copy", "n_copies")
     identity = F.coalesce(own[doc_id].cast("string"), F.md5(F.coalesce(own[text], F.lit(""))))
-    keyed = own.withColumn("__u", uniform(F.lit(str(seed)), identity))
-    counted = keyed.join(table, F.col(f"`{source}`").eqNullSafe(F.col("__source")), "inner").withColumn(
-        "n_copies", F.size(F.filter("__cdf", lambda c: c < F.col("__u")))
+    keyed = own.withColumn(drawn, uniform(F.lit(str(seed)), identity))
+    counted = keyed.join(table, F.col(f"`{source}`").eqNullSafe(F.col(origin)), "inner").withColumn(
+        "n_copies", F.size(F.filter(chances, lambda c: c < F.col(drawn)))
     )
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     order = uniform(F.lit(str(seed)), F.lit("order"), identity, F.col("copy").cast("string"))
-    copies = copies.drop("__source", "__cdf", "__u").withColumn("__order", order)
+    copies = copies.drop(origin, chances, drawn).withColumn(place, order)
     # The hashed key deals rows over partitions at random and orders them inside: a global shuffle without the
     # second read of all texts that sampling range bounds would take.
-    dealt = copies.repartition(partitions, "__order") if partitions else copies.repartition(F.col("__order"))
-    return dealt.sortWithinPartitions("__order").drop("__order")
+    dealt = copies.repartition(partitions, place) if partitions else copies.repartition(F.col(place))
+    return dealt.sortWithinPartitions(place).drop(place)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import text_slices, without
+from vecloom.llm.common import fresh_name, text_slices, without
 from vecloom.llm.textbytes import WORD, run_edges, utf8, word_hashes
 
 MAX_ROWS, TREES, DEPTH, LASSO, KEEP_SCORE, SEED = 20_000, 12, 3, 0.001, 0.3, 5
@@ -107,8 +107,8 @@ def text_stats(texts: pa.Array) -> np.ndarray:
     ], axis=1)
 
 
-def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add the struct column ``__stats``."""
+def with_stats(docs: DataFrame, text: str = "text", name: str = "__stats") -> DataFrame:
+    """Add the statistics as a struct column."""
     fields = pa.struct([pa.field(s, pa.float64()) for s in STATS])
 
     @F.arrow_udf("struct<" + ",".join(f"{s}:double" for s in STATS) + ">")
@@ -118,7 +118,7 @@ def with_stats(docs: DataFrame, text: str = "text") -> DataFrame:
         table = np.concatenate(parts) if parts else np.zeros((0, len(STATS)))
         return pa.StructArray.from_arrays([pa.array(c) for c in table.T.copy()], fields=list(fields))
 
-    return docs.withColumn("__stats", measure(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    return docs.withColumn(name, measure(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
 
 
 @dataclass(frozen=True)
@@ -251,11 +251,13 @@ def fit_rules(
 
 def score_quality(docs: DataFrame, model: RuleEnsemble, *, text: str = "text", keep_score: float = KEEP_SCORE) -> DataFrame:
     """Add ``score`` and ``predicted`` (1 from ``keep_score`` on) to every row."""
-    scored = with_stats(without(docs, "score", "predicted"), text).withColumn("score", model.score())
-    return scored.withColumn("predicted", (F.col("score") >= keep_score).cast("int")).drop("__stats")
+    own = without(docs, "score", "predicted")
+    stats = fresh_name(own, "__stats")
+    scored = with_stats(own, text, stats).withColumn("score", model.score(stats))
+    return scored.withColumn("predicted", (F.col("score") >= keep_score).cast("int")).drop(stats)
 
 
 def keep_good(docs: DataFrame, model: RuleEnsemble, *, text: str = "text", keep_score: float = KEEP_SCORE) -> DataFrame:
     """The documents that are not rejected, with the columns they had."""
-    scored = with_stats(docs, text)
-    return scored.where(model.score() >= keep_score).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stats = fresh_name(docs, "__stats")
+    return with_stats(docs, text, stats).where(model.score(stats) >= keep_score).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vecloom.llm.common import without
+from vecloom.llm.common import fresh_name, without
 
 MAX_ARRAY_RULES = 5_000_000
 _BLOCK, _ALLOW = "block", "allow"
@@ -159,13 +159,14 @@ def filter_urls(
             "blocks": [bool(array.blocks[j]) if j >= 0 else None for j in best],
         })
 
+    judged = fresh_name(parts, "__judged")
     return (
-        parts.withColumn("__judged", judge("host", "path"))
+        parts.withColumn(judged, judge("host", "path"))
         .withColumns({
-            "rule": F.col("__judged.rule"),
-            "verdict": F.when(F.col("__judged.blocks"), _BLOCK).when(~F.col("__judged.blocks"), _ALLOW).otherwise(default),
+            "rule": F.col(f"{judged}.rule"),
+            "verdict": F.when(F.col(f"{judged}.blocks"), _BLOCK).when(~F.col(f"{judged}.blocks"), _ALLOW).otherwise(default),
         })
-        .drop("__judged")
+        .drop(judged)
     )
 
 
