@@ -305,3 +305,9 @@ ORACLE["upsert_bucketed"] = ORACLE["upsert_embeddings"]
 for _name in ("search_products", "search_products_by_category", "rag_search", "rag_search_with_context"):
     ORACLE[f"sql_{_name}"] = ORACLE[_name]
 ORACLE["sql_chunk_text"] = f"SELECT parent_id AS doc_id, chunk_index, content AS chunk FROM ({CHUNKS})"
+ORACLE["encode_warnings"] = f"""WITH x AS (SELECT doc_id AS id, CASE WHEN lang = 'fr' THEN '' WHEN lang <> 'de' THEN text END AS text FROM documents),
+    {hashed('h', 'SELECT id, text FROM x')}
+    SELECT count(*) AS rows, count_if(text IS NULL)::BIGINT AS null_texts, count_if(text = '')::BIGINT AS empty_texts,
+           count_if(text IS NOT NULL AND id NOT IN (SELECT id FROM h))::BIGINT AS zero_vectors FROM x"""
+ORACLE["similarity_warnings"] = """SELECT count(*) AS rows, count_if(label = 3)::BIGINT AS missing,
+    count_if(label = 1)::BIGINT AS unequal_lengths, count_if(label = 2)::BIGINT AS zero_vectors FROM embeddings"""

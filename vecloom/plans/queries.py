@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 import vecloom.functions as V
 from vecloom.functions import table_functions
 from vecloom.functions.sql import register_functions
-from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, pooling, postings, quantized, rag, search
+from vecloom.operators import ann, bounded, chunking, evaluate, filtered, graph, knn, observed, pooling, postings, quantized, rag, search
 from vecloom.operators.text_similarity import text_similarity as compare_texts
 from vecloom.plans.passages import expected_documents
 from vecloom.sources import bucketed, maintenance, status, tables
@@ -230,6 +230,28 @@ def sql_vector_search(spark, sf_dir):
     )
 
 
+def _counters(spark: SparkSession, rows: DataFrame, seen, purpose: str) -> DataFrame:
+    materialize(rows, purpose)
+    found = seen.get
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} long" for name in found))
+
+
+def encode_warnings(spark, sf_dir):
+    docs = texts(spark, sf_dir, "lang", "text")
+    odd = F.when(F.col("lang") == "fr", "").when(F.col("lang") != "de", F.col("text"))
+    encoded, seen = observed.encode_observed(docs.withColumn("text", odd), "text", V.HASHING_WHOLE)
+    return _counters(spark, encoded, seen, "encoded")
+
+
+def similarity_warnings(spark, sf_dir):
+    e = load(spark, sf_dir, "embeddings").withColumn("a", F.col("embedding"))
+    zero = F.transform("embedding", lambda x: F.lit(0.0).cast("float"))
+    odd = F.when(F.col("label") == 1, F.slice("embedding", 1, 63)).when(F.col("label") == 2, zero)
+    pairs = e.withColumn("b", odd.when(F.col("label") != 3, F.col("embedding")))
+    scored, seen = observed.similarity_observed(pairs.select("vec_id", "a", "b"), "a", "b")
+    return _counters(spark, scored, seen, "scored")
+
+
 # Retrieval ------------------------------------------------------------------
 
 
@@ -672,7 +694,7 @@ QUERIES: dict[str, Query] = {
             vector_edge_cases, vector_literal, vector_literal_roundtrip, l2_normalize, mean_pool, cls_pool,
             encode_documents, encode_documents_token_limit, encode_queries, encode_composed_text, encode_batch,
             embed_text_literal, embed_query_text_literal, text_similarity, sql_functions, sql_vector_search,
-            search_topk, search_threshold, search_filtered, search_distance, search_documents, search_documents_postings, search_products,
+            encode_warnings, similarity_warnings, search_topk, search_threshold, search_filtered, search_distance, search_documents, search_documents_postings, search_products,
             search_products_by_category, chunk_documents, chunk_parents, rag_search, rag_search_with_context,
             rag_stored_context,
             sql_search_products, sql_search_products_by_category, sql_rag_search, sql_rag_search_with_context, sql_chunk_text,
