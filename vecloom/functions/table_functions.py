@@ -12,7 +12,8 @@ the planner turns that into a limit up to ``spark.sql.optimizer.windowGroupLimit
 (1,000 unless set).  Set it above the largest ``limit_count`` in use: beyond it a call is still
 right, but orders the whole table in one task.
 
-A call's text is encoded once, as one row beside the table.  Results are those of
+A call's text is encoded with every batch of rows, which saves a join; for large tables encode it
+once into a session variable and search as in :mod:`vecloom.functions.sql`.  Results are those of
 :mod:`vecloom.operators.search` and :mod:`vecloom.operators.rag`: scores with nine decimals, ties
 to the smaller id, rows without a vector last.
 """
@@ -50,8 +51,8 @@ def _numbered(rows: str, order: str) -> str:
 
 
 def _scored(view: str, value: str, condition: str = "true") -> str:
-    """Rows of a table beside the one row that is the query's vector."""
-    return f"SELECT t.*, {value} FROM {view} t CROSS JOIN (SELECT embed_query(query) AS asked) q WHERE {condition}"
+    """Rows of a table with the query's vector; there is no join, so the text is encoded with each batch."""
+    return f"SELECT t.*, {value} FROM (SELECT *, embed_query(query) AS asked FROM {view}) t WHERE {condition}"
 
 
 def register_chunking(spark: SparkSession) -> None:
@@ -73,7 +74,7 @@ def register_product_search(spark: SparkSession, view: str, spec: EncoderSpec =
     _prepare(spark, spec)
     schema = spark.table(view).schema
     best = "similarity DESC NULLS LAST, id"
-    score = "cosine_score(t.embedding, q.asked) AS similarity"
+    score = "cosine_score(t.embedding, t.asked) AS similarity"
     shown = ("id", "name", "description", "price")
     _define(spark, "search_products", "query STRING, limit_count INT DEFAULT 5",
             _columns(schema, **{c: c for c in shown}) + ", similarity DOUBLE",
@@ -88,7 +89,7 @@ def register_passage_search(spark: SparkSession, view: str, spec: EncoderSpec =
     """``rag_search(query, limit_count)`` and ``rag_search_with_context(query, context_window, limit_count)`` over a view of chunks."""
     _prepare(spark, spec)
     schema = spark.table(view).schema
-    distance = f"round(vector_distance(t.embedding, q.asked), {SCORE_DIGITS}) AS distance"
+    distance = f"round(vector_distance(t.embedding, t.asked), {SCORE_DIGITS}) AS distance"
     hits = _numbered(_scored(view, distance, "t.parent_id IS NOT NULL"), "distance ASC NULLS LAST, id")
     similarity = f"round(1D - distance, {SCORE_DIGITS})"
     shown = ("id", "title", "content", "source")
