@@ -1,4 +1,5 @@
 import vecloom.functions as V
+from vecloom.plans import queries
 from vecloom.streaming import embed
 
 SPEC = V.EncoderSpec(name="small", dim=8)
@@ -80,3 +81,15 @@ def test_a_late_change_loses_and_brought_vectors_stay(spark, tmp_path):
     (a,) = encoded(spark, "a")
     got = {r["id"]: (r["text"], r["embedding"], r["model"]) for r in embed.read_upserts(spark, table, "id", "seq").collect()}
     assert got == {1: ("a", a, SPEC.name), 2: ("b", MARK, "theirs")}
+
+
+def test_stream_embed_reads_a_table_of_several_files(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(6)], "doc_id long, text string")
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    found = {tuple(r) for r in queries.stream_embed(spark, str(tmp_path / "many")).collect()}
+    rows.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (part,) = (tmp_path / "one").glob("*.parquet")
+    (tmp_path / "file").mkdir()
+    (tmp_path / "file" / "documents.parquet").write_bytes(part.read_bytes())
+    assert len(found) == 6
+    assert {tuple(r) for r in queries.stream_embed(spark, str(tmp_path / "file")).collect()} == found

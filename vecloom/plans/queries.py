@@ -634,7 +634,8 @@ def metadata_filter(spark, sf_dir):
 def stream_embed(spark, sf_dir):
     root = scratch_path(spark, "stream_embed")
     schema = load(spark, sf_dir, "documents").schema
-    arriving = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    # As a glob the table may be one file or a folder of them; the stream takes neither a plain file nor nested files otherwise.
+    arriving = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{{documents.parquet}}")
     embedded = embed.stream_embed(arriving.select("doc_id", "text"), "text", V.HASHING_WHOLE).drop("text")
     embed.write_appends(embedded, f"{root}/table", f"{root}/checkpoint", once=True).awaitTermination()
     return fingerprint(spark.read.parquet(f"{root}/table"), "doc_id")
