@@ -1,6 +1,7 @@
 """Streams that encode by watched columns: against the batch form, with late and repeated changes."""
 
 import datetime
+import decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +86,39 @@ def test_many_changes_of_one_key(spark, tmp_path):
 def test_unknown_mode_is_refused(spark):
     with pytest.raises(ValueError):
         watched.watched_changes(spark.createDataFrame([], SCHEMA).withColumn("x", F.lit(1)), key="id", watched=["text"], order_by="at", mode="no")
+
+
+def test_calls_of_the_state_function_are_bounded(spark, tmp_path, monkeypatch):
+    """Keys share states: 3,000 keys are no more calls than there are drawers."""
+    monkeypatch.setattr(watched, "_DRAWERS", 8)
+    calls = spark.sparkContext.accumulator(0)
+    follow = watched._follow
+
+    def counted(mode):
+        inner = follow(mode)
+
+        def called(key, parts, state):
+            calls.add(1)
+            yield from inner(key, parts, state)
+
+        return called
+
+    monkeypatch.setattr(watched, "_follow", counted)
+    got = run(spark, tmp_path, [change(i, f"t{i}", 1.0, 2) for i in range(3_000)], "on_change")
+    assert got.count() == 3_000 and 0 < calls.value <= 8
+    again = run(spark, tmp_path, [change(i, f"t{i}" if i % 2 else "new", 2.0, 3) for i in range(3_000)], "on_change")
+    assert again.filter("vector_version = 2").count() == 1_500 and again.filter("price = 2").count() == 3_000
+
+
+@pytest.mark.parametrize("kind, keys", [("double", [0.5, -2.0, 0.0]), ("timestamp", [when(1), when(2)]), ("decimal(20,3)", [decimal.Decimal("1.5"), decimal.Decimal("-2")]),
+                                        ("string", ["a", 'b"\n']), ("date", [datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)])])
+def test_keys_of_any_type(spark, tmp_path, kind, keys):
+    for step, text in enumerate(("a", "b")):
+        rows = spark.createDataFrame([(k, text, step) for k in keys], f"id {kind}, text string, seq int")
+        rows.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+        watched.stream_upsert_watched(stream, f"{tmp_path}/table", f"{tmp_path}/checkpoint", key="id", watched=["text"], text="text",
+                                      order_by="seq", spec=SPEC, once=True).awaitTermination()
+    got = watched.read_watched(spark, f"{tmp_path}/table", "id").collect()
+    assert sorted(str(r["id"]) for r in got) == sorted(str(r["id"]) for r in rows.select("id").collect())
+    assert {(r["text"], r["vector_version"]) for r in got} == {("b", 2)}

@@ -1,8 +1,9 @@
 """Upserts from a stream that encode a row only when a watched column has changed.
 
-Structured Streaming keeps a small state per key: a digest of the watched columns, the order
+Structured Streaming keeps a small entry per key: a digest of the watched columns, the order
 of the newest change, and the numbers of the row's version and of the version that made its
-vector.  A change whose digest is the same brings new values but no new vector, and points to
+vector.  Entries lie in a fixed number of drawers by the key's hash, so that a batch of many
+keys is a bounded number of calls, and a batch of few opens few drawers.  A change whose digest is the same brings new values but no new vector, and points to
 the one there is, so a price that changes every minute encodes nothing.  A change that is
 older than the newest one seen writes nothing.  State is checkpointed by Spark, so a batch
 that runs again gives the same rows.
@@ -28,7 +29,7 @@ from typing import Any
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,6 +37,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from vecloom.functions.encoders import HASHING, EncoderSpec, embed_encode
 
+# Keys share so many states: a call of the state function for every key took most of a stream's time.
+# The number is part of a stream's checkpoint.
+_DRAWERS = 1 << 14
 # Rows travel through the state operator as text, which keeps every type exact.
 _JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "ignoreNullFields": "false"}
 
@@ -59,31 +63,41 @@ def _plain(value: Any) -> Any:
 
 
 def _follow(mode: str):
-    def follow(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = None
+    def follow(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        best: dict[str, tuple] = {}
         for part in parts:
-            for row in part[["seq", "digest", "brought", "body"]].itertuples(index=False, name=None):
-                if best is None or row[0] >= best[0]:
-                    best = row
-        if best is None:
-            return
-        seq, digest, brought, body = best
-        known = state.exists
-        before, newest, version, vector = state.get if known else (None, None, 0, 0)
-        if known and _plain(seq) < newest:
-            return
-        if mode == "on_change":
-            brought, encode = False, not known or digest != before
-        else:
-            encode = not known and not brought
-        version += 1
-        vector = version if encode or brought else vector
-        state.update((digest, _plain(seq), version, vector))
-        yield pd.DataFrame({"key": [key[0]], "version": [version], "vector_version": [vector], "encode": [bool(encode)], "body": [body]})
+            for row in zip(*(part[c] for c in ("name", "key", "seq", "digest", "brought", "body"))):
+                held = best.get(row[0])
+                if held is None or row[2] >= held[2]:
+                    best[row[0]] = row
+        known = dict(state.get[0]) if state.exists else {}
+        out = []
+        for name, key, seq, digest, brought, body in best.values():
+            found = name in known
+            before, newest, version, vector = known[name] if found else (None, None, 0, 0)
+            if found and _plain(seq) < newest:
+                continue
+            if mode == "on_change":
+                brought, encode = False, not found or digest != before
+            else:
+                encode = not found and not brought
+            version += 1
+            vector = version if encode or brought else vector
+            known[name] = (digest, _plain(seq), version, vector)
+            out.append((key, version, vector, bool(encode), body))
+        if out:
+            state.update((known,))
+            yield pd.DataFrame(out, columns=["key", "version", "vector_version", "encode", "body"])
 
     return follow
 
 
+def _name(key: str, kind: T.DataType) -> Column:
+    """A key as text, the same for keys that Spark groups together."""
+    value = F.col(key) + F.lit(0).cast(kind) if isinstance(kind, T.FloatType | T.DoubleType) else F.col(key)  # no -0.0
+    return F.to_json(F.struct(value.alias("key")), _JSON)
+
+
 def watched_changes(stream: DataFrame, *, key: str, watched: Sequence[str], order_by: str, vec_col: str = "embedding",
                     mode: str = "on_change") -> DataFrame:
     """The changes that count, with ``_version``, ``_vector_version`` and ``_encode``."""
@@ -94,17 +108,18 @@ def watched_changes(stream: DataFrame, *, key: str, watched: Sequence[str], orde
     brings = F.col(vec_col).isNotNull() if vec_col in fields else F.lit(False)
     narrow = stream.filter(F.col(key).isNotNull() & F.col(order_by).isNotNull()).select(
         F.col(key).alias("key"),
+        _name(key, fields[key]).alias("name"),
         F.col(order_by).alias("seq"),
         F.sha2(F.to_json(F.struct(*watched), _JSON), 256).alias("digest"),
         brings.alias("brought"),
         F.to_json(F.struct(*[F.col(f.name) for f in body]), _JSON).alias("body"),
     )
     key_type, seq_type = fields[key].simpleString(), fields[order_by].simpleString()
-    newest = narrow.mapInArrow(_newest, narrow.schema)
-    followed = newest.groupBy("key").applyInPandasWithState(
+    newest = narrow.mapInArrow(_newest, narrow.schema).withColumn("drawer", F.pmod(F.xxhash64("name"), F.lit(_DRAWERS)))
+    followed = newest.groupBy("drawer").applyInPandasWithState(
         _follow(mode),
         f"key {key_type}, version long, vector_version long, encode boolean, body string",
-        f"digest string, newest {seq_type}, version long, vector_version long",
+        f"known map<string, struct<digest: string, newest: {seq_type}, version: long, vector_version: long>>",
         "append",
         GroupStateTimeout.NoTimeout,
     )
