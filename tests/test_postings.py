@@ -118,3 +118,12 @@ def test_text_ids(spark, tmp_path):
     index = indexed(spark, tmp_path, docs)
     names = np.array([f"row{i:03}" for i in range(80)])
     assert got(postings.postings_search(docs, index, 3, query_id="id")) == brute(d, d, 3, names, names)
+
+
+def test_a_norm_is_computed_once_a_row(spark):
+    rows = spark.createDataFrame([(1, [3.0, 4.0])], "id int, vec array<float>")
+    terms = postings.signed_terms(rows, "vec", "impact", "id")
+    plan = terms._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    above = next(i for i, line in enumerate(plan) if "Generate" in line)
+    assert not any("aggregate(" in line for line in plan[:above]) and any("aggregate(" in line for line in plan[above:])
+    assert sorted(tuple(r) for r in terms.select("term", "impact").collect()) == [(0, 0.6), (2, 0.8)]

@@ -56,7 +56,9 @@ class PostingIndex:
 def signed_terms(rows: DataFrame, vec: str, impact: str, *keep: str) -> DataFrame:
     """One row per number that is not zero: ``term`` (twice the position, plus one if negative) and its share."""
     norm = F.sqrt(F.aggregate(vec, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    numbers = rows.filter(usable(vec)).select(*keep, norm.alias("_norm"), F.posexplode(vec).alias("_at", "_x")).filter("_x <> 0")
+    # The norm goes before the generator: beside it, it would be computed for every number.
+    normed = rows.filter(usable(vec)).withColumn("_norm", norm)
+    numbers = normed.select(*keep, "_norm", F.posexplode(vec).alias("_at", "_x")).filter("_x <> 0")
     term = 2 * F.col("_at") + (F.col("_x") < 0).cast("int")
     return numbers.select(*keep, term.alias("term"), (F.abs(F.col("_x").cast("double")) / F.col("_norm")).alias(impact))
 
