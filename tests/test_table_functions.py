@@ -91,3 +91,22 @@ def test_chunk_sizes_are_checked(spark):
     with pytest.raises(Exception, match="overlap"):
         spark.sql("SELECT * FROM chunk_text('some text', 5, 5)").collect()
     assert [r["chunk"] for r in spark.sql("SELECT * FROM chunk_text('some text')").collect()] == ["some text"]
+
+
+def test_passage_search_compares_in_one_arrow_call(spark):
+    """The text's vector is no column, and no number of a vector passes through a lambda."""
+    rows = [("a", 1, 0, [1.0, 0.0]), ("b", 1, 1, [0.0, 0.0]), ("c", 1, 2, None), ("d", 1, 3, [None, 1.0]), ("e", None, 4, [1.0, 0.0])]
+    spec = V.EncoderSpec(name="two", dim=2)
+    view = spark.createDataFrame([(i, "t", f"text {i}", "s", c, p, v) for i, p, c, v in rows],
+                                 "id string, title string, content string, source string, chunk_index int, parent_id int, embedding array<float>")
+    view.createOrReplaceTempView("odd_chunks")
+    table_functions.register_passage_search(spark, "odd_chunks", spec)
+    found = spark.sql("SELECT id, similarity FROM rag_search('word')")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan and "lambda" not in plan
+    got = [(r["id"], r["similarity"]) for r in found.collect()]
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW odd_asked AS SELECT *, embed_query('word') AS asked FROM odd_chunks WHERE parent_id IS NOT NULL")
+    want = [tuple(r) for r in spark.sql("SELECT id, round(1D - d, 9) AS similarity FROM "
+                                        "(SELECT id, round(vector_distance(embedding, asked), 9) AS d FROM odd_asked) ORDER BY d ASC NULLS LAST, id").collect()]
+    assert repr(got) == repr(want)
+    assert [r["similarity"] for r in spark.sql("SELECT similarity FROM rag_search(NULL)").collect()] == [None] * 4

@@ -56,6 +56,13 @@ def _define(spark: SparkSession, name: str, arguments: str, returns: str, body:
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({arguments}) RETURNS {returns} RETURN {body}")
 
 
+def query_sql(text: str, spec: EncoderSpec) -> str:
+    """The text of a query as the encoder takes it: with its prefix, unless it is empty."""
+    if not spec.is_asymmetric:
+        return text
+    return f"CASE WHEN {text} = '' THEN {text} ELSE concat({_quote(spec.query_prefix)}, {text}) END"
+
+
 def register_functions(spark: SparkSession, spec: EncoderSpec = HASHING) -> None:
     """Create the session functions, encoding with ``spec``."""
     for name, body in _PAIRWISE.items():
@@ -66,9 +73,7 @@ def register_functions(spark: SparkSession, spec: EncoderSpec = HASHING) -> None
     _define(spark, "parse_vector", "literal STRING, n INT", "ARRAY<FLOAT>", f"to_vector({parsed}, n)")
     spark.udf.register("vector_literal", _vector_literal_udf)
     spark.udf.register("embed_encode", encoder_udf(spec))
-    query = "text"
-    if spec.is_asymmetric:
-        query = f"CASE WHEN text = '' THEN text ELSE concat({_quote(spec.query_prefix)}, text) END"
+    query = query_sql("text", spec)
     vector = "ARRAY<FLOAT>"
     _define(spark, "embed_query", "text STRING", vector, f"embed_encode({query})")
     _define(spark, "embed_text", "text STRING", "STRING", "vector_literal(embed_encode(text))")

@@ -20,12 +20,17 @@ to the smaller id, rows without a vector last.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vecloom.functions.encoders import HASHING, EncoderSpec
+from vecloom.functions import kernels
+from vecloom.functions.encoders import HASHING, EncoderSpec, encoder_udf
 from vecloom.functions.kernels import SCORE_DIGITS
-from vecloom.functions.sql import _COSINE, register_functions
+from vecloom.functions.sql import _COSINE, query_sql, register_functions
 
 _SEGMENT = 64  # windows of a text that are cut from one piece of it
 
@@ -89,8 +94,9 @@ def register_passage_search(spark: SparkSession, view: str, spec: EncoderSpec =
     """``rag_search(query, limit_count)`` and ``rag_search_with_context(query, context_window, limit_count)`` over a view of chunks."""
     _prepare(spark, spec)
     schema = spark.table(view).schema
-    distance = f"round(vector_distance(t.embedding, t.asked), {SCORE_DIGITS}) AS distance"
-    hits = _numbered(_scored(view, distance, "t.parent_id IS NOT NULL"), "distance ASC NULLS LAST, id")
+    spark.udf.register("vecloom_text_distance", text_distance_udf(spec))
+    asked = f"SELECT t.*, vecloom_text_distance(t.embedding, {query_sql('query', spec)}) AS distance FROM {view} t WHERE t.parent_id IS NOT NULL"
+    hits = _numbered(asked, "distance ASC NULLS LAST, id")
     similarity = f"round(1D - distance, {SCORE_DIGITS})"
     shown = ("id", "title", "content", "source")
     _define(spark, "rag_search", "query STRING, limit_count INT DEFAULT 5",
@@ -106,6 +112,31 @@ def register_passage_search(spark: SparkSession, view: str, spec: EncoderSpec =
             f"ON c.parent_id = h.parent_id AND ({near} OR c.id = h.id)) GROUP BY chunk_id, title, source, similarity")
 
 
+def text_distance_udf(spec: EncoderSpec):
+    """Rounded cosine distance of a vector and a text, which is encoded once a batch and never becomes a column of vectors.
+
+    NULL where either is missing, NaN where either is zero, an error where lengths differ, as ``vector_distance``.
+    """
+    encode = encoder_udf(spec).func
+
+    @F.arrow_udf("double")
+    def text_distance(vectors: pa.Array, texts: pa.Array) -> pa.Array:
+        if pa.types.is_null(texts.type):
+            return pa.nulls(len(vectors), pa.float64())
+        coded = texts.dictionary_encode()
+        which = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False)
+        asked = encode(coded.dictionary)
+        out = pa.nulls(len(vectors), pa.float64())
+        for i in range(len(asked)):
+            of = which == i
+            some = vectors if of.all() else vectors.filter(pa.array(of))
+            found = kernels.cosine_distances(some, asked[i].values.to_numpy(zero_copy_only=False).astype(np.float64))
+            out = found if of.all() else pc.replace_with_mask(out, pa.array(of), found)
+        return out
+
+    return text_distance
+
+
 def _prepare(spark: SparkSession, spec: EncoderSpec) -> None:
     register_functions(spark, spec)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION cosine_score(a ARRAY<FLOAT>, b ARRAY<FLOAT>) RETURNS DOUBLE RETURN {_SCORE}")
