@@ -146,3 +146,14 @@ def test_stored_chunks_are_not_exchanged(spark, tmp_path, chunks):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         rag.drop_chunks(spark, "stored_plan")
+
+
+def test_a_bucket_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(f"{i}#0", "t", f"c{i}", "s", 0, i, [1.0]) for i in range(64)],
+                                 "id string, title string, content string, source string, chunk_index int, parent_id long, embedding array<float>")
+    stored = rag.store_chunks(rows, "stored_parts", str(tmp_path / "stored"), buckets=2)
+    files = [f.name for f in (tmp_path / "stored").glob("*.parquet")]
+    buckets = [name.rsplit("_", 1)[1].split(".")[0] for name in files]
+    assert sorted(set(buckets)) == ["00000", "00001"] and min(buckets.count(b) for b in set(buckets)) > 1
+    assert stored.count() == 64 and stored.groupBy("parent_id").count().filter("count <> 1").isEmpty()
+    rag.drop_chunks(spark, "stored_parts")

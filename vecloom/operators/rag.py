@@ -29,9 +29,12 @@ def embed_chunks(chunks: DataFrame, spec: EncoderSpec = HASHING) -> DataFrame:
 def store_chunks(embedded: DataFrame, table: str, path: str, *, buckets: int = 64) -> DataFrame:
     """Write embedded chunks as a table of the session's catalog, with its files under ``path``, and return it.
 
-    ``buckets`` is fixed for the table's life; choose it so that a bucket fits a task.
+    ``buckets`` is fixed for the table's life.  Where the input has many partitions or the session shuffles to more, a
+    bucket is several files, each sorted by a task of its own, so that a task's share does not grow with the table.
     """
-    dealt = embedded.repartition(buckets, "parent_id")  # one file a bucket
+    wanted = max(int(embedded.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * embedded.rdd.getNumPartitions())
+    # A multiple of the buckets: rows of one partition lie in one bucket.
+    dealt = embedded.repartition(buckets * max(1, -(-wanted // buckets)), "parent_id")
     writer = dealt.write.mode("overwrite").bucketBy(buckets, "parent_id").sortBy("parent_id", "chunk_index")
     writer.option("path", path).saveAsTable(table)
     return embedded.sparkSession.table(table)
