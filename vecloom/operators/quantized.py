@@ -32,7 +32,7 @@ from vecloom.operators.search import guarded_vector, query_model
 from vecloom.sources.scratch import materialize
 
 PARTS, CENTROIDS, SAMPLE_ROWS, ROUNDS, RERANK = 16, 256, 50_000, 12, 100
-_QUERIES_AT_ONCE, _CODES_AT_ONCE = 256, 8_192
+_QUERIES_AT_ONCE, _CODES_AT_ONCE, _STATE_QUERIES = 256, 8_192, 1_024
 
 
 @dataclass(frozen=True)
@@ -69,6 +69,17 @@ def scan(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return total
 
 
+def _closest(points: np.ndarray, books: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centroid of every piece, and the distance less the piece's own square; a tile at a time."""
+    own, least = np.empty(len(points), dtype=np.int64), np.empty(len(points))
+    for first in range(0, len(points), _CODES_AT_ONCE):
+        some = slice(first, first + _CODES_AT_ONCE)
+        away = (books * books).sum(axis=1) - 2 * (points[some] @ books.T)
+        own[some] = away.argmin(axis=1)
+        least[some] = away[np.arange(len(away)), own[some]]
+    return own, least
+
+
 def _lloyd(centroids: int, rounds: int, seed: int):
     """K-means of one part's pieces; an empty cluster takes the piece that is farthest from its own centroid."""
 
@@ -79,12 +90,11 @@ def _lloyd(centroids: int, rounds: int, seed: int):
         rng = np.random.default_rng([seed, part])
         books = points[rng.permutation(len(points))[:centroids]].copy()
         for _ in range(rounds):
-            away = (books * books).sum(axis=1) - 2 * (points @ books.T)
-            own = away.argmin(axis=1)
+            own, least = _closest(points, books)
             counts = np.bincount(own, minlength=len(books))
             sums = np.stack([np.bincount(own, weights=column, minlength=len(books)) for column in points.T], axis=1)
             books = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], books)
-            far = np.argsort(-(away[np.arange(len(points)), own] + (points * points).sum(axis=1)), kind="stable")
+            far = np.argsort(-(least + (points * points).sum(axis=1)), kind="stable")
             empty = np.flatnonzero(counts == 0)
             books[empty] = points[far[:len(empty)]]
         return pa.table({"part": np.full(len(books), part, dtype=np.int32), "number": np.arange(len(books), dtype=np.int32),
@@ -179,7 +189,8 @@ def candidates(queries: DataFrame, codes: DataFrame, books: Codebooks, rerank: i
     def matrix_of(table: pa.Table) -> np.ndarray:
         return kernels.unit_rows(kernels.pack(table.column("vec").combine_chunks(), shared.value.dim)[0])
 
-    table = small_side(queries, "q", "vec", limits, rerank)
+    # A task holds twice the answers of all its queries, and sorts them: a fourth of the usual budget.
+    table = small_side(queries, "q", "vec", limits, 4 * rerank)
     if table is not None:
         asked = spark.sparkContext.broadcast((table.column("q").combine_chunks(), matrix_of(table)))
 
@@ -205,12 +216,16 @@ def candidates(queries: DataFrame, codes: DataFrame, books: Codebooks, rerank: i
         none = pa.table({"q": pa.array([], arrow["q"]), "id": pa.array([], arrow["id"]), "score": pa.array([], pa.float64())})
         if not block.num_rows or not against.num_rows:
             return none
-        unit = matrix_of(block)
-        state = kernels.TopK(len(unit), rerank)
-        held = _bytes_of(against.column("code").combine_chunks(), parts)
-        _add(state, unit, np.arange(len(unit)), shared.value, held, row_ids(against.column("id").combine_chunks()))
-        found = emit_rows(state, block.column("q").combine_chunks(), arrow["id"])
-        return none if found is None else found
+        held, ids = _bytes_of(against.column("code").combine_chunks(), parts), row_ids(against.column("id").combine_chunks())
+        found = []
+        for first in range(0, block.num_rows, _STATE_QUERIES):  # the state is several times its answers
+            some = block.slice(first, _STATE_QUERIES).combine_chunks()
+            unit = matrix_of(some)
+            state = kernels.TopK(len(unit), rerank)
+            _add(state, unit, np.arange(len(unit)), shared.value, held, ids)
+            found.append(emit_rows(state, some.column("q").combine_chunks(), arrow["id"]))
+        found = [part for part in found if part is not None]
+        return pa.concat_tables(found) if found else none
 
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     left = queries.select("q", "vec", F.pmod(F.xxhash64("q"), F.lit(n_q)).alias("qb"), every(n_d).alias("db"))
