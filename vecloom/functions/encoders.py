@@ -33,7 +33,7 @@ RETRIEVAL_PREFIX = "Represent this sentence for searching relevant passages: "
 
 # Words are runs of letters and digits; everything else separates them.
 _BETWEEN_WORDS = r"[^\p{L}\p{N}]+"
-_SLICE_BYTES = 16 << 20
+_SLICE_BYTES = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -84,15 +84,23 @@ HASHING_WHOLE = HASHING.whole_text()
 HASHING_ASYMMETRIC = EncoderSpec(name="hashing-384-asymmetric", query_prefix=RETRIEVAL_PREFIX)
 
 
+def word_lists(batch: pa.Array) -> pa.Array:
+    """The words of every text; a batch with much text in slices."""
+    n = len(batch)
+    if n > 1 and batch.nbytes > _SLICE_BYTES:
+        return pa.concat_arrays([word_lists(batch[: n // 2]), word_lists(batch[n // 2 :])])
+    flat, rows = _words_by_row(batch, None)
+    offsets = np.searchsorted(rows, np.arange(len(batch) + 1)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
+    return pc.if_else(batch.is_valid(), lists, pa.scalar(None, lists.type))
+
+
 def words(text) -> Column:
     """Lower-cased words of a text as an array, split as the encoder splits them."""
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(batch: pa.Array) -> pa.Array:
-        flat, rows = _words_by_row(batch, None)
-        offsets = np.searchsorted(rows, np.arange(len(batch) + 1)).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), flat)
-        return pc.if_else(batch.is_valid(), lists, pa.scalar(None, lists.type))
+        return word_lists(batch)
 
     return split(text if isinstance(text, Column) else F.col(text))
 
