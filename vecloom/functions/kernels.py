@@ -8,6 +8,8 @@ of single-precision vectors, so that equal texts tie exactly and the id decides.
 
 from __future__ import annotations
 
+from itertools import product
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -15,6 +17,8 @@ import pyarrow.compute as pc
 SCORE_DIGITS = 9
 # Largest score matrix held at once, in elements (32 MB of doubles).
 _TILE = 4_000_000
+# Queries scored at once, and elements of a score matrix of which several copies are held.
+_QUERIES, _SMALL_TILE = 4_096, 1_000_000
 
 
 def pack(vectors: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -95,9 +99,11 @@ class TopK:
 
     def add(self, queries: np.ndarray, at: np.ndarray, docs: np.ndarray, ids: np.ndarray) -> None:
         """Score unit ``queries`` (global positions ``at``) against unit ``docs``."""
-        step = max(1, _TILE // max(1, len(queries)))
-        for start in range(0, len(docs), step):
-            self._collect(queries @ docs[start : start + step].T, at, ids[start : start + step])
+        step = max(1, _SMALL_TILE // max(1, min(_QUERIES, len(queries))))
+        for first in range(0, len(queries), _QUERIES):
+            some = slice(first, first + _QUERIES)
+            for start in range(0, len(docs), step):
+                self._collect(queries[some] @ docs[start : start + step].T, at[some], ids[start : start + step])
 
     def _collect(self, scores: np.ndarray, at: np.ndarray, ids: np.ndarray) -> None:
         k, width = self.k, scores.shape[1]
@@ -139,6 +145,13 @@ class TopK:
         return self._pending[0]
 
 
+def pieces(batch: pa.RecordBatch, vectors: str) -> list[pa.RecordBatch]:
+    """A batch in slices whose vectors are a matrix of bounded size."""
+    numbers = pc.sum(pc.list_value_length(batch.column(vectors))).as_py() or 1
+    rows = max(1, _SMALL_TILE * batch.num_rows // numbers)
+    return [batch.slice(start, rows) for start in range(0, batch.num_rows, rows)]
+
+
 def nearest(rows: np.ndarray, centroids: np.ndarray, probes: int) -> np.ndarray:
     """Positions of the ``probes`` most similar centroids per row, best first."""
     out = np.empty((len(rows), probes), dtype=np.int64)
@@ -179,16 +192,18 @@ def count_ahead(
     id ascending, missing vectors last); ``best_wrong`` is the highest score of
     any other document.  ``expect_score`` is NaN if the expected vector is missing.
     """
-    step = max(1, _TILE // max(1, len(queries)))
+    step = max(1, _SMALL_TILE // max(1, min(_QUERIES, len(queries))))
     lost = np.isnan(expect_score)
-    for start in range(0, len(docs), step):
-        part = slice(start, start + step)
-        scores = np.round(queries @ docs[part].T, SCORE_DIGITS)
+    for first, start in product(range(0, len(queries), _QUERIES), range(0, len(docs), step)):
+        some, part = slice(first, first + _QUERIES), slice(start, start + step)
+        scores = np.round(queries[some] @ docs[part].T, SCORE_DIGITS)
         here, known = ids[part][None, :], present[part][None, :]
-        other = here != expect[:, None]
-        earlier = here < expect[:, None]
-        better = (scores > expect_score[:, None]) | ((scores == expect_score[:, None]) & earlier)
-        better = np.where(lost[:, None], True, better) & known
-        better |= lost[:, None] & ~known & earlier
-        ahead += (better & other).sum(axis=1)
-        np.maximum(best_wrong, np.where(other & known, scores, -np.inf).max(axis=1), out=best_wrong)
+        wanted, hidden = expect_score[some, None], lost[some, None]
+        other = here != expect[some, None]
+        earlier = here < expect[some, None]
+        better = (scores > wanted) | ((scores == wanted) & earlier)
+        better = np.where(hidden, True, better) & known
+        better |= hidden & ~known & earlier
+        ahead[some] += (better & other).sum(axis=1)
+        wrong = np.where(other & known, scores, -np.inf).max(axis=1)
+        np.maximum(best_wrong[some], wrong, out=best_wrong[some])

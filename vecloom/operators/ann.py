@@ -145,7 +145,7 @@ def lsh_buckets(vec, tables: int = TABLES, per_table: int = PROJECTIONS) -> Colu
 
 def lsh_search(queries: DataFrame, docs: DataFrame, k: int, *, tables: int = TABLES, per_table: int = PROJECTIONS,
                query_id: str = "q", doc_id: str = "id", vec_col: str = "embedding",
-               limits: KnnLimits = DEFAULT_LIMITS) -> DataFrame:
+               limits: KnnLimits = KnnLimits(broadcast_bytes=64 << 20)) -> DataFrame:
     """Top ``k`` among documents that share a bucket with the query in some table.
 
     A vector at angle ``a`` shares one table's bucket with probability

@@ -29,9 +29,7 @@ def _count_block(table: pa.Table, batches):
     expect = row_ids(_column(table, "expect"))
     score = _column(table, "expect_score").to_numpy(zero_copy_only=False).astype(np.float64)
     ahead, wrong = np.zeros(len(matrix), dtype=np.int64), np.full(len(matrix), -np.inf)
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
+    for batch in (piece for batch in batches for piece in kernels.pieces(batch, "vec")):
         vectors = batch.column("vec")
         docs, known, _ = kernels.pack(vectors, matrix.shape[1])
         column = batch.column("id")

@@ -35,9 +35,12 @@ from vecloom.sources.scratch import materialize, small_copy
 
 @dataclass(frozen=True)
 class KnnLimits:
-    """Size bounds; the defaults suit executors with a few GB per core."""
+    """Size bounds; the defaults suit executors with a GB for the Python of each core.
 
-    broadcast_bytes: int = 64 << 20
+    A task holds a broadcast side several times over: as it came, as a matrix of doubles, and with its answers.
+    """
+
+    broadcast_bytes: int = 32 << 20
     max_broadcast_rows: int = 10_000_000
     max_passes: int = 16
     query_block: int = 16_384
@@ -129,9 +132,7 @@ def _broadcast_topk(queries: pa.Table, docs: DataFrame, k: int, q_type: str, id_
     def score(batches):
         matrix, at, by_cell, q_ids = shared.value
         state, kind = kernels.TopK(len(q_ids), k), None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+        for batch in (piece for batch in batches for piece in kernels.pieces(batch, "vec")):
             kind = batch.schema.field("id").type
             docs_matrix, present, _ = kernels.pack(batch.column("vec"), matrix.shape[1])
             unit, ids = kernels.unit_rows(docs_matrix), row_ids(batch.column("id"))
