@@ -57,3 +57,26 @@ def test_odd_vectors(spark):
     assert joined(queries.limit(0), docs, 4)[0].collect() == []
     with pytest.raises(ValueError, match="several lengths"):
         joined(docs, docs, 4)
+
+
+def test_rows_move_once_for_a_group_of_blocks(spark, monkeypatch):
+    """What meets is a group of blocks, so far fewer rows move than block pairs would ask for."""
+    moved = spark.sparkContext.accumulator(0)
+    meet = bounded._meet
+
+    def counted(*named):
+        inner = meet(*named)
+
+        def count(asked, docs):
+            moved.add(asked.num_rows + docs.num_rows)
+            return inner(asked, docs)
+
+        return count
+
+    monkeypatch.setattr(bounded, "_meet", counted)
+    d = np.random.default_rng(5).normal(size=(600, 6)).astype(np.float32)
+    result, report = joined(frame(spark, d), frame(spark, d), 3)
+    assert got(result) == brute(d, d, 3)
+    sides = np.ceil(np.sqrt(4 * spark.sparkContext.defaultParallelism)) + 1
+    assert report.block_pairs > 2 * sides**2
+    assert moved.value <= report.passes * 2 * 600 * sides

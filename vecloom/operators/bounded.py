@@ -10,7 +10,8 @@ score from above.
 Block pairs are joined in passes, best bound first, twice as many each pass.  After a pass
 every query knows the score of its k-th answer so far, and a block pair is dropped for good
 once its bound is below the lowest of these in the query block.  In a pair that is joined,
-queries whose own bound is too low are left out.  Passes end when no pair is left, so the
+queries whose own bound is too low are left out.  Blocks travel in groups, so that a row moves once
+for all the pairs of its block with a group on the other side.  Passes end when no pair is left, so the
 result is that of :func:`vecloom.operators.knn.knn_join`, ties included.
 
 Rows only move between tasks: neither side, nor its blocks' rows, pass through the driver,
@@ -40,6 +41,8 @@ _MAX_PIVOTS = 1024
 # Scores are rounded to nine decimals, and bounds go through square roots.
 _SLACK = 1e-7
 _NO_PIVOT = -1
+# Blocks that travel together: numbers of their vectors, and places that fit the bits of a long.
+_GROUP_ELEMENTS, _PLACES = 4_000_000, 62
 
 
 @dataclass(frozen=True)
@@ -126,8 +129,24 @@ def _ceiling(away: Column, radius: Column) -> Column:
     return 1.0 - gap * gap / 2 + _SLACK
 
 
+def _grouped(sizes: DataFrame, rows: int) -> DataFrame:
+    """Neighbouring blocks in groups of about ``rows`` rows: block, group and the block's place in it (one row per block)."""
+    running = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    nth = F.row_number().over(Window.orderBy("block")) - 1
+    dealt = sizes.select("block", F.floor((F.sum("n").over(running) - 1) / rows).alias("full"), nth.alias("nth"))
+    run = F.floor(F.col("nth") / _PLACES)
+    group = F.shiftleft(F.col("full").cast("long"), 32).bitwiseOR(run.cast("long"))
+    return dealt.select("block", group.alias("group"), (F.col("nth") % _PLACES).cast("int").alias("place"))
+
+
+def _group_rows(spark, rows: int, dim: int) -> int:
+    """Rows of a group: enough groups for all cores where a group's vectors are not beyond their bound anyway."""
+    sides = int(np.ceil(np.sqrt(4 * spark.sparkContext.defaultParallelism)))
+    return max(1, min(_GROUP_ELEMENTS // dim, -(-rows // sides)))
+
+
 def _meet(k: int, pivots, id_type: pa.DataType):
-    """Answers of one query block in one document block."""
+    """Answers of a group of query blocks in a group of document blocks: the places that a row's ``todo`` names."""
 
     def meet(asked: pa.Table, docs: pa.Table) -> pa.Table:
         names = asked.column("sig").combine_chunks() if asked.num_rows else pa.array([], pa.string())
@@ -136,19 +155,22 @@ def _meet(k: int, pivots, id_type: pa.DataType):
             return empty
         centers = pivots.value
         queries = kernels.unit_rows(kernels.pack(asked.column("vec").combine_chunks(), centers.shape[1])[0])
-        cell, radius = docs.column("cell")[0].as_py(), docs.column("radius")[0].as_py()
-        needed = asked.column("kth").to_numpy()
-        if cell == _NO_PIVOT:
-            ceiling = np.full(len(queries), _SLACK)
-        else:
-            gap = np.maximum(_distances(queries, centers[cell:cell + 1])[:, 0] - radius, 0.0)
-            ceiling = 1.0 - gap * gap / 2 + _SLACK
-        rows = np.flatnonzero(ceiling >= needed)
-        if not len(rows):
-            return empty
+        needed, todo = asked.column("kth").to_numpy(), asked.column("todo").to_numpy()
         vectors = kernels.unit_rows(kernels.pack(docs.column("vec").combine_chunks(), centers.shape[1])[0])
+        ids, cells, radii = row_ids(docs.column("id").combine_chunks()), docs.column("cell").to_numpy(), docs.column("radius").to_numpy()
         state = kernels.TopK(len(queries), k)
-        state.add(queries[rows], rows, vectors, row_ids(docs.column("id").combine_chunks()))
+        state.bound = np.where(needed < -1.0, -np.inf, needed)  # nothing below the k-th answer so far is one
+        for place, block in kernels.cell_runs(docs.column("place").to_numpy()):
+            rows = np.flatnonzero(todo >> place & 1)
+            cell, radius = cells[block[0]], radii[block[0]]
+            if cell == _NO_PIVOT:
+                ceiling = np.full(len(rows), _SLACK)
+            else:
+                gap = np.maximum(_distances(queries[rows], centers[cell:cell + 1])[:, 0] - radius, 0.0)
+                ceiling = 1.0 - gap * gap / 2 + _SLACK
+            rows = rows[ceiling >= needed[rows]]
+            if len(rows):
+                state.add(queries[rows], rows, vectors[block], ids[block])
         found = emit_rows(state, names, id_type)
         return empty if found is None else found
 
@@ -196,6 +218,12 @@ def join_by_bounds(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str
         flat.withColumn("cell", F.lit(_NO_PIVOT)).join(none, "cell").withColumn("ceiling", F.lit(_SLACK)).select(*bounded.columns)
     )
     order = Window.partitionBy("qb").orderBy(F.desc("ceiling"), "db")
+    query_groups, doc_groups = (
+        materialize(_grouped(df.groupBy("block").agg(F.count(F.lit(1)).alias("n")), _group_rows(spark, df.count(), dim)), "bound-groups")
+        for df in (unique, placed)
+    )
+    bounded = bounded.join(query_groups.select(F.col("block").alias("qb"), F.col("group").alias("qg")), "qb")
+    bounded = bounded.join(doc_groups.select(F.col("block").alias("db"), F.col("group").alias("dg"), "place"), "db")
     open_ = materialize(bounded.withColumn("nth", F.row_number().over(order)), "bound-pairs")
     total, joined, passes, take = open_.count(), 0, 0, spec.first
 
@@ -214,10 +242,14 @@ def join_by_bounds(queries: DataFrame, docs: DataFrame, k: int, *, query_id: str
         here = now.count()
         if here:
             joined += here
-            left = known.withColumnRenamed("block", "qb").join(now.select("qb", "db"), "qb").select("qb", "db", "sig", "vec", "kth")
-            right = placed.withColumnRenamed("block", "db").drop("cell").join(now.select("qb", "db", "cell", "radius"), "db")
-            right = right.select("qb", "db", "id", "vec", "cell", "radius")
-            found = left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInArrow(
+            # A row goes once to every group on the other side that holds a block of its own.
+            todo = now.groupBy("qb", "qg", "dg").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("todo"))
+            left = known.withColumnRenamed("block", "qb").join(todo, "qb")
+            left = left.select(F.col("qg").alias("lq"), F.col("dg").alias("ld"), "sig", "vec", "kth", "todo")
+            wanted = now.select("qg", "dg", "db", "place", "cell", "radius").distinct()
+            right = placed.withColumnRenamed("block", "db").drop("cell").join(wanted, "db")
+            right = right.select("qg", "dg", "id", "vec", "cell", "radius", "place")
+            found = left.groupBy("lq", "ld").cogroup(right.groupBy("qg", "dg")).applyInArrow(
                 _meet(k, shared, arrow_id), f"q string, id {id_type}, score double"
             )
             best = materialize(merge_best(found.unionByName(best.drop("rank")), k), "bound-best")
