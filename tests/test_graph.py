@@ -65,6 +65,39 @@ def test_clustered_data_compares_few_pairs(spark, tmp_path):
     assert recall(graph.graph_search(asked, index, 6, **options).collect(), exact, 5) >= 0.95
 
 
+def near_random(rows, seed=8):
+    rng = np.random.default_rng(seed)
+    return (rng.normal(size=(rows // 5, 24)).repeat(5, axis=0) + 0.8 * rng.normal(size=(rows, 24))).astype(np.float32)
+
+
+def test_cells_of_many_shards_are_walked_as_one(spark, tmp_path):
+    m = near_random(6000)
+    docs = frame(spark, m)
+    index = built(spark, tmp_path, docs, graph.GraphSpec(shard_rows=128), cells=4)
+    assert index.nodes.select("shard").distinct().count() >= 40
+    asked = docs.filter("id % 20 = 0")
+    options = {"probes": 1, "width": 16, "hops": 2, "exits": 64, "query_id": "id"}
+    found = graph.graph_candidates(asked, index, 6, **options)
+    assert found.groupBy("q").count().agg(F.max("count")).first()[0] <= 4 * 6  # a row for each answer of a cell, not of a shard
+    exact = np.round(unit(m.astype(float)) @ unit(m.astype(float)).T, 9)
+    assert recall(graph.graph_search(asked, index, 6, **options).collect(), exact, 5) >= 0.9
+
+
+def test_large_cells_have_several_groups_and_finer_cells_of_first_neighbours(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph, "_FIRST", 24 * 700)
+    monkeypatch.setattr(graph, "_GROUP", 24 * 512)
+    monkeypatch.setattr(graph, "_QUERIES", 24 * 40)
+    m = near_random(3000)
+    docs = frame(spark, m)
+    index = built(spark, tmp_path, docs, graph.GraphSpec(shard_rows=64), cells=2)
+    assert index.nodes.groupBy("grp").count().agg(F.max("count")).first()[0] <= 2 * 512
+    assert index.nodes.select("grp").distinct().count() == index.shards.agg(F.sum("groups")).first()[0] >= 6
+    asked = docs.filter("id % 20 = 0")
+    rows = graph.graph_search(asked, index, 6, probes=1, width=16, hops=2, exits=64, query_id="id", query_block=16).collect()
+    exact = np.round(unit(m.astype(float)) @ unit(m.astype(float)).T, 9)
+    assert recall(rows, exact, 5) >= 0.9
+
+
 def test_rounds_find_more_neighbours(spark):
     m = unit(np.random.default_rng(4).normal(size=(600, 12)))
     nodes = frame(spark, m).select(F.col("id").alias("node"), F.col("embedding").alias("vec"))

@@ -1,22 +1,25 @@
 """Approximate nearest neighbours by a graph of near neighbours, searched shard by shard.
 
 **Build.**  Equal vectors become one node, with a table of the ids behind it.  Nodes are
-dealt to cells of fitted centroids, and cells to shards of bounded size.  The rows of a
-cell and those for which it is the second nearest meet in one matrix product, or several
-of bounded size, which finds first neighbours on both sides of a cell's border.  Then rounds of "neighbours of
+dealt to cells of fitted centroids, and cells to shards of bounded size; the shards of a
+cell lie together in groups of at most ``_GROUP`` numbers, or one shard.  The rows of a
+cell and those for which it is the second nearest meet in one matrix product, which finds
+first neighbours on both sides of a cell's border.  Where they are too many for one, finer
+cells are fitted for this, in several of which every row takes part.  Then rounds of "neighbours of
 neighbours" improve them over the whole table: the vectors of a node's best neighbours,
 in both directions, meet at that node, are compared with each other, and every node keeps
 its best ``degree`` of all it has met.  Rounds end when few links change.
 All of it is joins and aggregations on node numbers; a popular node keeps its best
 ``sample`` askers only, which a window limit takes before the shuffle.
 
-**Search.**  A query goes to the shards of its nearest cells.  There a beam walks the links:
+**Search.**  A query goes to the groups of its nearest cells.  There a beam walks the links:
 it expands its best nodes, compares their unseen neighbours, keeps the best ``width``, and ends when
-nothing in it is unexpanded; all queries of a block move at once.  Links that leave the
-shard, from nodes that are still in the beam at the end, continue as new starts in the
-shards they lead to, ``hops`` times.  Scores are exact; which rows are compared is the
-approximation.  A shard and a block of queries meet once, so nothing is collected beyond
-their bounded sizes.
+nothing in it is unexpanded; all queries of a block move at once.  A group of several shards is
+walked by a beam that is wider by the root of their number.  Links that leave the
+group, from nodes that are still in the beam at the end, continue as new starts in the
+groups they lead to, ``hops`` times.  Scores are exact; which rows are compared is the
+approximation.  A group and a block of queries meet once, so nothing is collected beyond
+their bounded sizes, and a query travels once for a group instead of once for every shard.
 
 Vectors that are NULL, hold a NULL or are all zero take no part.
 """
@@ -42,6 +45,14 @@ _PLACE_BITS = 32
 _MAX_CELLS = 1024
 # Vectors gathered at once while a beam moves, in elements.
 _GATHER = 2_000_000
+# Vectors that meet in one product for their first neighbours, and nodes and queries of one task of a search, in elements.
+_FIRST, _GROUP, _QUERIES = 4_194_304, 12_582_912, 4_194_304
+# Finer cells of first neighbours that a row takes part in, and how many there are for the rows of each product.
+_BESIDE, _FINER = 4, 6
+# Tasks of a search round, as far as there are blocks of queries for them.
+_TASKS = 32
+# Flags of nodes seen, of the queries that walk at once.
+_SEEN = 64_000_000
 
 
 @dataclass(frozen=True)
@@ -66,9 +77,9 @@ class GraphSpec:
 class GraphIndex:
     """Tables of a stored graph, and the centroids by which queries are routed."""
 
-    nodes: DataFrame  # shard, place, node, vec, links, start
+    nodes: DataFrame  # grp, shard, place, node, vec, links, start
     copies: DataFrame  # node, id
-    shards: DataFrame  # cell, first, shards
+    shards: DataFrame  # cell, first, shards, first_group, groups
     centroids: np.ndarray
 
 
@@ -84,13 +95,36 @@ def _node(shard: str | Column, place: str | Column) -> Column:
     return F.shiftleft(shard, _PLACE_BITS).bitwiseOR(place)
 
 
-def _shards(placed: DataFrame, rows: int) -> DataFrame:
-    """Per cell its first shard and how many it has; one row per cell."""
+def _shards(placed: DataFrame, rows: int, together: int = 1) -> DataFrame:
+    """Per cell its first shard and how many it has, and likewise groups of ``together`` shards; one row per cell."""
     counted = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("shards")).toPandas()
     counted = counted.sort_values("cell")
-    first = counted["shards"].cumsum() - counted["shards"]
-    table = [(int(c), int(f), int(s)) for c, f, s in zip(counted["cell"], first, counted["shards"])]
-    return placed.sparkSession.createDataFrame(table, "cell int, first int, shards int")
+    counted["groups"] = -(-counted["shards"] // together)
+    for name, of in (("first", "shards"), ("first_group", "groups")):
+        counted[name] = counted[of].cumsum() - counted[of]
+    names = ("cell", "first", "shards", "first_group", "groups")
+    table = [tuple(int(x) for x in row) for row in zip(*(counted[n] for n in names))]
+    return placed.sparkSession.createDataFrame(table, ", ".join(f"{n} int" for n in names))
+
+
+def _group(shard: Column) -> Column:
+    """The group of a shard, in rows that have its cell's shards and groups."""
+    return (F.col("first_group") + F.floor((shard - F.col("first")) * F.col("groups") / F.col("shards"))).cast("int")
+
+
+def _first_groups(nodes: DataFrame, count: int, dim: int, spec: GraphSpec) -> DataFrame:
+    """Groups of bounded size (group, node, vec) in which nodes find their first neighbours."""
+    most = max(_FIRST // dim, 2 * spec.shard_rows)
+    beside = nodes.select("node", "vec", F.explode("cells").alias("cell"))
+    groups = _shards(beside.select("cell"), most)
+    if groups.filter(F.col("shards") > 1).head(1):
+        finer = min(_MAX_CELLS, -(-_FINER * count // most))
+        centroids = fit_centroids(nodes, finer, vec_col="vec", sample_rows=min(spec.fit_rows, count), seed=spec.seed)
+        beside = nodes.select("node", "vec", F.explode(nearest_cells("vec", centroids, _BESIDE)).alias("cell"))
+        beside = materialize(beside, "graph-beside")
+        groups = _shards(beside.select("cell"), most)
+    number = F.col("first") + F.pmod(F.xxhash64("node", F.lit(spec.seed)), F.col("shards"))
+    return beside.join(F.broadcast(groups), "cell").withColumn("group", number).select("group", "node", "vec")
 
 
 def _own_neighbours(degree: int):
@@ -190,19 +224,18 @@ def build_graph(docs: DataFrame, path: str, spec: GraphSpec = GraphSpec(), *, id
         centroids = np.ones((1, len(distinct.first()["vec"]) if count else 1))
     near = distinct.withColumn("cells", nearest_cells("vec", centroids, 2))
     placed = materialize(near.withColumn("cell", F.get("cells", F.lit(0))), "graph-placed")
-    shards = _shards(placed.select("cell"), spec.shard_rows)
+    dim = centroids.shape[1]
+    shards = _shards(placed.select("cell"), spec.shard_rows, max(1, _GROUP // dim // spec.shard_rows))
     numbered = placed.join(F.broadcast(shards), "cell")
     numbered = numbered.withColumn("shard", F.col("first") + F.pmod(F.xxhash64("sig"), F.col("shards")).cast("int"))
     place = F.row_number().over(Window.partitionBy("shard").orderBy("sig")) - 1
-    nodes = numbered.select("shard", place.alias("place"), "sig", "cells", "vec").withColumn("node", _node("shard", "place"))
+    numbered = numbered.withColumn("grp", _group(F.col("shard")))
+    nodes = numbered.select("grp", "shard", place.alias("place"), "sig", "cells", "vec").withColumn("node", _node("shard", "place"))
     nodes = materialize(nodes, "graph-nodes")
     rows.select("sig", "id").join(nodes.select("sig", "node"), "sig").select("node", "id").write.mode("overwrite").parquet(f"{path}/copies")
 
-    # First neighbours: a cell's own rows and those next to it, dealt anew where they are too many for one product.
-    beside = nodes.select("node", "vec", F.explode("cells").alias("cell"))
-    groups = _shards(beside.select("cell"), 2 * spec.shard_rows)
-    number = F.col("first") + F.pmod(F.xxhash64("node", F.lit(spec.seed)), F.col("shards"))
-    met = beside.join(F.broadcast(groups), "cell").withColumn("group", number).select("group", "node", "vec")
+    # First neighbours: a cell's own rows and those next to it.
+    met = _first_groups(nodes, count, dim, spec)
     found = met.groupBy("group").applyInArrow(_own_neighbours(spec.degree), "node long, near long, score double")
     edges = materialize(_best(found.distinct(), spec.degree), "graph-edges")
     if nodes.agg(F.max("shard")).first()[0]:  # one shard has compared all pairs already
@@ -218,8 +251,8 @@ def build_graph(docs: DataFrame, path: str, spec: GraphSpec = GraphSpec(), *, id
     linked = nodes.drop("sig", "cells").join(links, "node", "left")
     linked = linked.withColumn("links", F.coalesce("links", F.array().cast("array<bigint>")))
     vec_type = nodes.schema["vec"].dataType.simpleString()
-    fields = f"shard int, place int, node long, vec {vec_type}, links array<bigint>, start boolean"
-    started = linked.select("shard", "place", "node", "vec", "links").groupBy("shard").applyInArrow(_with_starts, fields)
+    fields = f"grp int, shard int, place int, node long, vec {vec_type}, links array<bigint>, start boolean"
+    started = linked.select("grp", "shard", "place", "node", "vec", "links").groupBy("grp").applyInArrow(_with_starts, fields)
     started.write.mode("overwrite").parquet(f"{path}/nodes")
     shards.write.mode("overwrite").parquet(f"{path}/shards")
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(centroids)]
@@ -247,25 +280,29 @@ def walk(queries: np.ndarray, vectors: np.ndarray, links: np.ndarray, starts: np
     compared = np.zeros(n, dtype=np.int64)
 
     def meet(some: np.ndarray, offered: np.ndarray) -> None:
-        offered = np.sort(offered, axis=1)
-        new = ~seen[some[:, None], offered]
-        new[:, 1:] &= offered[:, 1:] != offered[:, :-1]
-        seen[some[:, None], offered] = True
-        compared[some] += new.sum(axis=1)
-        most = int(new.sum(axis=1).max(initial=0))
-        if not most:
+        row, col = np.nonzero(offered >= 0)
+        place = offered[row, col]
+        new = ~seen[some[row], place]
+        both = np.sort(row[new] * seen.shape[1] + place[new])
+        row, place = np.divmod(both[np.diff(both, prepend=-1) > 0], seen.shape[1])
+        if not len(row):
             return
-        order = np.argsort(~new, axis=1, kind="stable")[:, :most]  # the new ones to the front
-        offered, new = np.take_along_axis(offered, order, 1), np.take_along_axis(new, order, 1)
-        got = np.full(offered.shape, -np.inf)
-        step = max(1, _GATHER // (most * vectors.shape[1]))
-        for i in range(0, len(some), step):
+        at = some[row]
+        seen[at, place] = True
+        sizes = np.bincount(row, minlength=len(some))
+        compared[some] += sizes
+        row = (np.cumsum(sizes > 0) - 1)[row]  # those that met someone new
+        some, sizes = some[sizes > 0], sizes[sizes > 0]
+        got = np.empty(len(row))
+        step = max(1, _GATHER // vectors.shape[1])
+        for i in range(0, len(row), step):
             part = slice(i, i + step)
-            got[part] = np.einsum("qd,qcd->qc", queries[some[part]], vectors[offered[part]])
-        got[~new] = -np.inf
-        all_scores = np.concatenate([scores[some], got], axis=1)
-        all_places = np.concatenate([places[some], np.where(new, offered, -1)], axis=1)
-        all_fresh = np.concatenate([fresh[some], new], axis=1)
+            got[part] = np.einsum("cd,cd->c", queries[at[part]], vectors[place[part]])
+        col = width + np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        shape = (len(some), width + int(sizes.max()))
+        all_scores, all_places, all_fresh = np.full(shape, -np.inf), np.full(shape, -1), np.zeros(shape, dtype=bool)
+        all_scores[:, :width], all_places[:, :width], all_fresh[:, :width] = scores[some], places[some], fresh[some]
+        all_scores[row, col], all_places[row, col], all_fresh[row, col] = got, place, True
         best = np.argsort(-all_scores, axis=1, kind="stable")[:, :width]
         scores[some] = np.take_along_axis(all_scores, best, 1)
         places[some] = np.take_along_axis(all_places, best, 1)
@@ -299,20 +336,20 @@ def parts_of(links: np.ndarray) -> np.ndarray:
         part = lower
 
 
-def _with_starts(shard: pa.Table) -> pa.Table:
+def _with_starts(group: pa.Table) -> pa.Table:
     """Mark where queries from outside begin: evenly spaced nodes, and one of every part that links do not connect."""
-    shard = shard.sort_by("place").combine_chunks()
-    links = _inside(_padded(shard.column("links").combine_chunks()), shard.column("node").to_numpy()[:1])
+    group = group.sort_by("node").combine_chunks()
+    links = _inside(_padded(group.column("links").combine_chunks()), group.column("node").to_numpy())
     start = np.zeros(len(links), dtype=bool)
     start[::max(1, int(np.sqrt(len(links)) / 2))] = True
     start[np.unique(parts_of(links))] = True
-    return shard.append_column("start", pa.array(start))
+    return group.append_column("start", pa.array(start))
 
 
-def _inside(targets: np.ndarray, node: np.ndarray) -> np.ndarray:
-    """Places of the linked nodes that are in the same shard as ``node``; -1 for others."""
-    same = (targets >= 0) & (targets >> _PLACE_BITS == node >> _PLACE_BITS)
-    return np.where(same, targets & ((1 << _PLACE_BITS) - 1), -1)
+def _inside(targets: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Positions of the targets among a group's sorted ``nodes``; -1 for those elsewhere."""
+    at = np.minimum(np.searchsorted(nodes, targets), len(nodes) - 1)
+    return np.where(nodes[at] == targets, at, -1)
 
 
 def _padded(lists: pa.Array) -> np.ndarray:
@@ -325,91 +362,99 @@ def _padded(lists: pa.Array) -> np.ndarray:
 _FOUND = "q {q}, node long, score double, compared long, exits array<bigint>"
 
 
-def _search_shard(k: int, width: int, exits: int, q_type: pa.DataType):
-    """Beams of a block of queries in one shard: rows of the best nodes, the first of which carries the query's totals."""
+def _search_group(k: int, width: int, exits: int, query_block: int, q_type: pa.DataType):
+    """Beams of a block of queries in one group: rows of the best nodes, the first of which carries the query's totals."""
 
     def search(asked: pa.Table, nodes: pa.Table) -> pa.Table:
         empty = pa.table({"q": pa.array([], q_type), "node": pa.array([], pa.int64()), "score": pa.array([], pa.float64()),
                           "compared": pa.array([], pa.int64()), "exits": pa.array([], pa.list_(pa.int64()))})
         if not asked.num_rows or not nodes.num_rows:
             return empty
-        nodes = nodes.sort_by("place").combine_chunks()
+        nodes, asked = nodes.sort_by("node").combine_chunks(), asked.combine_chunks()
         numbers, stored = nodes.column("node").to_numpy(), nodes.column("vec").combine_chunks()
         vectors = kernels.unit_rows(kernels.pack(stored, len(stored[0]))[0])
-        queries = kernels.unit_rows(kernels.pack(asked.column("vec").combine_chunks(), vectors.shape[1])[0])
         targets = _padded(nodes.column("links").combine_chunks())
-        shard = numbers[0] >> _PLACE_BITS
-        links = _inside(targets, numbers[:1])
-        starts = _padded(asked.column("starts").combine_chunks())
+        links = _inside(targets, numbers)
+        outside = np.where(links < 0, targets, -1)
         spread = np.flatnonzero(nodes.column("start").to_numpy())  # for queries that come from outside
-        wide = np.full((len(queries), max(starts.shape[1], len(spread))), -1)
-        wide[:, :starts.shape[1]] = np.where(starts >= 0, starts & ((1 << _PLACE_BITS) - 1), -1)
-        wide[(starts < 0).all(axis=1), :len(spread)] = spread
-        places, scores, compared = walk(queries, vectors, links, wide, max(width, k))
-        kept = np.zeros(places.shape, dtype=bool)
-        kept[:, :k] = places[:, :k] >= 0
-        kept[:, 0] |= True
-        leaving: list[list[int]] = []
-        for row in places if exits else ():
-            out = targets[row[row >= 0]]
-            out = out[(out >= 0) & (out >> _PLACE_BITS != shard)]
-            leaving.append(list(dict.fromkeys(out.tolist()))[:exits])
-        row, at = np.nonzero(kept)
-        place = places[row, at]
-        lead = at == 0
-        lists = [leaving[r] if exits and first else [] for r, first in zip(row, lead)]
-        return pa.table({
-            "q": asked.column("q").combine_chunks().take(pa.array(row)),
-            "node": pa.array(numbers[place], mask=place < 0),
-            "score": pa.array(np.round(scores[row, at], kernels.SCORE_DIGITS), mask=place < 0),
-            "compared": np.where(lead, compared[row], 0),
-            "exits": pa.array(lists, pa.list_(pa.int64())),
-        })
+        wider = int(np.ceil(np.sqrt(len(np.unique(numbers >> _PLACE_BITS)))))
+        found, step = [empty], max(1, min(query_block, _SEEN // len(nodes)))
+        for some in (asked.slice(i, step).combine_chunks() for i in range(0, asked.num_rows, step)):
+            queries = kernels.unit_rows(kernels.pack(some.column("vec").combine_chunks(), vectors.shape[1])[0])
+            starts = _inside(_padded(some.column("starts").combine_chunks()), numbers)
+            wide = np.full((len(queries), max(starts.shape[1], len(spread))), -1)
+            wide[:, :starts.shape[1]] = starts
+            wide[(starts < 0).all(axis=1), :len(spread)] = spread
+            places, scores, compared = walk(queries, vectors, links, wide, max(width * wider, k), 4 * wider)
+            kept = np.zeros(places.shape, dtype=bool)
+            kept[:, :k] = places[:, :k] >= 0
+            kept[:, 0] |= True
+            leaving: list[list[int]] = []
+            for row in places if exits else ():
+                out = outside[row[row >= 0]]
+                leaving.append(list(dict.fromkeys(out[out >= 0].tolist()))[:exits])
+            row, at = np.nonzero(kept)
+            place = places[row, at]
+            lead = at == 0
+            lists = [leaving[r] if exits and first else [] for r, first in zip(row, lead)]
+            found.append(pa.table({
+                "q": some.column("q").combine_chunks().take(pa.array(row)),
+                "node": pa.array(numbers[place], mask=place < 0),
+                "score": pa.array(np.round(scores[row, at], kernels.SCORE_DIGITS), mask=place < 0),
+                "compared": np.where(lead, compared[row], 0),
+                "exits": pa.array(lists, pa.list_(pa.int64())),
+            }))
+        return pa.concat_tables(found)
 
     return search
 
 
-def _walk_round(asked: DataFrame, nodes: DataFrame, k: int, width: int, exits: int, query_block: int) -> DataFrame:
-    """Every (shard, q, vec, starts) meets its shard, in blocks of queries."""
+def _walk_round(asked: DataFrame, nodes: DataFrame, k: int, width: int, exits: int, query_block: int, most: int) -> DataFrame:
+    """Every (grp, q, vec, starts) meets its group, in no more blocks of queries than give enough tasks of bounded size."""
     q_type = asked.schema["q"].dataType.simpleString()
-    blocks = asked.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / query_block).cast("int").alias("blocks"))
-    blocks = materialize(blocks, "graph-blocks")
+    counted = materialize(asked.groupBy("grp").agg(F.count(F.lit(1)).alias("n")), "graph-blocks")
+    tasks = -(-_TASKS // max(1, counted.count()))
+    spread = F.least(F.ceil(F.col("n") / query_block), F.lit(tasks))
+    blocks = counted.select("grp", F.greatest(spread, F.ceil(F.col("n") / most)).cast("int").alias("blocks"))
     few = small_copy(blocks)
     blocks = blocks if few is None else few
-    left = asked.join(blocks, "shard").withColumn("block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int"))
-    right = nodes.join(blocks, "shard").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = asked.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int"))
+    right = nodes.join(blocks, "grp").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     kind = asked.sparkSession.createDataFrame([], asked.select("q").schema).toArrow().schema.field("q").type
-    keys = ["shard", "block"]
+    keys = ["grp", "block"]
     return (
         left.select(*keys, "q", "vec", "starts").groupBy(*keys)
-        .cogroup(right.select(*keys, "place", "node", "vec", "links", "start").groupBy(*keys))
-        .applyInArrow(_search_shard(k, width, exits, kind), _FOUND.format(q=q_type))
+        .cogroup(right.select(*keys, "node", "vec", "links", "start").groupBy(*keys))
+        .applyInArrow(_search_group(k, width, exits, query_block, kind), _FOUND.format(q=q_type))
     )
 
 
 def graph_candidates(queries: DataFrame, index: GraphIndex, k: int, *, probes: int = 4, width: int = 64, hops: int = 1,
                      exits: int = 16, query_id: str = "q", vec_col: str = "embedding", query_block: int = 1_024) -> DataFrame:
-    """Best nodes of every query per shard visited: q, node, score, compared (sum it for the pairs compared)."""
+    """Best nodes of every query per group visited: q, node, score, compared (sum it for the pairs compared)."""
     if k < 1 or width < 1 or probes < 1:
         raise ValueError("k, width and probes must be at least 1")
     asked = queries.filter(usable(vec_col)).select(F.col(query_id).alias("q"), F.col(vec_col).alias("vec"))
     none = F.array().cast("array<bigint>")
     cells = asked.withColumn("cell", F.explode(nearest_cells("vec", index.centroids, probes)))
     near = cells.join(F.broadcast(index.shards), "cell")  # one row per cell, at most _MAX_CELLS
-    visit = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("shards") - 1))
-    asked_at = materialize(near.select("q", "vec", none.alias("starts"), visit.alias("shard")), "graph-asked")
-    visited = asked_at.select("q", "shard")
+    visit = F.explode(F.sequence(F.col("first_group"), F.col("first_group") + F.col("groups") - 1))
+    asked_at = materialize(near.select("q", "vec", none.alias("starts"), visit.alias("grp")), "graph-asked")
+    every = index.shards.withColumn("shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("shards") - 1)))
+    group_of = F.broadcast(every.select("shard", _group(F.col("shard")).alias("grp")))
+    visited = asked_at.select("q", "grp")
+    most = max(query_block, _QUERIES // index.centroids.shape[1])
     found = []
     for hop in range(hops + 1):
         more = exits if hop < hops else 0
-        found.append(materialize(_walk_round(asked_at, index.nodes, k, width, more, query_block), "graph-found"))
+        found.append(materialize(_walk_round(asked_at, index.nodes, k, width, more, query_block, most), "graph-found"))
         if not more:
             break
-        leaving = found[-1].select("q", F.explode("exits").alias("node")).distinct()
-        leaving = leaving.withColumn("shard", F.shiftright("node", _PLACE_BITS).cast("int")).join(visited, ["q", "shard"], "left_anti")
-        starts = leaving.groupBy("q", "shard").agg(F.collect_set("node").alias("starts"))
-        asked_at = materialize(starts.join(asked, "q").select("q", "vec", "starts", "shard"), "graph-asked")
-        visited = visited.unionByName(asked_at.select("q", "shard"))
+        leaving = found[-1].select("q", F.explode("exits").alias("node"))
+        leaving = leaving.withColumn("shard", F.shiftright("node", _PLACE_BITS).cast("int")).join(group_of, "shard")
+        starts = leaving.groupBy("q", "grp").agg(F.collect_set("node").alias("starts")).join(visited, ["q", "grp"], "left_anti")
+        asked_at = materialize(starts.join(asked, "q").select("q", "vec", "starts", "grp"), "graph-asked")
+        visited = visited.unionByName(asked_at.select("q", "grp"))
     return reduce(DataFrame.unionByName, found).select("q", "node", "score", "compared")
 
 
