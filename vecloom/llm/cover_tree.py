@@ -13,7 +13,13 @@ decide whole sets of pairs:
 * A pair of blocks is a unit of work.  A pair of nodes is dropped if its centres are
   farther apart than the threshold plus both radii, taken whole if nearer than the
   threshold minus both radii, and else split.  Pairs of points are decided by the
-  cosine in double precision.
+  cosine in double precision; products in single precision, with their rounding
+  allowed for, only rule out what can not reach it.
+* Blocks that few others meet are sent to them.  Where the bounds rule out little, as
+  among uniformly random vectors, every block meets nearly every other: tasks then read
+  two ranges of the stored blocks each, and no pair of blocks is ever shuffled.
+* Vectors are shuffled twice, to collapse equal ones and to deal them in blocks; the way
+  back from points to rows goes by digests, if they tell all points apart.
 
 A unit returns, per vector, how many it links with, and a spanning forest of its
 links; pairs are never rows.  Equal vectors are one point with a multiplicity, so a
@@ -46,7 +52,26 @@ SAMPLE_ROWS, MAX_CELLS, BLOCK_ROWS, LEAF_ROWS = 8192, 1024, 2048, 48
 # bounds come this close to the threshold are split down to points.
 _SLACK = 1e-6
 _BATCH_EDGES = 1_000_000
-_DENSE_SHARE = 1e-3  # node pairs left, as a share of the point pairs, from which comparing points is cheaper
+# A block holds at least ``block_rows`` vectors, and up to so many bytes of them where a cell has more than so many blocks.
+_BLOCK_BYTES, _FEW_BLOCKS = 4 << 20, 8
+_FILE_BYTES = 8 << 20  # of blocks that a task reads together, about
+_TILE_ROWS, _TILE_COLUMNS = 256, 2048
+# Costs, in pairs of points that a product of matrices compares meanwhile: a step of the traversal, a pair fetched alone.
+_STEP, _FETCH = 25_000, 150
+
+
+@dataclass
+class Children:
+    """The child nodes of each node, which have consecutive numbers."""
+
+    first: np.ndarray
+    last: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.first)
+
+    def __getitem__(self, v: int) -> np.ndarray:
+        return np.arange(self.first[v], self.last[v])
 
 
 @dataclass
@@ -62,37 +87,94 @@ class Tree:
     first: np.ndarray
     last: np.ndarray
     radius: np.ndarray
-    children: list[np.ndarray]
+    children: Children
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (a @ b.T), 0.0))
 
 
-def cover(points: np.ndarray, radius: float, first: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """Centres that cover all points within ``radius``, from the nested centre ``first`` on, and each point's centre."""
-    away = distances(points, points[first:first + 1])[:, 0]
+def _tiles(a: np.ndarray, b: np.ndarray, least: float) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row and column of each tile of the products of single-precision rows, and where in it they reach ``least``."""
+    # Hits are few: eight numbers are looked at together.
+    hit = np.zeros(_TILE_ROWS * _TILE_COLUMNS + 8, dtype=bool)
+    out = np.empty(_TILE_ROWS * _TILE_COLUMNS, dtype=np.float32)
+    for y in range(0, len(b), _TILE_COLUMNS):
+        right = b[y:y + _TILE_COLUMNS].T
+        for x in range(0, len(a), _TILE_ROWS):
+            left = a[x:x + _TILE_ROWS]
+            n = len(left) * right.shape[1]
+            tile = np.matmul(left, right, out=out[:n].reshape(len(left), -1))
+            np.greater_equal(tile.ravel(), least, out=hit[:n])
+            hit[n:n + 8] = False
+            some = np.flatnonzero(hit[:-(-n // 8) * 8].view(np.uint64) != 0)
+            if len(some):
+                k, at = np.nonzero(hit.reshape(-1, 8)[some])
+                i, j = np.divmod(some[k] * 8 + at, right.shape[1])
+                yield x, y, i + x, j + y
+
+
+def _margin(terms: int, size: float = 1.0) -> float:
+    """What single precision may add to or take from a sum of products of rows of this size."""
+    return size * (terms + 8) * 2.0 ** -23
+
+
+def _cosines(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    step = max(1, (1 << 20) // max(1, a.shape[1]))
+    parts = [np.einsum("ij,ij->i", a[i[s:s + step]], b[j[s:s + step]]) for s in range(0, len(i), step)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def _in_tile(a: np.ndarray, b: np.ndarray, x: int, y: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Cosines of pairs of the tile that begins at row ``x`` and column ``y``."""
+    rows, columns = a[x:x + _TILE_ROWS], b[y:y + _TILE_COLUMNS]
+    if len(i) * _FETCH > len(rows) * len(columns):
+        return (rows @ columns.T)[i - x, j - y]
+    return _cosines(a, b, i, j)
+
+
+def cover(points: np.ndarray, radius: float, first: int = 0, most: float = math.inf) -> tuple[np.ndarray, np.ndarray]:
+    """Centres that cover all points within ``radius``, from the nested centre ``first`` on, and each point's centre.
+
+    More than ``most`` centres end it early, with points left that no centre covers.
+    """
+    away, single = distances(points, points[first:first + 1])[:, 0], points.astype(np.float32)
     centres, owner = [first], np.zeros(len(points), dtype=np.int64)
     open_ = np.flatnonzero(away > radius)
-    while len(open_):
-        c = int(open_[0])
-        near = distances(points[open_], points[c:c + 1])[:, 0] <= radius
-        owner[open_[near]] = len(centres)
-        centres.append(c)
-        open_ = open_[~near]
+    while len(open_) and len(centres) <= most:
+        # In order, each open point is a centre if none before it is near; many are tried at once.
+        tried = open_[:_TILE_ROWS]
+        near = distances(points[tried], points[tried]) <= radius
+        free, chosen = np.ones(len(tried), dtype=bool), []
+        for i in range(len(tried)):
+            if free[i]:
+                chosen.append(i)
+                free &= ~near[i]
+        made = tried[chosen]
+        best = np.full(len(open_), len(made))
+        rest, heads = points[open_], points[made]
+        for x, y, i, j in _tiles(single[open_], single[made], 1 - radius * radius / 2 - _margin(points.shape[1])):
+            near = np.sqrt(np.maximum(2.0 - 2.0 * _in_tile(rest, heads, x, y, i, j), 0.0)) <= radius
+            np.minimum.at(best, i[near], j[near])
+        best[np.searchsorted(open_, made)] = np.arange(len(made))
+        owned = best < len(made)
+        owner[open_[owned]] = len(centres) + best[owned]
+        centres += made.tolist()
+        open_ = open_[~owned]
     return np.array(centres), owner
 
 
 def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
     """Levels halve the radius; levels that would not split a node are skipped."""
     order = np.arange(len(points))
-    first, last, radius, children = [], [], [], []
+    first, last, radius, child, end = [], [], [], [], []
 
     def node(a: int, b: int, reach: float) -> int:
         first.append(a)
         last.append(b)
         radius.append(reach)
-        children.append(np.zeros(0, np.int64))
+        child.append(0)
+        end.append(0)
         return len(first) - 1
 
     todo = [node(0, len(points), float(distances(points[:1], points).max()) if len(points) else 0.0)]
@@ -102,7 +184,8 @@ def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
         if b - a < 2:
             continue
         if b - a <= leaf_rows or radius[v] <= _SLACK:
-            children[v] = np.array([node(i, i + 1, 0.0) for i in range(a, b)])
+            made = [node(i, i + 1, 0.0) for i in range(a, b)]
+            child[v], end[v] = made[0], made[-1] + 1
             continue
         own, level = points[order[a:b]], 2.0 ** math.ceil(math.log2(radius[v]))
         while True:
@@ -120,9 +203,39 @@ def build_tree(points: np.ndarray, leaf_rows: int = LEAF_ROWS) -> Tree:
         reach = np.zeros(len(centres))
         np.maximum.at(reach, owner, away)
         made = [node(int(e - n), int(e), float(r) if n > 1 else 0.0) for e, n, r in zip(ends, sizes, reach, strict=True)]
-        children[v] = np.array(made)
+        child[v], end[v] = made[0], made[-1] + 1
         todo += made
-    return Tree(points[order], order, np.array(first), np.array(last), np.array(radius), children)
+    return Tree(points[order], order, np.array(first), np.array(last), np.array(radius), Children(np.array(child), np.array(end)))
+
+
+def _heads(points: np.ndarray, k: int) -> np.ndarray:
+    """The first ``k`` numbers of each row and the length of the rest: their product is no less than that of the rows."""
+    if k >= points.shape[1]:
+        return points.astype(np.float32)
+    rest = points[:, k:]
+    return np.column_stack([points[:, :k], np.sqrt(np.einsum("ij,ij->i", rest, rest))]).astype(np.float32)
+
+
+def _head_length(a: np.ndarray, b: np.ndarray, threshold: float) -> int:
+    """How many numbers to compare first, by the pairs of a few rows that are left for the others to decide."""
+    dim = a.shape[1]
+    if dim < 16 or len(a) * len(b) < 1 << 18:
+        return dim
+    a, b = a[::max(1, len(a) // 256)], b[::max(1, len(b) // 256)]
+    costs = {dim: 1.0}
+    for k in (dim // 4, 5 * dim // 16, 3 * dim // 8, dim // 2, 5 * dim // 8):
+        open_ = _heads(a, k) @ _heads(b, k).T >= threshold - _margin(k)
+        costs[k] = (k + 4) / dim + _FETCH * float(open_.mean())
+    return min(costs, key=costs.get)
+
+
+def close_points(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit rows with a cosine of ``threshold`` or more, some at a time; the cosine is that of double precision."""
+    k = _head_length(a, b, threshold)
+    for x, y, i, j in _tiles(_heads(a, k), _heads(b, k), threshold - _margin(k)):
+        good = _in_tile(a, b, x, y, i, j) >= threshold
+        if good.any():
+            yield i[good], j[good]
 
 
 class Links:
@@ -190,7 +303,55 @@ def dual_traversal(
         return links.result()
 
     def parts(tree: Tree, v: int, split: bool) -> np.ndarray:
-        return tree.children[v] if split and len(tree.children[v]) else np.array([v])
+        own = tree.children[v] if split else ()
+        return own if len(own) else np.array([v])
+
+    def by_points(x1: int, x2: int, y1: int, y2: int, twin: bool) -> None:
+        for i, j in close_points(left.points[x1:x2], right.points[y1:y2], threshold):
+            if twin:
+                i, j = i[i < j], j[i < j]
+            links.whole(i + x1, i + x1 + 1, j + y1, j + y1 + 1)
+
+    def by_nodes(av: np.ndarray, bv: np.ndarray, twin: bool, most: int) -> tuple[np.ndarray, ...] | None:
+        """Pairs of nodes that are taken whole, and those to split; none if splitting them costs more than ``most``."""
+        ra, rb = left.radius[av], right.radius[bv]
+        a1, b1, na, nb = left.first[av], right.first[bv], left.last[av] - left.first[av], right.last[bv] - right.first[bv]
+        # Centres are in reach if cosine >= 1 - (reach + ra + rb)^2 / 2, which is a product of longer rows.
+        wide = ra + reach + _SLACK
+        x = np.column_stack([left.points[a1], wide, np.ones(len(av)), wide * wide / 2 - 1]).astype(np.float32)
+        y = np.column_stack([right.points[b1], rb, rb * rb / 2, np.ones(len(bv))]).astype(np.float32)
+        found, cost = [], 0
+        for _, _, i, j in _tiles(x, y, -_margin(x.shape[1], 16.0)):
+            if twin:
+                i, j = i[i < j], j[i < j]
+            cost += _FETCH * len(i)
+            if cost > most:
+                return None
+            cosine = _cosines(left.points, right.points, a1[i], b1[j])
+            apart = np.sqrt(np.maximum(2.0 - 2.0 * cosine, 0.0))
+            unsure = np.abs(apart - reach) <= ra[i] + rb[j] + _SLACK
+            points = (na[i] == 1) & (nb[j] == 1)
+            taken = np.where(unsure, points & (cosine >= threshold), apart < reach)
+            split = unsure & ~points
+            size = na[i[split]] * nb[j[split]]
+            cost += int(np.minimum(size * _FETCH, size + _STEP).sum())
+            if cost > most:
+                return None
+            found.append((i[taken], j[taken], i[split], j[split]))
+        empty = np.zeros(0, np.int64)
+        return tuple(np.concatenate([empty, *(f[k] for f in found)]) for k in range(4))
+
+    def fetched(a1: np.ndarray, na: np.ndarray, b1: np.ndarray, nb: np.ndarray) -> None:
+        """All points of small pairs of nodes, fetched together."""
+        size = na * nb
+        step = np.cumsum(size) // (1 << 18)
+        for s in np.unique(step):
+            some = np.flatnonzero(step == s)
+            pair = np.repeat(some, size[some])
+            at = np.arange(len(pair)) - np.repeat(np.cumsum(size[some]) - size[some], size[some])
+            i, j = a1[pair] + at // nb[pair], b1[pair] + at % nb[pair]
+            good = _cosines(left.points, right.points, i, j) >= threshold
+            links.whole(i[good], i[good] + 1, j[good], j[good] + 1)
 
     todo = [(0, 0)]
     while todo:
@@ -201,36 +362,35 @@ def dual_traversal(
         if twin and 2 * left.radius[v] <= reach - _SLACK:
             links.within(int(left.first[v]), int(left.last[v]))
             continue
+        x1, x2, y1, y2 = int(left.first[v]), int(left.last[v]), int(right.first[w]), int(right.last[w])
+        if not twin:
+            apart = float(distances(left.points[x1:x1 + 1], right.points[y1:y1 + 1])[0, 0])
+            both = float(left.radius[v] + right.radius[w]) + _SLACK
+            if apart > reach + both:
+                continue
+            if apart < reach - both:
+                links.whole(*(np.array([n]) for n in (x1, x2, y1, y2)))
+                continue
         # The wider node is split first; both are if they are alike.
         av = parts(left, v, twin or left.radius[v] >= 0.5 * right.radius[w])
         bv = parts(right, w, twin or right.radius[w] >= 0.5 * left.radius[v])
+        pairs = (x2 - x1) * (y2 - y1)
+        some = by_nodes(av, bv, twin, pairs) if 4 * len(av) * len(bv) < pairs else None
+        if some is None:
+            # Bounds no longer separate these nodes, or hardly join any points: their points are compared at once.
+            by_points(x1, x2, y1, y2, twin)
+            continue
         a1, a2, b1, b2 = left.first[av], left.last[av], right.first[bv], right.last[bv]
-        cosine = left.points[a1] @ right.points[b1].T
-        apart = np.sqrt(np.maximum(2.0 - 2.0 * cosine, 0.0))
-        unsure = np.abs(apart - reach) <= left.radius[av][:, None] + right.radius[bv][None, :] + _SLACK
-        taken = (apart < reach) & ~unsure
-        points = ((a2 - a1) == 1)[:, None] & ((b2 - b1) == 1)[None, :]
-        taken |= unsure & points & (cosine >= threshold)
-        split = unsure & ~points
-        if twin:
-            upper = np.triu(np.ones(taken.shape, dtype=bool), 1)
-            taken &= upper
-            split &= upper
-            todo += [(int(x), int(x)) for x in av[(a2 - a1) > 1]]
-        i, j = np.nonzero(taken)
+        i, j, k, m = some
         if len(i):
             links.whole(a1[i], a2[i], b1[j], b2[j])
-        i, j = np.nonzero(split)
-        rows, columns = int(a2[-1] - a1[0]), int(b2[-1] - b1[0])
-        if len(i) > _DENSE_SHARE * rows * columns:
-            # Bounds no longer separate these nodes: their points are compared at once.
-            below = split[np.repeat(np.arange(len(av)), a2 - a1)][:, np.repeat(np.arange(len(bv)), b2 - b1)]
-            below &= left.points[a1[0]:a2[-1]] @ right.points[b1[0]:b2[-1]].T >= threshold
-            i, j = np.nonzero(below)
-            if len(i):
-                links.whole(i + a1[0], i + a1[0] + 1, j + b1[0], j + b1[0] + 1)
-        else:
-            todo += zip(av[i].tolist(), bv[j].tolist(), strict=True)
+        if twin:
+            todo += [(int(x), int(x)) for x in av[(a2 - a1) > 1]]
+        na, nb = a2 - a1, b2 - b1
+        small = na[k] * nb[m] * (_FETCH - 1) <= _STEP
+        if small.any():
+            fetched(a1[k[small]], na[k[small]], b1[m[small]], nb[m[small]])
+        todo += zip(av[k[~small]].tolist(), bv[m[~small]].tolist(), strict=True)
     return links.result()
 
 
@@ -251,6 +411,35 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The bytes of each row."""
+    ends = np.arange(len(rows) + 1, dtype=np.int64) * rows.shape[1] * rows.itemsize
+    return pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(rows))]
+    ).cast(pa.binary())
+
+
+def _packed(raw: np.ndarray, ids: np.ndarray, copies: np.ndarray) -> bytes:
+    """A block with its tree; the points are kept as they were given, in depth-first order."""
+    tree = build_tree(unit_rows(raw.astype(np.float64)))
+    numbers = (tree.first, tree.last, tree.children.first, tree.children.last)
+    kept = (raw[tree.order], tree.radius, *(n.astype(np.int32) for n in numbers), ids[tree.order], copies[tree.order])
+    return pickle.dumps(kept, protocol=5)
+
+
+def _unpacked(block: pa.Scalar) -> tuple[Tree, np.ndarray, np.ndarray]:
+    raw, radius, first, last, child, end, ids, copies = pickle.loads(block.as_buffer())
+    points = unit_rows(raw.astype(np.float64))
+    first, last = first.astype(np.int64), last.astype(np.int64)
+    return Tree(points, np.arange(len(points)), first, last, radius, Children(child, end)), ids, copies
+
+
+def _keys(points: DataFrame, n: int) -> list[Column]:
+    """Columns that tell all ``n`` different vectors ``v`` apart: two digests, or the vector if they do not."""
+    digests = [F.xxhash64(F.lit(salt), "v").alias(f"key{salt}") for salt in (0, 1)]
+    return digests if points.select(*digests).distinct().count() == n else [F.col("v").alias("key0")]
+
+
 def top_cells(sample: list[tuple[int, list[float]]], max_cells: int) -> dict[int, np.ndarray]:
     """Per dimension the centres of the finest level that the bound allows."""
     by_size: dict[int, list[list[float]]] = {}
@@ -262,7 +451,7 @@ def top_cells(sample: list[tuple[int, list[float]]], max_cells: int) -> dict[int
         level, kept = 2.0, np.array([0])
         while level > 1e-6:
             level /= 2
-            centres, _ = cover(points, level)
+            centres, _ = cover(points, level, most=max_cells)
             if len(centres) > max_cells:
                 break
             kept = centres
@@ -276,76 +465,100 @@ def cosine_links(
 ) -> DataFrame:
     """Per row: ``vec_id, n_links, component_id, kept``.  ``0 < threshold < 1``."""
     spark = vectors.sparkSession
-    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"))
+    # Numbers of single precision stay so where they are stored and shuffled.
+    kind = "float" if vectors.select(vector).dtypes[0][1] == "array<float>" else "double"
+    rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast(f"array<{kind}>").alias("v"))
     usable = rows.where(_usable("v") & F.col("vec_id").isNotNull())
     points = usable.groupBy("v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     points = materialize(points.withColumn("dim", F.size("v")), "points")
     sample = points.orderBy(F.xxhash64("rep"), "rep").limit(sample_rows).select("dim", "v").collect()  # bounded
     cells = top_cells([(r["dim"], r["v"]) for r in sample], max_cells)
 
-    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def assign(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(3).to_numpy()
-            cell, away = np.full(len(dims), -1, dtype=np.int32), np.full(len(dims), 2.0)
+            dims = batch.column(1).to_numpy()
             for n in np.unique(dims):
+                mine = pa.array(np.flatnonzero(dims == n))
+                raw = _matrix(batch.column(0).take(mine))
+                cell, away = np.full(len(raw), -1, dtype=np.int32), np.full(len(raw), 2.0)
                 if int(n) in cells:
-                    mine = np.flatnonzero(dims == n)
-                    centres = cells[int(n)]
-                    unit = unit_rows(_matrix(batch.column(0).take(pa.array(mine))))
-                    for i in range(0, len(mine), 4096):
-                        part = distances(unit[i:i + 4096], centres)
-                        cell[mine[i:i + 4096]], away[mine[i:i + 4096]] = part.argmin(axis=1), part.min(axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell), pa.array(away)], names=["v", "rep", "copies", "dim", "cell", "away"]
-            )
-
-    schema = "v array<double>, rep long, copies long, dim int, cell int, away double"
-    routed = materialize(points.select("v", "rep", "copies", "dim").mapInArrow(assign, schema), "routed")
-    sizes = routed.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
+                    unit = unit_rows(raw.astype(np.float64))
+                    for i in range(0, len(raw), 4096):
+                        part = distances(unit[i:i + 4096], cells[int(n)])
+                        cell[i:i + 4096], away[i:i + 4096] = part.argmin(axis=1), part.min(axis=1)
+                fields = [pa.array(np.full(len(raw), n, dtype=np.int32)), pa.array(cell)]
+                if not whole:
+                    yield pa.RecordBatch.from_arrays([*fields, pa.array(away)], names=["dim", "cell", "away"])
+                    continue
+                fields += [_binary(raw), *(batch.column(i).take(mine) for i in (2, 3))]
+                yield pa.RecordBatch.from_arrays(fields, names=["dim", "cell", "raw", "rep", "copies"])
+
+    # Computing the cells twice costs less than keeping every vector once more.
+    near = points.select("v", "dim").mapInArrow(lambda b: assign(b, False), "dim int, cell int, away double")
+    sizes = near.groupBy("dim", "cell").agg(F.count("*").alias("n"), F.max("away").alias("radius"))
     # Cells are bounded by max_cells per dimension; their table stays small whatever the number of vectors.
     held = [(r["dim"], r["cell"], r["n"], r["radius"]) for r in sizes.collect()]
-    met = []
+    keys = _keys(points, sum(n for _, _, n, _ in held))
+    width = 4 if kind == "float" else 8
+    blocks = []
+    for d, _, n, _ in held:
+        most = max(block_rows, _BLOCK_BYTES // (d * width))
+        blocks.append(blocks_for(n, min(most, max(block_rows, math.ceil(n / _FEW_BLOCKS)))))
+    met, sent = [[] for _ in held], 0
     reach = math.sqrt(2.0 - 2.0 * threshold)
-    for d, c, n, r in held:
-        for d2, c2, n2, r2 in held:
-            if d == d2 and c <= c2:
+    for p, (d, c, n, r) in enumerate(held):
+        for p2, (d2, c2, n2, r2) in enumerate(held[p:], p):
+            if d == d2:
                 apart = 0.0 if -1 in (c, c2) else float(distances(cells[d][c:c + 1], cells[d][c2:c2 + 1])[0, 0])
                 if apart <= reach + r + r2 + _SLACK:
-                    met.append((d, c, blocks_for(n, block_rows), c2, blocks_for(n2, block_rows)))
-    blocks = spark.createDataFrame(
-        [(d, c, blocks_for(n, block_rows)) for d, c, n, _ in held], "dim int, cell int, blocks int"
+                    met[p].append(p2)
+                    sent += (n * blocks[p2] + n2 * blocks[p]) * d * width // (2 if p == p2 else 1)
+    stored = sum(n * d * width for d, _, n, _ in held)
+    places = spark.createDataFrame(
+        [(d, c, p, blocks[p], met[p]) for p, (d, c, _, _) in enumerate(held)],
+        "dim int, cell int, place int, blocks int, met array<int>",
     )
-    dealt = routed.join(F.broadcast(blocks), ["dim", "cell"]).withColumn(
-        "block", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int")
+    routed = points.select("v", "dim", "rep", "copies").mapInArrow(
+        lambda b: assign(b, True), "dim int, cell int, raw binary, rep long, copies long"
+    )
+    dealt = routed.join(F.broadcast(places.drop("met")), ["dim", "cell"]).select(
+        "place", F.pmod(F.xxhash64("rep", F.lit(11)), F.col("blocks")).cast("int").alias("block"), "raw", "rep", "copies"
     )
 
     def pack(group):
         import pandas as pd
 
-        raw = np.array(group["v"].tolist(), dtype=np.float64)
-        tree = build_tree(unit_rows(raw))
-        ids, copies = group["rep"].to_numpy()[tree.order], group["copies"].to_numpy()[tree.order]
-        key = {c: [int(group[c].iloc[0])] for c in ("dim", "cell", "block")}
-        return pd.DataFrame(key | {"tree": [pickle.dumps((list(vars(tree).values()), ids, copies), protocol=5)]})
-
-    packed = dealt.groupBy("dim", "cell", "block").applyInPandas(pack, "dim int, cell int, block int, tree binary")
-    packed = materialize(packed, "trees")
-    units = spark.createDataFrame(met, "dim int, c1 int, n1 int, c2 int, n2 int")
-    units = units.withColumn("b1", F.explode(F.sequence(F.lit(0), F.col("n1") - 1)))
-    units = units.withColumn("b2", F.explode(F.sequence(F.lit(0), F.col("n2") - 1))).where("c1 < c2 or b1 <= b2")
-    one = packed.select("dim", F.col("cell").alias("c1"), F.col("block").alias("b1"), F.col("tree").alias("t1"))
-    two = packed.select("dim", F.col("cell").alias("c2"), F.col("block").alias("b2"), F.col("tree").alias("t2"))
-    work = units.join(one, ["dim", "c1", "b1"]).join(two, ["dim", "c2", "b2"]).select(
-        ((F.col("c1") == F.col("c2")) & (F.col("b1") == F.col("b2"))).alias("same"), "t1", "t2"
-    )
+        raw = np.frombuffer(b"".join(group["raw"]), dtype=f"f{width}").reshape(len(group), -1)
+        key = {c: [int(group[c].iloc[0])] for c in ("place", "block")}
+        return pd.DataFrame(key | {"tree": [_packed(raw, group["rep"].to_numpy(), group["copies"].to_numpy())]})
+
+    files = min(sum(blocks), max(4 * spark.sparkContext.defaultParallelism, stored // _FILE_BYTES))
+    dealt = dealt.repartition(max(1, int(files)), "place", "block")
+    packed = materialize(dealt.groupBy("place", "block").applyInPandas(pack, "place int, block int, tree binary"), "trees")
+    routed = packed.join(F.broadcast(places.select("place", "met")), "place")
+    one = routed.select("met", F.col("place").alias("c1"), F.col("block").alias("b1"), F.col("tree").alias("t1"))
+    two = packed.select(F.col("place").alias("c2"), F.col("block").alias("b2"), F.col("tree").alias("t2"))
+    if sent <= 2 * stored:
+        units = places.select(
+            F.col("place").alias("c1"), F.sequence(F.lit(0), F.col("blocks") - 1).alias("b1"), F.explode("met").alias("c2")
+        ).withColumn("b1", F.explode("b1"))
+        ends = places.select(F.col("place").alias("c2"), F.sequence(F.lit(0), F.col("blocks") - 1).alias("b2"))
+        units = units.join(F.broadcast(ends), "c2").withColumn("b2", F.explode("b2")).where("c1 < c2 or b1 <= b2")
+        work = units.join(one.drop("met"), ["c1", "b1"]).join(two, ["c2", "b2"])
+    else:
+        once = (F.col("c1") < F.col("c2")) | (F.col("b1") <= F.col("b2"))
+        work = one.join(two.hint("shuffle_replicate_nl"), F.array_contains("met", F.col("c2")) & once)
+    work = work.select("c1", "b1", "c2", "b2", "t1", "t2")
 
     def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, block = None, None
         for batch in batches:
             for row in range(batch.num_rows):
-                same = batch.column(0)[row].as_py()
-                tree, ids, copies = pickle.loads(batch.column(1)[row].as_buffer())
-                tree2, ids2, copies2 = (tree, ids, copies) if same else pickle.loads(batch.column(2)[row].as_buffer())
-                left, right = Tree(*tree), Tree(*tree2)
+                c1, b1, c2, b2 = (batch.column(i)[row].as_py() for i in range(4))
+                if key != (c1, b1):
+                    key, block = (c1, b1), _unpacked(batch.column(4)[row])
+                same = key == (c2, b2)
+                (left, ids, copies), (right, ids2, copies2) = block, block if same else _unpacked(batch.column(5)[row])
                 counts, root = dual_traversal(left, right, copies, copies2, same, threshold)
                 both = ids if same else np.concatenate([ids, ids2])
                 linked, child = np.flatnonzero(counts), np.flatnonzero(root != np.arange(len(both)))
@@ -358,10 +571,13 @@ def cosine_links(
     found = materialize(work.mapInArrow(traverse, "a long, b long, weight long"), "vector-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("weight").alias("other"))
     parts = connected_components(found.where("b is not null").select("a", "b"))
-    table = points.join(links, F.col("rep") == F.col("a"), "left").join(parts, F.col("rep") == F.col("id"), "left").select(
-        "v", (F.col("copies") - 1 + F.coalesce("other", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("c")
+    narrow = points.select(*keys, "rep", "copies")
+    table = narrow.join(links, F.col("rep") == F.col("a"), "left").join(parts, F.col("rep") == F.col("id"), "left").select(
+        *(c for c in narrow.columns if c.startswith("key")),
+        (F.col("copies") - 1 + F.coalesce("other", F.lit(0))).alias("n"), F.coalesce("component", "rep").alias("c"),
     )
-    known = usable.join(table, "v").select("vec_id", F.col("n").alias("n_links"), F.col("c").alias("component_id"))
+    known = usable.select("vec_id", *keys).join(table, [c for c in table.columns if c.startswith("key")])
+    known = known.select("vec_id", F.col("n").alias("n_links"), F.col("c").alias("component_id"))
     unknown = rows.where(~_usable("v") | F.col("vec_id").isNull())
     alone = unknown.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return known.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
